@@ -3,16 +3,16 @@
 from __future__ import annotations
 
 import zipfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
 
-import pandas as pd
-from pyspark.errors import AnalysisException
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_text
 from marketlens.schemas import LAYOUTS
-from marketlens.sources.files import HEAD_BYTES, open_file
+from marketlens.sources.files import HEAD_BYTES, open_file, walk
 
 # Tokens of lower-cased names per kind; the first kind with a hit wins.
 NAME_TOKENS = {
@@ -40,6 +40,26 @@ UNKNOWN = "desconhecido"
 COLUMNS = ("kind", "root_path", "archive_members", "processed", "ignored_reason", "label", "size_bytes")
 
 
+_FILES = pa.schema([("root", pa.string()), ("path", pa.string()), ("size_bytes", pa.int64())])
+_MEMBERS = pa.schema(
+    [
+        ("root", pa.string()),
+        ("path", pa.string()),
+        ("archive_members", pa.list_(pa.string())),
+        ("size_bytes", pa.int64()),
+        ("state", pa.string()),
+    ]
+)
+_HEADS = pa.schema([("path", pa.string()), ("head", pa.string())])
+_BATCH_ROWS = 10_000
+
+
+def _batches(schema: pa.Schema, rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    rows = iter(rows)
+    while chunk := list(islice(rows, _BATCH_ROWS)):
+        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, row)) for row in chunk], schema=schema)
+
+
 def classify_kind(c: Column | str, scope: str = "name") -> Column:
     """Kind of a file by its name, or by its whole path; null when nothing matches."""
     tokens = {"name": NAME_TOKENS, "path": PATH_TOKENS}[scope]
@@ -55,18 +75,15 @@ def classify_kind(c: Column | str, scope: str = "name") -> Column:
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Every file under the given folders or files: root, path, size. A path that does not
-    exist adds nothing. File contents are not read."""
-    found = spark.createDataFrame([], "root string, path string, size_bytes long")
-    for root in paths:
-        reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-        try:
-            files = reader.load(root)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            continue
-        found = found.unionByName(files.select(F.lit(root).alias("root"), "path", F.col("length").alias("size_bytes")))
-    return found
+    exist adds nothing. Folders are listed by the executors, contents are not read."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for root in batch.column("root").to_pylist():
+                yield from _batches(_FILES, ((root, path, size) for path, size in walk(root)))
+
+    roots = spark.createDataFrame([(p,) for p in paths], "root string").repartition("root")
+    return roots.mapInArrow(read, "root string, path string, size_bytes long").dropDuplicates(["path"])
 
 
 def _members(path: str, nested: bool) -> Iterator[tuple[list[str], int, str]]:
@@ -91,22 +108,17 @@ def _members(path: str, nested: bool) -> Iterator[tuple[list[str], int, str]]:
 def archive_members(archives: DataFrame, nested: bool = False) -> DataFrame:
     """One row per member of each archive; the directories are read by the executors."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for root, path, size in batch[["root", "path", "size_bytes"]].itertuples(index=False):
-                for members, member_size, state in _members(path, nested):
-                    yield pd.DataFrame(
-                        {
-                            "root": [root],
-                            "path": [path],
-                            "archive_members": [members],
-                            "size_bytes": [member_size if members else size],
-                            "state": [state],
-                        }
-                    )
+            for file in batch.to_pylist():
+                rows = (
+                    (file["root"], file["path"], members, size if members else file["size_bytes"], state)
+                    for members, size, state in _members(file["path"], nested)
+                )
+                yield from _batches(_MEMBERS, rows)
 
     schema = "root string, path string, archive_members array<string>, size_bytes long, state string"
-    return archives.repartition("path").mapInPandas(read, schema)
+    return archives.select("root", "path", "size_bytes").repartition("path").mapInArrow(read, schema)
 
 
 def catalog(spark: SparkSession, paths: Sequence[str], scope: str = "name") -> DataFrame:
@@ -127,7 +139,7 @@ def catalog(spark: SparkSession, paths: Sequence[str], scope: str = "name") -> D
     if by_path:
         root = F.regexp_replace(F.col("root"), "^[a-z]+:/*|^/+|/+$", "")
         relative = F.when(F.size("archive_members") > 0, F.concat_ws("/", F.array("name"), "archive_members")).otherwise(
-            F.substring_index(F.col("path"), F.concat(root, F.lit("/")), -1)
+            F.call_function("substring_index", F.col("path"), F.concat(root, F.lit("/")), F.lit(-1))
         )
         kind = classify_kind(relative, "path")
         rows = rows.withColumn("found", kind).filter(F.col("found").isNotNull())
@@ -174,16 +186,16 @@ def sources_of_kind(sources: DataFrame, kind: str) -> DataFrame:
 def file_heads(files: DataFrame) -> DataFrame:
     """The first line of each file, Latin-1 decoded, from its first bytes."""
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def first_line(path: str) -> str:
+        with open_file(path) as handle:
+            lines = handle.read(HEAD_BYTES).decode("latin-1").splitlines()
+        return lines[0] if lines else ""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            heads = []
-            for path in batch["path"]:
-                with open_file(path) as handle:
-                    lines = handle.read(HEAD_BYTES).decode("latin-1").splitlines()
-                heads.append(lines[0] if lines else "")
-            yield pd.DataFrame({"path": batch["path"], "head": heads})
-
-    return files.select("path").mapInPandas(read, "path string, head string")
+            yield from _batches(_HEADS, ((path, first_line(path)) for path in batch.column("path").to_pylist()))
+
+    return files.select("path").mapInArrow(read, "path string, head string")
 
 
 def find_indicator_file(spark: SparkSession, sources: DataFrame, paths: Sequence[str]) -> str | None:

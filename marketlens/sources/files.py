@@ -1,15 +1,71 @@
-"""Random-access reading of files by URI inside tasks."""
+"""Listing and random-access reading of files inside tasks, on any file system Arrow knows."""
 
 from __future__ import annotations
 
+import io
+from collections.abc import Iterator
+
 from pyarrow import fs
 
 HEAD_BYTES = 4096
 
 
-def open_file(uri: str):
-    """A seekable binary handle on a file of any file system Arrow knows."""
+def resolve(uri: str) -> tuple[fs.FileSystem, str, str]:
+    """File system, path on it, and the prefix that makes its paths URIs again."""
     if uri.startswith("file:"):
-        uri = "file://" + "/" + uri[len("file:") :].lstrip("/")
+        return fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/"), ""
+    if "://" not in uri:
+        return fs.LocalFileSystem(), uri, ""
     system, path = fs.FileSystem.from_uri(uri)
-    return system.open_input_file(path)
+    return system, path, uri[: uri.index("://") + 3] + uri.split("://", 1)[1].removesuffix(path)
+
+
+class _Raw(io.RawIOBase):
+    """An Arrow file as a Python one: seeking before its start is an OSError."""
+
+    def __init__(self, native):
+        self.native = native
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def readinto(self, buffer) -> int:
+        data = self.native.read(len(buffer))
+        buffer[: len(data)] = data
+        return len(data)
+
+    def tell(self) -> int:
+        return self.native.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        start = {io.SEEK_SET: 0, io.SEEK_CUR: self.native.tell(), io.SEEK_END: self.native.size()}[whence]
+        if start + offset < 0:
+            raise OSError("seek before the start of the file")
+        self.native.seek(start + offset)
+        return start + offset
+
+    def close(self) -> None:
+        if not self.closed:
+            self.native.close()
+        super().close()
+
+
+def open_file(uri: str) -> io.BufferedReader:
+    """A seekable binary handle."""
+    system, path, _ = resolve(uri)
+    return io.BufferedReader(_Raw(system.open_input_file(path)), 1 << 20)
+
+
+def walk(root: str) -> Iterator[tuple[str, int]]:
+    """Path and size of a file, or of every file under a folder; nothing for a missing path."""
+    system, path, prefix = resolve(root)
+    info = system.get_file_info(path)
+    if info.type == fs.FileType.File:
+        yield prefix + info.path, info.size
+    elif info.type == fs.FileType.Directory:
+        for found in system.get_file_info(fs.FileSelector(path, recursive=True)):
+            if found.type == fs.FileType.File:
+                yield prefix + found.path, found.size
