@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from marketlens.schemas import PORTE_LABELS
 
-_SPACE = r"[\s\x1c-\x1f\x85]"
-_TRIM = rf"(?U)^{_SPACE}+|{_SPACE}+$"
+_SPACES = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+_SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 # Hangul syllables are composed from three ranges by arithmetic (Unicode, section 3.12).
 _HANGUL_FIRST, _HANGUL_LAST = 0xAC00, 0xD7A3
 _CODE_POINTS = range(0x80, 0x30000)
+_MAYBE_SPECIAL = r"[\x{bc}-\x{be}\x{132}-\x{10ffff}]"
 
 
 def _col(c: Column | str) -> Column:
@@ -29,7 +30,7 @@ def _text(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing Unicode white space."""
-    return F.regexp_replace(_col(c), _TRIM, "")
+    return F.btrim(_col(c), F.lit(_SPACES))
 
 
 def clean_cell(c: Column | str) -> Column:
@@ -97,19 +98,20 @@ def _decompose_char(ch: Column) -> Column:
 def fold_accents(c: Column | str) -> Column:
     """NFKD without combining marks."""
     source, target, several = _folding()
-    text = _col(c)
     special = _char_class([*several, *map(chr, range(_HANGUL_FIRST, _HANGUL_LAST + 1))])
-    # Characters with a longer decomposition are rare; only texts holding one are split.
-    expanded = F.when(
-        F.regexp_like(text, F.lit(special)),
-        F.array_join(F.transform(F.split(text, ""), _decompose_char), ""),
-    ).otherwise(text)
-    return F.translate(expanded, source, target)
+
+    text = _col(c)
+    # Characters with a longer decomposition are rare; only texts holding one are taken
+    # apart. Plain ASCII is left alone, and two ranges rule most other texts out.
+    rare = F.regexp_like(text, F.lit(_MAYBE_SPECIAL)) & F.regexp_like(text, F.lit(special))
+    apart = F.array_join(F.transform(F.split(text, ""), _decompose_char), "")
+    folded = F.translate(F.when(rare, apart).otherwise(text), source, target)
+    return F.when(F.length(text) == F.octet_length(text), text).otherwise(folded)
 
 
 def normalize_text(c: Column | str) -> Column:
     """Strip, upper-case, fold accents, collapse white space; null to empty."""
-    return F.regexp_replace(fold_accents(F.upper(strip(_text(c)))), rf"(?U){_SPACE}+", " ")
+    return F.regexp_replace(fold_accents(F.upper(strip(_text(c)))), _SPACE_RUN, " ")
 
 
 def normalize_name(value: str) -> str:

@@ -15,7 +15,8 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the partition above the row
 
 def minmax(df: DataFrame, features: Mapping[str, str]) -> DataFrame:
     """Add `(x - min) / (max - min)` over all rows for each `{new column: column}`; null for
-    a constant feature. The bounds are one row, read back as a scalar subquery."""
+    a constant feature. `df` is read twice, so pass a stored table; the bounds are one row and
+    come back as a scalar subquery."""
     bounds = df.agg(
         F.struct(
             *[F.min(c).alias(f"min_{n}") for n, c in features.items()],
@@ -39,17 +40,19 @@ def weighted_score(weights: Mapping[str, float]) -> Column:
 
 
 def share_of_parent(df: DataFrame, value: str, parent: Sequence[str], out: str) -> DataFrame:
-    """`value` divided by its sum over `parent`. As in a join on equal keys, a row with a
-    null parent key gets no share."""
-    totals = df.groupBy(*parent).agg(F.sum(value).alias("_total"))
-    joined = df.join(totals, list(parent), "left")
-    return joined.withColumn(out, ratio(F.col(value), F.col("_total"))).drop("_total")
+    """`value` divided by its sum over `parent`, for an aggregated table with a bounded number
+    of rows per parent. A row with a null parent key gets no share."""
+    total = F.sum(value).over(Window.partitionBy(*parent))
+    known = F.lit(True)
+    for key in parent:
+        known = known & F.col(key).isNotNull()
+    return df.withColumn(out, F.when(known, ratio(F.col(value), total)))
 
 
 def global_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
     """Rank 1..n in `order`, which must be unique for the result to be repeatable.
 
-    Rows are range-partitioned and sorted, their places are fixed by a checkpoint, and each
+    Rows are range-partitioned and sorted, their places are fixed by storing them, and each
     partition adds the number of rows in front of it. Only the counts per partition, one
     row each, meet in one task."""
     placed = durable(

@@ -13,6 +13,7 @@ from marketlens.operators.keys import distinct_keys, keep_known, key_overlap, mi
 from marketlens.plans.bronze import filter_target, in_state, is_active
 from marketlens.plans.quality import rule
 from marketlens.schemas import ACTIVE_CODES, PARTS_PER_KIND, Thresholds
+from marketlens.session import durable
 
 _PART_KINDS = {"estabelecimentos": "Estabelecimentos", "empresas": "Empresas"}
 
@@ -59,12 +60,31 @@ def part_lists(catalog: DataFrame) -> DataFrame:
     )
 
 
-def uf_histogram(estab: DataFrame, active_codes: Sequence[str] = ACTIVE_CODES) -> DataFrame:
-    """Rows and active rows per cleaned state code."""
+def ingest_counts(estab: DataFrame) -> DataFrame:
+    """Rows per source, state and status: the one pass over all rows that the counts of the
+    diagnosis come from. A few rows per source unless the layout is shifted."""
+    return estab.groupBy("source", "uf", "situacao_cadastral").agg(F.count(F.lit(1)).alias("n"))
+
+
+def uf_histogram(counts: DataFrame, active_codes: Sequence[str] = ACTIVE_CODES) -> DataFrame:
+    """Rows and active rows per cleaned state code, from `ingest_counts`."""
     uf = F.upper(F.trim(F.coalesce(F.col("uf"), F.lit(""))))
-    return estab.groupBy(uf.alias("uf")).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(is_active(active_codes)).alias("ativos")
-    )
+    active = F.coalesce(F.sum(F.when(is_active(active_codes), F.col("n"))), F.lit(0))
+    return counts.groupBy(uf.alias("uf")).agg(F.sum("n").alias("n"), active.alias("ativos"))
+
+
+def rows_by_source(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("source").agg(F.sum("n").alias("n"))
+
+
+def target_keys(estab: DataFrame, target_uf: str) -> DataFrame:
+    """The keys of the active establishments in the state."""
+    return filter_target(estab, target_uf).select("cnpj_basico", "municipio", "cnae_fiscal_principal")
+
+
+def owner_keys(emp: DataFrame, target: DataFrame) -> DataFrame:
+    """Key and legal form of the companies owning one of them."""
+    return keep_known(emp, target).select("cnpj_basico", "natureza_juridica")
 
 
 def top_ufs(hist: DataFrame, n: int = 10) -> DataFrame:
@@ -85,11 +105,11 @@ def sample_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def key_matches(target: DataFrame, emp: DataFrame, municipios: DataFrame, cnaes: DataFrame, naturezas: DataFrame) -> DataFrame:
-    """Share of the active establishments' distinct keys known to each other table."""
-    owners = keep_known(emp, target)
+def key_matches(target: DataFrame, owners: DataFrame, municipios: DataFrame, cnaes: DataFrame, naturezas: DataFrame) -> DataFrame:
+    """Share of the active establishments' distinct keys known to each other table, from the
+    stored `target_keys` and `owner_keys`."""
     return (
-        key_overlap(target, emp, "cnpj_basico", "cnpj_basico", "empresas")
+        key_overlap(target, owners, "cnpj_basico", "cnpj_basico", "empresas")
         .unionByName(key_overlap(target, municipios, "municipio", "codigo_municipio_receita", "municipios"))
         .unionByName(key_overlap(target, cnaes, "cnae_fiscal_principal", "cnae", "cnaes"))
         .unionByName(key_overlap(owners, naturezas, "natureza_juridica", "natureza_juridica", "naturezas"))
@@ -195,11 +215,13 @@ def diagnose(
     thresholds: Thresholds = Thresholds(),
 ) -> dict[str, DataFrame]:
     """The whole diagnosis as named DataFrames. `estab` and `emp` carry a `source` column."""
-    target = filter_target(estab, target_uf)
-    hist = uf_histogram(estab)
-    matches = key_matches(target, emp, municipios, cnaes, naturezas)
-    by_file = estab.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    status = estab.filter(in_state(target_uf)).groupBy(F.coalesce("situacao_cadastral", F.lit("")).alias("situacao_cadastral"))
+    counts = durable(ingest_counts(estab))
+    target = durable(target_keys(estab, target_uf))
+    owners = durable(owner_keys(emp, target))
+    hist = durable(uf_histogram(counts))
+    matches = durable(key_matches(target, owners, municipios, cnaes, naturezas))
+    by_file = rows_by_source(counts)
+    status = counts.filter(in_state(target_uf)).groupBy(F.coalesce("situacao_cadastral", F.lit("")).alias("situacao_cadastral"))
     return {
         "catalogo": catalog,
         "partes": part_lists(catalog),
@@ -207,7 +229,7 @@ def diagnose(
         "linhas_empresas": emp.groupBy("source").agg(F.count(F.lit(1)).alias("n")),
         "top_ufs": top_ufs(hist),
         "ufs_estranhas": strange_ufs(hist),
-        "situacao_uf": status.agg(F.count(F.lit(1)).alias("n")),
+        "situacao_uf": status.agg(F.sum("n").alias("n")),
         "matches": matches,
         "amostra_estabelecimentos": sample_rows(estab, ("cnpj_basico", "cnpj_ordem", "cnpj_dv"), 5),
         "amostra_empresas": sample_rows(emp, ("cnpj_basico",), 5),

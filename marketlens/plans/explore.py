@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.display import code_label, fmt_br_money, fmt_br_number, label_code
-from marketlens.operators.aggregates import grouped_medians, histogram, sum_money, top
+from marketlens.operators.aggregates import exact_money, histogram, histogram_medians, ratio, sum_money, top
+from marketlens.session import durable
 
 # Display names of the three tables shown to users.
 FRIENDLY_EMPRESAS = {
@@ -93,15 +94,27 @@ def search(silver: DataFrame, term: str) -> DataFrame:
 
 
 def kpis(silver: DataFrame) -> DataFrame:
-    """Headline figures in one row. The mean GDP is over establishments, as shown to users."""
-    age = grouped_medians(silver.withColumn("_all", F.lit(0)), ["_all"], ["idade_empresa_anos"])
-    return silver.agg(
-        F.count(F.lit(1)).alias("empresas"),
+    """Headline figures in one row. The mean GDP is over establishments, as shown to users.
+
+    All of them come from one stored count per municipality, industry and age."""
+    age = "idade_empresa_anos"
+    cells = durable(
+        silver.groupBy("municipio", "cnae_principal", age).agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(exact_money("pib_per_capita")).alias("pib"),
+            F.count("pib_per_capita").alias("n_pib"),
+            F.sum(exact_money("capital_social")).alias("capital"),
+        )
+    )
+    ages = cells.groupBy(F.lit("all").alias("group"), F.lit(age).alias("measure"), F.col(age).cast("double").alias("value"))
+    median = histogram_medians(ages.agg(F.sum("n").alias("n")), ["group"]).select("median")
+    return cells.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("empresas"),
         F.count_distinct("municipio").alias("municipios"),
         F.count_distinct("cnae_principal").alias("cnaes"),
-        (sum_money("pib_per_capita") / F.nullif(F.count("pib_per_capita"), F.lit(0))).alias("pib_medio"),
-        sum_money("capital_social").alias("capital_total"),
-    ).withColumn("idade_mediana", age.select("idade_empresa_anos").scalar())
+        ratio(F.sum("pib").cast("double"), F.sum("n_pib")).alias("pib_medio"),
+        F.coalesce(F.sum("capital").cast("double"), F.lit(0.0)).alias("capital_total"),
+    ).withColumn("idade_mediana", median.scalar())
 
 
 def kpi_cards(values: DataFrame) -> DataFrame:

@@ -16,6 +16,7 @@ from marketlens.schemas import (
     RANKING_CNAES_SCHEMA,
     RANKING_MUNICIPIOS_SCHEMA,
 )
+from marketlens.session import durable
 
 _CELL = ("uf", "municipio", "cnae_principal", "descricao_cnae")
 
@@ -24,10 +25,11 @@ def municipio_cnae(silver: DataFrame, parent: Sequence[str] = ("municipio",)) ->
     """Counts, share of the municipality, density, capital and age per municipality and
     industry.
 
-    Everything is read off one histogram of (cell, measure, value), so the wide table is
-    scanned and shuffled once and a cell holding most of the rows is spread over its values."""
-    hist = value_histogram(
-        silver, _CELL, ("capital_social", "idade_empresa_anos"), {"populacao": F.max("populacao")}
+    Everything is read off one stored histogram of (cell, measure, value), so the wide table
+    is scanned and shuffled once and a cell holding most of the rows is spread over its
+    values."""
+    hist = durable(
+        value_histogram(silver, _CELL, ("capital_social", "idade_empresa_anos"), {"populacao": F.max("populacao")})
     )
     is_capital = F.col("measure") == "capital_social"
     is_age = F.col("measure") == "idade_empresa_anos"
@@ -67,7 +69,7 @@ def municipio_features(silver: DataFrame) -> DataFrame:
 
 def minmax_municipios(silver: DataFrame) -> DataFrame:
     return minmax(
-        municipio_features(silver),
+        durable(municipio_features(silver)),
         {
             "n_populacao": "populacao",
             "n_pib": "pib_per_capita",
@@ -99,7 +101,7 @@ def cnae_features(silver: DataFrame) -> DataFrame:
 
 def minmax_cnaes(silver: DataFrame) -> DataFrame:
     return minmax(
-        cnae_features(silver),
+        durable(cnae_features(silver)),
         {
             "n_empresas": "total_empresas_ativas",
             "n_presenca": "total_municipios_com_presenca",

@@ -12,6 +12,7 @@ from marketlens.functions.display import fmt_br_money, fmt_br_number, fmt_br_per
 from marketlens.operators.keys import dedup_dim, duplicate_keys, union_parts
 from marketlens.plans import bronze, diagnosis, explore, gold, quality, silver
 from marketlens.schemas import Thresholds
+from marketlens.session import durable
 from marketlens.sources.catalog import classify_kind
 from marketlens.tpch_views import AS_OF, TARGET_UF, Views, views
 
@@ -95,14 +96,14 @@ def indicator_merge(v: Views) -> DataFrame:
 
 @query
 def join_dims(v: Views) -> DataFrame:
-    return v.silver.select(
+    return v.silver_plan.select(
         "cnpj_completo", "municipio", "descricao_cnae", "descricao_natureza_juridica", "opcao_simples"
     )
 
 
 @query
 def silver_market(v: Views) -> DataFrame:
-    return v.silver
+    return v.silver_plan
 
 
 @query
@@ -162,23 +163,29 @@ def audit_layers(v: Views) -> DataFrame:
     )
 
 
+def _uf_histogram(v: Views) -> DataFrame:
+    return diagnosis.uf_histogram(diagnosis.ingest_counts(v.dirty_estab))
+
+
 @query
 def diag_top_uf(v: Views) -> DataFrame:
-    return diagnosis.top_ufs(diagnosis.uf_histogram(v.dirty_estab))
+    return diagnosis.top_ufs(_uf_histogram(v))
 
 
 @query
 def diag_strange_uf(v: Views) -> DataFrame:
-    return diagnosis.strange_ufs(diagnosis.uf_histogram(v.dirty_estab))
+    return diagnosis.strange_ufs(_uf_histogram(v))
 
 
-def _dirty_active(v: Views) -> DataFrame:
-    return bronze.filter_target(v.dirty_estab, TARGET_UF)
+def _matches(v: Views) -> DataFrame:
+    target = durable(diagnosis.target_keys(v.dirty_estab, TARGET_UF))
+    owners = durable(diagnosis.owner_keys(v.emp, target))
+    return diagnosis.key_matches(target, owners, v.municipios, v.cnaes, v.naturezas)
 
 
 @query
 def diag_match(v: Views) -> DataFrame:
-    return diagnosis.key_matches(_dirty_active(v), v.emp, v.municipios, v.cnaes, v.naturezas)
+    return _matches(v)
 
 
 @query
@@ -188,14 +195,20 @@ def diag_missing_parts(v: Views) -> DataFrame:
 
 @query
 def diag_sample_codes(v: Views) -> DataFrame:
-    return diagnosis.sample_codes(_dirty_active(v), "municipio")
+    return diagnosis.sample_codes(diagnosis.target_keys(v.dirty_estab, TARGET_UF), "municipio")
 
 
 @query
 def diag_blockers(v: Views) -> DataFrame:
-    rows_read = v.dirty_estab.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
+    counts = durable(diagnosis.ingest_counts(v.dirty_estab))
     facts = diagnosis.facts(
-        diagnosis.uf_histogram(v.dirty_estab), diag_match(v), v.cnaes, v.catalog, rows_read, TARGET_UF, _THRESHOLDS
+        durable(diagnosis.uf_histogram(counts)),
+        durable(_matches(v)),
+        v.cnaes,
+        durable(v.catalog),
+        diagnosis.rows_by_source(counts),
+        TARGET_UF,
+        _THRESHOLDS,
     )
     return diagnosis.blockers(facts, _THRESHOLDS)
 

@@ -1,8 +1,9 @@
-"""Session settings, durable lineage cuts and size-checked broadcasts."""
+"""Session settings, stored intermediate tables and size-checked broadcasts."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,19 +22,27 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The shared folder named by spark.checkpoint.dir; a temporary one in local runs only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder
+
+
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that partition-dependent columns
-    keep their values when executors are lost."""
+    """The same rows as a table written to the checkpoint folder.
+
+    Cuts the lineage for results that are read more than once or whose columns depend on
+    the partitioning: they are computed once and keep their values when executors are lost.
+    Read back as Parquet, they have a known size and prunable columns."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="marketlens-checkpoint-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_folder(spark)}/marketlens-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:

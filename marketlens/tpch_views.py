@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.text import normalize_text
 from marketlens.plans.bronze import bronze_companies, bronze_simples, filter_target
 from marketlens.plans.silver import build_silver
-from marketlens.session import tune
+from marketlens.session import durable, tune
 
 TARGET_UF = "AS"
 AS_OF = "2024-01-01"
@@ -176,13 +176,19 @@ class Views:
         return bronze_simples(self.simples, self.active)
 
     @cached_property
-    def silver(self) -> DataFrame:
+    def silver_plan(self) -> DataFrame:
         """The semi joins that shrink companies and regimes in a stored bronze layer are left
         out here: the inner and left joins on the same key keep the same rows."""
         return build_silver(
             self.active, self.emp, self.municipios, self.cnaes, self.naturezas, self.simples, self.indicators, AS_OF
         )
 
+    @cached_property
+    def silver(self) -> DataFrame:
+        """The wide table, stored by the first query that needs it: gold tables and questions
+        read a stored table, as in the batch build."""
+        return durable(self.silver_plan)
+
     @cached_property
     def file_names(self) -> DataFrame:
         """A name for each part, most of them of a known kind."""

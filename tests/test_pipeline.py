@@ -139,7 +139,7 @@ def test_counted_matches_funnel(spark):
 
 def test_empty_histogram_keys(spark):
     df = spark.createDataFrame([(None, "02"), ("", "02"), ("9X", "08"), ("sc", None)], "uf string, situacao_cadastral string")
-    hist = diagnosis.uf_histogram(df)
+    hist = diagnosis.uf_histogram(diagnosis.ingest_counts(df.withColumn("source", F.lit("s"))))
     assert [tuple(r) for r in diagnosis.strange_ufs(hist).collect()] == [("", 2), ("9X", 1)]
 
 
