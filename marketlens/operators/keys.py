@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlens.session import durable
+
 
 def non_empty(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNotNull() & (F.col(column) != ""))
@@ -17,9 +19,15 @@ def distinct_keys(df: DataFrame, column: str, out: str | None = None) -> DataFra
     return non_empty(df, column).select(F.col(column).alias(out or column)).distinct()
 
 
+def stored_keys(df: DataFrame, column: str) -> DataFrame:
+    """`distinct_keys`, stored: they are used more than once, have a known size, and a join
+    with a stored table is one AQE can split when the other side has a hot key."""
+    return durable(distinct_keys(df, column))
+
+
 def keep_known(df: DataFrame, keys: DataFrame, on: str = "cnpj_basico") -> DataFrame:
-    """Rows whose key occurs in `keys`."""
-    return df.join(distinct_keys(keys, on), on, "left_semi")
+    """Rows whose key occurs in `keys`, a table of distinct keys."""
+    return df.join(keys.select(on), on, "left_semi")
 
 
 def missing_keys(required: DataFrame, found: DataFrame, on: Sequence[str]) -> DataFrame:

@@ -85,14 +85,14 @@ def status_histogram(estab: DataFrame, target_uf: str) -> DataFrame:
     return long.select("row.*").filter(F.col("n") > 0)
 
 
-def bronze_companies(emp: DataFrame, active: DataFrame) -> DataFrame:
-    """Companies owning an active establishment."""
-    return keep_known(emp, active).select(*LAYOUTS["empresas"])
+def bronze_companies(emp: DataFrame, keys: DataFrame) -> DataFrame:
+    """Companies owning an active establishment, given the stored keys of those."""
+    return keep_known(emp, keys).select(*LAYOUTS["empresas"])
 
 
-def bronze_simples(simples: DataFrame, active: DataFrame) -> DataFrame:
+def bronze_simples(simples: DataFrame, keys: DataFrame) -> DataFrame:
     """Tax-regime rows of those companies."""
-    return keep_known(simples, active).select(*LAYOUTS["simples"])
+    return keep_known(simples, keys).select(*LAYOUTS["simples"])
 
 
 def bronze_municipios(municipios: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import is_strange_uf
 from marketlens.operators.aggregates import top
-from marketlens.operators.keys import distinct_keys, keep_known, key_overlap, missing_keys
+from marketlens.operators.keys import distinct_keys, keep_known, key_overlap, missing_keys, stored_keys
 from marketlens.plans.bronze import filter_target, in_state, is_active
 from marketlens.plans.quality import rule
 from marketlens.schemas import ACTIVE_CODES, PARTS_PER_KIND, Thresholds
@@ -84,7 +84,7 @@ def target_keys(estab: DataFrame, target_uf: str) -> DataFrame:
 
 def owner_keys(emp: DataFrame, target: DataFrame) -> DataFrame:
     """Key and legal form of the companies owning one of them."""
-    return keep_known(emp, target).select("cnpj_basico", "natureza_juridica")
+    return keep_known(emp, stored_keys(target, "cnpj_basico")).select("cnpj_basico", "natureza_juridica")
 
 
 def top_ufs(hist: DataFrame, n: int = 10) -> DataFrame:
@@ -140,19 +140,20 @@ def facts(
         )
     )
     files = catalog.filter(F.col("kind") == "estabelecimentos").select("label").distinct().agg(F.count(F.lit(1)))
-    return (
-        hist.agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-            in_target("n").alias("registros_uf"),
-            in_target("ativos").alias("ativos"),
-        )
-        .withColumn("uf_no_top", top_ufs(hist, t.top_ufs).agg(F.count_if(F.col("uf") == target_uf)).scalar())
-        .withColumn("estranhas", strange_ufs(hist, t.top_estranhas).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar())
-        .withColumn("match", match_row.scalar())
-        .withColumn("cnae_presente", distinct_keys(cnaes, "cnae").limit(1).agg(F.count(F.lit(1))).scalar())
-        .withColumn("faltam", missing_row.scalar())
-        .withColumn("encontrados", files.scalar())
-        .withColumn("processados", rows_read.agg(F.count(F.lit(1))).scalar())
+    return hist.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        in_target("n").alias("registros_uf"),
+        in_target("ativos").alias("ativos"),
+    ).withColumns(
+        {
+            "uf_no_top": top_ufs(hist, t.top_ufs).agg(F.count_if(F.col("uf") == target_uf)).scalar(),
+            "estranhas": strange_ufs(hist, t.top_estranhas).agg(F.coalesce(F.sum("n"), F.lit(0))).scalar(),
+            "match": match_row.scalar(),
+            "cnae_presente": distinct_keys(cnaes, "cnae").limit(1).agg(F.count(F.lit(1))).scalar(),
+            "faltam": missing_row.scalar(),
+            "encontrados": files.scalar(),
+            "processados": rows_read.agg(F.count(F.lit(1))).scalar(),
+        }
     )
 
 

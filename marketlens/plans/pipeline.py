@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_name
 from marketlens.operators.aggregates import histogram
+from marketlens.operators.keys import distinct_keys
 from marketlens.plans import bronze, diagnosis, gold, quality, silver
 from marketlens.schemas import LAYOUTS, RAW_ENCODING, Thresholds
 from marketlens.session import tune
@@ -150,8 +151,9 @@ def run_pipeline(
         bronze.filter_target(raw["estabelecimentos"], target_uf).select(*LAYOUTS["estabelecimentos"]),
         f"{folder}/silver/estabelecimentos_ativos",
     )
-    emp = sinks.write_table(bronze.bronze_companies(raw["empresas"], estab), f"{folder}/silver/empresas")
-    simples = sinks.write_table(bronze.bronze_simples(raw["simples"], estab), f"{folder}/silver/simples")
+    keys = sinks.write_table(distinct_keys(estab, "cnpj_basico"), f"{folder}/silver/chaves_ativas")
+    emp = sinks.write_table(bronze.bronze_companies(raw["empresas"], keys), f"{folder}/silver/empresas")
+    simples = sinks.write_table(bronze.bronze_simples(raw["simples"], keys), f"{folder}/silver/simples")
     municipios = sinks.write_table(bronze.bronze_municipios(raw["municipios"]), f"{folder}/silver/municipios")
     table, origin = indicators_for(spark, sources, paths, target_uf, encoding)
     indicators = sinks.write_table(table, f"{folder}/silver/indicadores")

@@ -51,11 +51,13 @@ def quality_checks(gold: DataFrame, funnel: DataFrame, matched: DataFrame, statu
     porte = histogram_json(porte_histogram(gold), "porte", "total")
     situacao = histogram_json(status, "situacao_cadastral", "n")
     read = funnel.agg(F.first(F.struct("lidos", "na_uf", "ativos", "empresas_unicas")))
-    facts = (
-        totals.withColumn("f", read.scalar())
-        .withColumn("cruzadas", matched.agg(F.count(F.lit(1))).scalar())
-        .withColumn("porte", porte.scalar())
-        .withColumn("situacao", situacao.scalar())
+    facts = totals.withColumns(
+        {
+            "f": read.scalar(),
+            "cruzadas": matched.agg(F.count(F.lit(1))).scalar(),
+            "porte": porte.scalar(),
+            "situacao": situacao.scalar(),
+        }
     )
 
     def percent_row(name: str, column: str) -> Column:
@@ -152,11 +154,9 @@ def audit_blockers(
         )
     )
     match_row = matches.agg(F.struct(match("empresas").alias("emp"), match("cnaes").alias("cnae")))
-    facts = (
-        audit.agg(layer("estabelecimentos_ativos").alias("ativos"), layer("municipios_distintos").alias("municipios"))
-        .withColumn("faltam", missing.scalar())
-        .withColumn("match", match_row.scalar())
-    )
+    facts = audit.agg(
+        layer("estabelecimentos_ativos").alias("ativos"), layer("municipios_distintos").alias("municipios")
+    ).withColumns({"faltam": missing.scalar(), "match": match_row.scalar()})
     return _rows(
         facts,
         [

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marketlens.functions.text import age_years, cnpj_key, empty_to_null, parse_br_number, parse_yyyymmdd, porte_label
 from marketlens.operators.keys import dedup_dim
 from marketlens.schemas import INDICATOR_COLUMNS, SILVER_SCHEMA
-from marketlens.session import broadcast_if_small
+from marketlens.session import broadcast_if_small, durable
 
 
 def establishments(estab: DataFrame) -> DataFrame:
@@ -81,8 +81,9 @@ def build_silver(
 ) -> DataFrame:
     """Join active establishments with their companies (inner) and the five dimensions (left).
 
-    Both large joins share the company key and one partitioning; a hot company is split by
-    AQE. The code tables come last and are broadcast after a count of their rows."""
+    Tax regimes go to the companies first, and both are stored. The one large join is then
+    between two scans, which AQE splits where a company holds many of the establishments.
+    The code tables are broadcast after a count of their rows."""
     mun = dedup_dim(municipios.select("codigo_municipio_receita", "nome_municipio_receita", "municipio_norm"), "codigo_municipio_receita")
     places = broadcast_if_small(
         mun.join(indicator_rollup(indicators, style), "municipio_norm", "left").select(
@@ -99,14 +100,13 @@ def build_silver(
     nat = broadcast_if_small(
         dedup_dim(naturezas.select("natureza_juridica", "descricao_natureza_juridica"), "natureza_juridica")
     )
-    regimes = dedup_dim(simples.select("cnpj_basico", "opcao_simples", "opcao_mei"), "cnpj_basico")
+    regimes = durable(dedup_dim(simples.select("cnpj_basico", "opcao_simples", "opcao_mei"), "cnpj_basico"))
+    owners = durable(companies(emp, style).join(regimes, "cnpj_basico", "left").join(nat, "natureza_juridica", "left"))
     return (
         establishments(estab)
-        .join(companies(emp, style), "cnpj_basico", "inner")
-        .join(regimes, "cnpj_basico", "left")
+        .join(owners, "cnpj_basico", "inner")
         .join(places, "codigo_municipio_receita", "left")
         .join(cnae, "cnae_principal", "left")
-        .join(nat, "natureza_juridica", "left")
         .withColumn("cnae_fiscal_principal", F.col("cnae_principal"))
         .withColumn("idade_empresa_anos", age_years("data_inicio_atividade", as_of))
         .select(*SILVER_SCHEMA.fieldNames())

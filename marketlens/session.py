@@ -15,9 +15,6 @@ def tune(spark: SparkSession) -> SparkSession:
     """Runtime SQL settings the plans in this package count on."""
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    # Two joins in a row share the company key. Without this AQE keeps a hot key in one
-    # task, because splitting it costs the second join a shuffle.
-    spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_text
+from marketlens.operators.keys import stored_keys
 from marketlens.plans.bronze import bronze_companies, bronze_simples, filter_target
 from marketlens.plans.silver import build_silver
 from marketlens.session import durable, tune
@@ -167,20 +168,29 @@ class Views:
     def active(self) -> DataFrame:
         return filter_target(self.estab, TARGET_UF)
 
+    @cached_property
+    def active_keys(self) -> DataFrame:
+        return stored_keys(self.active, "cnpj_basico")
+
     @cached_property
     def active_companies(self) -> DataFrame:
-        return bronze_companies(self.emp, self.active)
+        return bronze_companies(self.emp, self.active_keys)
 
     @cached_property
     def active_simples(self) -> DataFrame:
-        return bronze_simples(self.simples, self.active)
+        return bronze_simples(self.simples, self.active_keys)
 
     @cached_property
     def silver_plan(self) -> DataFrame:
-        """The semi joins that shrink companies and regimes in a stored bronze layer are left
-        out here: the inner and left joins on the same key keep the same rows."""
         return build_silver(
-            self.active, self.emp, self.municipios, self.cnaes, self.naturezas, self.simples, self.indicators, AS_OF
+            self.active,
+            self.active_companies,
+            self.municipios,
+            self.cnaes,
+            self.naturezas,
+            self.active_simples,
+            self.indicators,
+            AS_OF,
         )
 
     @cached_property

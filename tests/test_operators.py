@@ -5,8 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.operators.aggregates import grouped_medians, histogram_json, top
-from marketlens.operators.keys import dedup_dim, duplicate_keys, keep_known, key_overlap, missing_keys
+from marketlens.operators.keys import dedup_dim, duplicate_keys, keep_known, key_overlap, missing_keys, stored_keys
 from marketlens.operators.ranking import global_rank, minmax, share_of_parent, weighted_score
+from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable
 
 
@@ -64,7 +65,7 @@ def test_shares_sum_to_one(spark):
 def test_key_sets(spark):
     left = spark.createDataFrame([("1",), ("1",), ("2",), ("",), (None,)], "k string")
     right = spark.createDataFrame([("1", "x"), ("1", "y"), ("3", "z"), ("", "w")], "k string, t string")
-    assert sorted(r.t for r in keep_known(right, left, "k").collect()) == ["x", "y"]
+    assert sorted(r.t for r in keep_known(right, stored_keys(left, "k"), "k").collect()) == ["x", "y"]
     assert key_overlap(left, right, "k", "k", "d").first()[:] == ("d", 2, 1, 50.0)
     assert key_overlap(left.limit(0), right, "k", "k", "d").first()[:] == ("d", 0, 0, 0.0)
     assert [r.k for r in missing_keys(left.filter("k <> ''").distinct(), right, ["k"]).collect()] == ["2"]
@@ -94,9 +95,9 @@ def test_durable_writes_to_the_configured_folder(spark):
     assert stored.count() == 3 and all(folder in f for f in stored.inputFiles())
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_hot_key_is_split_by_the_join(spark, how):
-    """Both company joins of the silver table stay whole and get split on a hot key."""
+@pytest.fixture
+def small_partitions(spark):
+    """No broadcasts, and a skew limit low enough for test data."""
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -107,17 +108,49 @@ def test_hot_key_is_split_by_the_join(spark, how):
     before = {k: spark.conf.get(k, None) for k in settings}
     for k, v in settings.items():
         spark.conf.set(k, v)
-    try:
-        n = 60_000
-        estab = spark.range(n, numPartitions=16).select(
-            F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 20_000).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("pay")
-        )
-        emp = spark.range(20_000).select(F.col("id").alias("k"), F.lit("c").alias("c"))
-        simples = spark.range(0, 20_000, 2).select(F.col("id").alias("k"), F.lit("s").alias("s"))
-        joined = estab.join(emp, "k", "inner").join(simples, "k", how)
-        expected = n if how == "left" else estab.filter(F.col("k") % 2 == 0).count()
-        assert len(joined.collect()) == expected
-        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_silver_splits_a_hot_company(spark, small_partitions):
+    n = 60_000
+    estab = spark.range(n, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, "1").otherwise((F.col("id") % 20_000).cast("string")).alias("cnpj_basico"),
+        F.col("id").cast("string").alias("cnpj_ordem"),
+        F.lit("00").alias("cnpj_dv"),
+        F.sha2(F.col("id").cast("string"), 256).alias("nome_fantasia"),
+        F.lit("02").alias("situacao_cadastral"),
+        F.lit("20200101").alias("data_inicio_atividade"),
+        (F.col("id") % 7).cast("string").alias("cnae_fiscal_principal"),
+        F.lit("SC").alias("uf"),
+        (F.col("id") % 5).cast("string").alias("municipio"),
+    )
+    key = F.col("id").cast("string").alias("cnpj_basico")
+    emp = spark.range(20_000).select(
+        key, F.lit("n").alias("razao_social"), F.lit("1").alias("natureza_juridica"), F.lit("1,00").alias("capital_social"), F.lit("01").alias("porte_empresa")
+    )
+    simples = spark.range(0, 20_000, 2).select(key, F.lit("S").alias("opcao_simples"), F.lit("N").alias("opcao_mei"))
+    towns = spark.range(5).select(
+        F.col("id").cast("string").alias("codigo_municipio_receita"), F.lit("x").alias("nome_municipio_receita"), F.lit("X").alias("municipio_norm")
+    )
+    cnaes = spark.range(7).select(F.col("id").cast("string").alias("cnae"), F.lit("d").alias("descricao_cnae"))
+    nat = spark.sql("SELECT '1' natureza_juridica, 'n' descricao_natureza_juridica")
+    ind = spark.sql("SELECT 'X' municipio_norm, '42' codigo_municipio_ibge, '10' populacao, '5' pib_per_capita")
+    market = build_silver(estab, emp, towns, cnaes, nat, simples, ind, "2024-01-01")
+    assert "SortMergeJoin(skew=true)" in final_plan(market)
+    assert market.count() == n and market.filter("opcao_simples = 'S'").count() == estab.filter("cnpj_basico % 2 = 0").count()
+
+
+def test_semi_join_splits_copies_of_a_company(spark, small_partitions):
+    emp = spark.range(60_000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("string").alias("cnpj_basico"), F.sha2(F.col("id").cast("string"), 256).alias("pay")
+    )
+    keys = stored_keys(spark.range(0, 60_000).select(F.col("id").cast("string").alias("cnpj_basico")), "cnpj_basico")
+    kept = keep_known(emp, keys)
+    assert "skew=true" in final_plan(kept) and kept.count() == 60_000
