@@ -219,7 +219,7 @@ def diagnose(
     counts = durable(ingest_counts(estab))
     target = durable(target_keys(estab, target_uf))
     owners = durable(owner_keys(emp, target))
-    hist = durable(uf_histogram(counts))
+    hist = uf_histogram(counts)
     matches = durable(key_matches(target, owners, municipios, cnaes, naturezas))
     by_file = rows_by_source(counts)
     status = counts.filter(in_state(target_uf)).groupBy(F.coalesce("situacao_cadastral", F.lit("")).alias("situacao_cadastral"))

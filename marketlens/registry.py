@@ -190,7 +190,7 @@ def diag_match(v: Views) -> DataFrame:
 
 @query
 def diag_missing_parts(v: Views) -> DataFrame:
-    return diagnosis.missing_parts(v.catalog)
+    return diagnosis.missing_parts(v.catalog_of(v.estab))
 
 
 @query
@@ -202,10 +202,10 @@ def diag_sample_codes(v: Views) -> DataFrame:
 def diag_blockers(v: Views) -> DataFrame:
     counts = durable(diagnosis.ingest_counts(v.dirty_estab))
     facts = diagnosis.facts(
-        durable(diagnosis.uf_histogram(counts)),
-        durable(_matches(v)),
+        diagnosis.uf_histogram(counts),
+        _matches(v),
         v.cnaes,
-        durable(v.catalog),
+        v.catalog_of(counts),
         diagnosis.rows_by_source(counts),
         TARGET_UF,
         _THRESHOLDS,

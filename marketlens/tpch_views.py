@@ -15,7 +15,7 @@ from marketlens.functions.text import normalize_text
 from marketlens.operators.keys import stored_keys
 from marketlens.plans.bronze import bronze_companies, bronze_simples, filter_target
 from marketlens.plans.silver import build_silver
-from marketlens.session import durable, tune
+from marketlens.session import broadcast_if_small, durable, tune
 
 TARGET_UF = "AS"
 AS_OF = "2024-01-01"
@@ -47,6 +47,7 @@ class Views:
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
             .select(F.col("s_suppkey").alias("l_suppkey"), F.substring("r_name", 1, 2).alias("state"))
         )
+        places = broadcast_if_small(places)
         line = F.col("l_linenumber")
         status = F.when(F.col("l_returnflag") == "A", "02").when(F.col("l_returnflag") == "N", "2").otherwise("08")
         return (
@@ -223,12 +224,12 @@ class Views:
             F.concat(F.replace(pattern, F.lit("%"), key.cast("string"))).alias("label")
         )
 
-    @cached_property
-    def catalog(self) -> DataFrame:
-        """Sources of the two mandatory kinds, as a catalogue."""
-        estab = self.estab.select(F.lit("estabelecimentos").alias("kind"), F.col("source").alias("label")).distinct()
-        emp = self.emp.select(F.lit("empresas").alias("kind"), F.col("source").alias("label")).distinct()
-        return estab.unionByName(emp)
+    def catalog_of(self, estab: DataFrame) -> DataFrame:
+        """Sources of the two mandatory kinds, as a catalogue; `estab` is any table with the
+        sources of the establishments."""
+        kinds = {"estabelecimentos": estab, "empresas": self.emp}
+        parts = [df.select(F.lit(kind).alias("kind"), F.col("source").alias("label")).distinct() for kind, df in kinds.items()]
+        return parts[0].unionByName(parts[1])
 
 
 _VIEWS: dict[tuple[str, str], Views] = {}
