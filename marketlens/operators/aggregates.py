@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketlens.session import broadcast_if_small, durable
+
 # Steps per unit of ln(1 + |v|): about 700 buckets per power of two, so that a bucket of
 # a money column spans 0.1 % of its value and a group has some ten thousand buckets.
 _BUCKETS_PER_E = 1000
 
+GROUP_ROWS = 100_000
+
 
 def exact_money(c: Column | str) -> Column:
     """A money column as a decimal, so that sums do not depend on the row order."""
@@ -26,8 +30,8 @@ def ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0))
 
 
-def value_histogram(df: DataFrame, keys: Sequence[str], measures: Sequence[str], extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row per group, measure and distinct value: `n` copies, plus `extra` aggregates.
+def value_histogram(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """One row per group, measure and distinct value, with `n` copies.
 
     Rows are counted before the shuffle and a group spreads over its values, so a group
     holding most of the rows is no heavier for a task than any other."""
@@ -38,7 +42,7 @@ def value_histogram(df: DataFrame, keys: Sequence[str], measures: Sequence[str],
         ),
     )
     return melted.groupBy(*keys, F.col("_m.measure").alias("measure"), F.col("_m.value").alias("value")).agg(
-        F.count(F.lit(1)).alias("n"), *[agg.alias(name) for name, agg in (extra or {}).items()]
+        F.count(F.lit(1)).alias("n")
     )
 
 
@@ -80,12 +84,30 @@ def histogram_medians(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     return ends.select("key.*", "measure", (F.col("lo") * F.lit(0.5) + F.col("hi") * F.lit(0.5)).alias("median"))
 
 
-def grouped_medians(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """Exact median of each measure per group, one column per measure."""
-    medians = histogram_medians(value_histogram(df, keys, measures), keys)
-    return medians.groupBy(*keys).agg(
+def grouped_medians(
+    df: DataFrame, keys: Sequence[str], measures: Sequence[str], sizes: DataFrame, limit: int = GROUP_ROWS
+) -> DataFrame:
+    """Exact median of each measure per group, one column per measure.
+
+    `sizes` is a stored table of the groups and their rows `n`. Groups of up to `limit` rows
+    fit the built-in median, which keeps a group's values in one task; larger ones, at most
+    rows / limit of them, go through `histogram_medians`. `df` is read once for each kind."""
+    large = sizes.filter(F.col("n") > limit).select(F.struct(*keys).alias("_group"))
+    builtin = [F.median(m).cast("double").alias(m) for m in measures]
+    if large.isEmpty():
+        return df.groupBy(*keys).agg(*builtin)
+    large = broadcast_if_small(large)
+    grouped = df.select(*keys, *measures).withColumn("_group", F.struct(*keys))
+    small = grouped.join(large, "_group", "left_anti").groupBy(*keys).agg(*builtin)
+    hist = durable(value_histogram(grouped.join(large, "_group", "left_semi"), keys, measures))
+    # Groups without a value have no median there, but keep their row.
+    medians = hist.select(*keys, "measure").distinct().withColumn("key", F.struct(*keys)).join(
+        histogram_medians(hist, keys).select(F.struct(*keys).alias("key"), "measure", "median"), ["key", "measure"], "left"
+    )
+    wide = medians.groupBy(*keys).agg(
         *[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(m) for m in measures]
     )
+    return small.unionByName(wide)
 
 
 def histogram(df: DataFrame, key: Column | str, name: str, n: str = "n") -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.aggregates import exact_money, histogram_medians, ratio, sum_money, value_histogram
+from marketlens.operators.aggregates import GROUP_ROWS, grouped_medians, ratio, sum_money
 from marketlens.operators.ranking import global_rank, minmax, share_of_parent, weighted_score
 from marketlens.schemas import (
     CNAE_WEIGHTS,
@@ -21,30 +21,26 @@ from marketlens.session import durable
 _CELL = ("uf", "municipio", "cnae_principal", "descricao_cnae")
 
 
-def municipio_cnae(silver: DataFrame, parent: Sequence[str] = ("municipio",)) -> DataFrame:
+def municipio_cnae(
+    silver: DataFrame, parent: Sequence[str] = ("municipio",), group_rows: int = GROUP_ROWS
+) -> DataFrame:
     """Counts, share of the municipality, density, capital and age per municipality and
     industry.
 
-    Everything is read off one stored histogram of (cell, measure, value), so the wide table
-    is scanned and shuffled once and a cell holding most of the rows is spread over its
-    values."""
-    hist = durable(
-        value_histogram(silver, _CELL, ("capital_social", "idade_empresa_anos"), {"populacao": F.max("populacao")})
+    The totals are stored first: they tell which cells are too large for one task's median."""
+    cells = durable(
+        silver.groupBy(*_CELL).agg(
+            F.count(F.lit(1)).alias("total_empresas_ativas"),
+            sum_money("capital_social").alias("capital_social_total"),
+            F.avg("idade_empresa_anos").alias("idade_media_empresas"),
+            F.max("populacao").alias("populacao"),
+        )
     )
-    is_capital = F.col("measure") == "capital_social"
-    is_age = F.col("measure") == "idade_empresa_anos"
-    weighted_capital = F.coalesce(exact_money("value"), F.lit(0).cast("decimal(28,4)")) * F.col("n").cast("decimal(15,0)")
-    cells = hist.groupBy(*_CELL).agg(
-        F.sum(F.when(is_capital, F.col("n"))).alias("total_empresas_ativas"),
-        F.sum(F.when(is_capital, weighted_capital)).cast("double").alias("capital_social_total"),
-        ratio(F.sum(F.when(is_age, F.col("value") * F.col("n"))), F.sum(F.when(is_age, F.col("n")))).alias("idade_media_empresas"),
-        F.max("populacao").alias("populacao"),
-    )
-    by_measure = {"capital_social": "capital_social_mediano", "idade_empresa_anos": "idade_mediana_empresas"}
-    medians = (
-        histogram_medians(hist, _CELL)
-        .groupBy(F.struct(*_CELL).alias("_cell"))
-        .agg(*[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(out) for m, out in by_measure.items()])
+    sizes = cells.select(*_CELL, F.col("total_empresas_ativas").alias("n"))
+    medians = grouped_medians(silver, _CELL, ("capital_social", "idade_empresa_anos"), sizes, group_rows).select(
+        F.struct(*_CELL).alias("_cell"),
+        F.col("capital_social").alias("capital_social_mediano"),
+        F.col("idade_empresa_anos").alias("idade_mediana_empresas"),
     )
     joined = cells.withColumn("_cell", F.struct(*_CELL)).join(medians, "_cell", "left").drop("_cell")
     shared = share_of_parent(joined, "total_empresas_ativas", parent, "participacao_cnae_no_municipio")

@@ -11,13 +11,20 @@ from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable
 
 
-def test_median_matches_statistics(spark):
+def medians_of(df, keys, measures, limit):
+    """Groups above `limit` rows take the histogram, the others the built-in median."""
+    return grouped_medians(df, keys, measures, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), limit)
+
+
+@pytest.mark.parametrize("limit", [0, 1000, 100_000])
+def test_median_matches_statistics(spark, limit):
     rng = random.Random(7)
     rows = [(rng.choice(["a", "b", None]), rng.choice([None, *(round(rng.uniform(-1e6, 1e9), 2) for _ in range(3))]), rng.randint(0, 90)) for _ in range(4000)]
     # One group holds most of the rows, many of them copies of one value.
     rows += [("hot", 1000.0, 5)] * 5000 + [("hot", float(i), i % 7) for i in range(3000)] + [("solo", None, 3)]
     df = spark.createDataFrame(rows, "k string, x double, y long").repartition(8)
-    got = {r.k: (r.x, r.y) for r in grouped_medians(df, ["k"], ["x", "y"]).collect()}
+    got = {r.k: (r.x, r.y) for r in medians_of(df, ["k"], ["x", "y"], limit).collect()}
+    assert len(got) == len({r[0] for r in rows})
     for key in {r[0] for r in rows}:
         xs = [x for k, x, _ in rows if k == key and x is not None]
         ys = [y for k, _, y in rows if k == key]
@@ -29,7 +36,7 @@ def test_median_agrees_with_builtin_and_splits_a_hot_group(spark):
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("g"),
         (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 100).alias("v"),
     )
-    ours = grouped_medians(df, ["g"], ["v"])
+    ours = medians_of(df, ["g"], ["v"], 1000)
     builtin = df.groupBy("g").agg(F.median("v").alias("b"))
     assert ours.join(builtin, "g").filter(F.abs(F.col("v") - F.col("b")) > 1e-9).isEmpty()
     assert ours.count() == builtin.count()

@@ -150,6 +150,20 @@ def test_one_municipality_scores_zero(spark, built):
     assert (row.score_oportunidade, row.posicao_ranking) == (0.0, 1)
 
 
+def test_profile_does_not_depend_on_the_median_path(spark):
+    df = spark.range(3000).select(
+        F.lit("SC").alias("uf"),
+        F.when(F.col("id") % 3 == 0, "M0").otherwise(F.concat(F.lit("M"), (F.col("id") % 4).cast("string"))).alias("municipio"),
+        F.when(F.col("id") % 50 != 0, (F.col("id") % 3).cast("string")).alias("cnae_principal"),
+        F.lit(None).cast("string").alias("descricao_cnae"),
+        F.when(F.col("id") % 11 != 0, F.pmod(F.xxhash64("id"), F.lit(100_000)) / 100).alias("capital_social"),
+        (F.col("id") % 41).alias("idade_empresa_anos"),
+        F.lit(1000.0).alias("populacao"),
+    )
+    tables = [sorted(repr(tuple(r)) for r in gold.municipio_cnae(df, group_rows=n).collect()) for n in (0, 100, 10_000)]
+    assert tables[0] == tables[1] == tables[2]
+
+
 def test_null_municipality_is_a_group_without_share(spark, built):
     tables, _ = built
     df = tables["gold_empresas_ativas"].withColumn("municipio", F.lit(None).cast("string"))
