@@ -14,11 +14,10 @@ from marketlens.plans import bronze, diagnosis, explore, gold, quality, silver
 from marketlens.schemas import Thresholds
 from marketlens.session import durable
 from marketlens.sources.catalog import classify_kind
-from marketlens.tpch_views import AS_OF, TARGET_UF, Views, views
+from marketlens.tpch_views import AS_OF, DESCRIPTIONS, TARGET_UF, Views, views
 
 _ESTAB_KEY = ("cnpj_basico", "cnpj_ordem", "cnpj_dv")
 _EXPLORED = ("cnpj_completo", "municipio", "cnae_principal", "porte_empresa", "idade_empresa_anos", "capital_social")
-_PIVOTED = ("blue bolt", "red widget", "small ring", "small widget")
 # Published thresholds scaled to the size of the test tables.
 _THRESHOLDS = Thresholds(min_ativos=5_000, min_cnaes_descritos=300, min_registros_uf=5_000)
 
@@ -256,7 +255,7 @@ def top_naturezas(v: Views) -> DataFrame:
 @query
 def pivot_municipio_cnae(v: Views) -> DataFrame:
     return explore.pivot_counts(
-        gold.municipio_cnae(v.silver), "municipio", "descricao_cnae", "total_empresas_ativas", _PIVOTED
+        gold.municipio_cnae(v.silver), "municipio", "descricao_cnae", "total_empresas_ativas", DESCRIPTIONS
     )
 
 

@@ -17,6 +17,11 @@ from marketlens.plans.bronze import bronze_companies, bronze_simples, filter_tar
 from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable, tune
 
+# The words part names are made of; they serve as industry descriptions.
+PART_ADJECTIVES = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
+PART_NOUNS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+DESCRIPTIONS = tuple(f"{a} {n}" for a in PART_ADJECTIVES for n in PART_NOUNS)
+
 TARGET_UF = "AS"
 AS_OF = "2024-01-01"
 
