@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
+from marketlens import oracle, registry  # noqa: E402
 
 SF = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -25,10 +26,11 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry.queries()) == set(oracle.QUERIES)
+    assert set(registry.queries()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("key", sorted(contract.queries()))
+@pytest.mark.parametrize("key", sorted(registry.queries()))
 def test_matches_sql(spark, duck, key):
     df = contract.queries()[key](spark, SF)
     names = sorted(df.columns)
