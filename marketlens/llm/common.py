@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from marketlens.session import durable
 
-#: Rows that Spark hands to Python at once; texts can be long, so few.
+#: Rows and bytes that Spark hands to Python at once; texts can be long, so few.
 BATCH_ROWS = 500
+BATCH_BYTES = 16 << 20
 #: Bytes of a stored table up to which it may be broadcast; beyond that the join shuffles.
 BROADCAST_BYTES = 16 << 20
 LEAST = -(2**63)
@@ -21,6 +22,7 @@ LEAST = -(2**63)
 def small_batches(spark: SparkSession) -> None:
     """Keep the Arrow batches of texts small, so that a worker holds few long texts at once."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def narrow(docs: DataFrame, **columns: str) -> DataFrame:
