@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         for key in keys:
             column = table.column(key).combine_chunks()
             column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-            same &= pa.compute.equal(column, column[last]).to_numpy(zero_copy_only=False)
+            same &= pc.equal(column, column[last]).to_numpy(zero_copy_only=False)
         start = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
         if start:
             yield table.slice(0, start)

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,7 +81,7 @@ def _tiles(size: int):
 
         for batch in batches:
             vectors = batch.column(1)
-            lengths = pa.compute.list_value_length(vectors).fill_null(0).to_numpy(zero_copy_only=False)
+            lengths = pc.list_value_length(vectors).fill_null(0).to_numpy(zero_copy_only=False)
             for dim in np.unique(lengths[lengths > 0]).tolist():
                 own = pa.array(lengths == dim)
                 ids = batch.column(0).filter(own)
