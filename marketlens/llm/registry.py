@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from marketlens.llm import bpe, exact_dedup, html_text, mixing, neighbours, pii, quality_score, simhash, toxicity
+from marketlens.llm import bpe, exact_dedup, html_text, mixing, neighbours, pii, quality_score, simhash, suffix_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -52,6 +52,11 @@ SELECT query_id, place::INTEGER AS rank, vec_id, score FROM ranked WHERE place <
 """
 
 
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
