@@ -147,7 +147,7 @@ def near_links(prints: DataFrame, radius: int = RADIUS, limit: int = BUCKET_LIMI
             for s, m in enumerate(covering_masks([p for p in range(BITS) if not mask >> p & 1], radius))
         ]
         again = F.broadcast(prints.sparkSession.createDataFrame(again, "t int, s int, mask long"))  # as many rows at any size
-        hot = members.where("hot").drop("s", "sub").join(again, "t").withColumn("sub", F.col("fp").bitwiseAND("mask"))
+        hot = members.where("hot").drop("s", "sub").join(again, "t").withColumn("sub", F.col("fp").bitwiseAND(F.col("mask")))
         members = members.where("not hot").unionByName(hot.select("fp", "t", "key", "hot", "s", "sub"))
     keys = ["t", "key", "s", "sub"]
     members = members.select(*keys, "fp").repartition(*keys).sortWithinPartitions(*keys, "fp")
