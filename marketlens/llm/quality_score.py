@@ -43,14 +43,15 @@ def pieces(data: bytes, size: int = PIECE) -> list[bytes]:
     return [data[i * step : (i + 1) * step] for i in range(n)]
 
 
-def build(samples: list[bytes], size: int = DICTIONARY) -> bytes:
-    """A dictionary of the samples; their end as it is where they are too few to train one."""
-    if sum(map(len, samples)) > 8 * size:
-        try:
-            return zstandard.train_dictionary(size, samples, k=64, d=8).as_bytes()
-        except zstandard.ZstdError:
-            pass
-    return b"".join(samples)[-size:]
+def build(good: list[bytes], bad: list[bytes], size: int = DICTIONARY) -> tuple[bytes, bytes]:
+    """A dictionary of either kind of samples, of one size; the samples' ends as they are where
+    there are too few to train on."""
+    size = min(size, max(1024, min(sum(map(len, good)), sum(map(len, bad))) // 4))
+    try:
+        good_one, bad_one = (zstandard.train_dictionary(size, x, k=64, d=8).as_bytes() for x in (good, bad))
+        return good_one, bad_one
+    except zstandard.ZstdError:
+        return b"".join(good)[-size:], b"".join(bad)[-size:]
 
 
 @dataclass
@@ -141,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Curve:
     build_from: dict[int, list[bytes]] = {0: [], 1: []}
     for r in rows.where("half = 0").select("doc_id", "quality", _sampled(PIECES)("text").alias("parts")).orderBy("quality", "doc_id").toLocalIterator():
         build_from[r["quality"]] += map(bytes, r["parts"])
-    curve = Curve(build(build_from[1]), build(build_from[0]))
+    curve = Curve(*build(build_from[1], build_from[0]))
     rest = rows.where("half = 1").select("doc_id", "quality", _differences(curve)("text").alias("x")).orderBy("doc_id", "quality").collect()
     # each label counts as often as it occurs among all labelled rows
     x, y = np.array([r["x"] for r in rest]), np.array([r["quality"] for r in rest], dtype=float)
