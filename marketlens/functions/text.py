@@ -129,7 +129,7 @@ def empty_to_null(c: Column | str) -> Column:
 
 
 def parse_br_number(c: Column | str, style: str = "br") -> Column:
-    """Brazilian number text to double, null when it is not a number.
+    """Brazilian number text to double, null when it is not a number or more than a double holds.
 
     "br" drops every point and reads the comma as the decimal mark. "auto" does so only
     where a comma or several points occur, so that `74500.10` keeps its value."""
@@ -140,7 +140,8 @@ def parse_br_number(c: Column | str, style: str = "br") -> Column:
         plain = F.when(dotted, text).otherwise(plain)
     elif style != "br":
         raise ValueError(f"unknown number style {style!r}")
-    return F.when(plain.rlike(_NUMBER), plain.try_cast("double"))
+    value = F.when(plain.rlike(_NUMBER), plain.try_cast("double"))
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def parse_yyyymmdd(c: Column | str) -> Column:

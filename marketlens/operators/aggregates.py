@@ -16,13 +16,23 @@ _BUCKETS_PER_E = 1000
 GROUP_ROWS = 100_000
 
 
-def exact_money(c: Column | str) -> Column:
-    """A money column as a decimal, so that sums do not depend on the row order."""
-    return (F.col(c) if isinstance(c, str) else c).cast("decimal(28,4)")
+# Amounts below this are added up exactly, with twelve decimals; 10^8 rows of them fit a sum.
+_EXACT_BELOW = 1e18
 
 
-def sum_money(c: Column | str) -> Column:
-    return F.sum(F.coalesce(exact_money(c), F.lit(0).cast("decimal(28,4)"))).cast("double")
+def money_parts(c: str) -> dict[str, Column]:
+    """Two sums that make up the total of a money column: of what fits a decimal, exact in any
+    order of the rows, and of the rest as doubles."""
+    fits = F.abs(c) < _EXACT_BELOW
+    return {
+        f"{c}_exact": F.sum(F.when(fits, F.col(c)).cast("decimal(30,12)")),
+        f"{c}_rest": F.sum(F.when(~fits, F.col(c))),
+    }
+
+
+def sum_money(c: str) -> Column:
+    exact, rest = money_parts(c).values()
+    return F.coalesce(exact.cast("double"), F.lit(0.0)) + F.coalesce(rest, F.lit(0.0))
 
 
 def ratio(a: Column, b: Column) -> Column:
@@ -115,6 +125,12 @@ def histogram(df: DataFrame, key: Column | str, name: str, n: str = "n") -> Data
     return df.groupBy((F.col(key) if isinstance(key, str) else key).alias(name)).agg(F.count(F.lit(1)).alias(n))
 
 
+def with_empty(counts: DataFrame, keys: DataFrame, key: str = "source") -> DataFrame:
+    """Rows `n` per key, 0 for those of `keys` that have none."""
+    known = counts.join(keys.select(key).distinct(), key, "full_outer")
+    return known.select(key, F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def top(df: DataFrame, count: str, keys: Sequence[str], n: int) -> DataFrame:
     """The n largest rows by `count`; ties go to the smaller key."""
     return df.orderBy(F.desc_nulls_last(count), *[F.asc_nulls_last(k) for k in keys]).limit(n)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import empty_to_null, normalize_text
-from marketlens.operators.aggregates import histogram
+from marketlens.operators.aggregates import histogram, with_empty
 from marketlens.operators.keys import keep_known
 from marketlens.schemas import ACTIVE_CODES, LAYOUTS
 
@@ -64,8 +64,10 @@ def ingest_funnel(estab: DataFrame, target_uf: str, active_codes: Sequence[str]
     return counters.withColumn("_d", distinct.scalar()).select("lidos", "na_uf", "ativos", "_d.*")
 
 
-def rows_by_source(df: DataFrame) -> DataFrame:
-    return histogram(df, "source", "source")
+def rows_by_source(df: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+    """Rows of each source, 0 for those of `sources` (column source) that have none."""
+    counts = histogram(df, "source", "source")
+    return counts if sources is None else with_empty(counts, sources)
 
 
 def status_histogram(estab: DataFrame, target_uf: str) -> DataFrame:

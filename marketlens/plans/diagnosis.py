@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import is_strange_uf
-from marketlens.operators.aggregates import top
-from marketlens.operators.keys import distinct_keys, keep_known, key_overlap, missing_keys, stored_keys
+from marketlens.operators.aggregates import top, with_empty
+from marketlens.operators.keys import distinct_keys, keep_known, key_overlap, missing_keys, stored_keys, union_parts
 from marketlens.plans.bronze import filter_target, in_state, is_active
 from marketlens.plans.quality import rule
 from marketlens.schemas import ACTIVE_CODES, PARTS_PER_KIND, Thresholds
@@ -215,19 +215,31 @@ def diagnose(
     target_uf: str,
     thresholds: Thresholds = Thresholds(),
 ) -> dict[str, DataFrame]:
-    """The whole diagnosis as named DataFrames. `estab` and `emp` carry a `source` column."""
+    """The whole diagnosis as named DataFrames. `estab` and `emp` carry a `source` column; `catalog`
+    is the whole catalogue, with what is ignored and why. A source without rows was read too."""
+    used = catalog.filter("processed")
+
+    def read(kind: str) -> DataFrame:
+        return used.filter(F.col("kind") == kind).select(F.col("label").alias("source"))
+
+    def size(kind: str, table: DataFrame) -> DataFrame:
+        return table.agg(F.lit(kind).alias("tabela"), F.count(F.lit(1)).alias("n"))
+
     counts = durable(ingest_counts(estab))
     target = durable(target_keys(estab, target_uf))
     owners = durable(owner_keys(emp, target))
     hist = uf_histogram(counts)
     matches = durable(key_matches(target, owners, municipios, cnaes, naturezas))
-    by_file = rows_by_source(counts)
+    by_file = durable(with_empty(rows_by_source(counts), read("estabelecimentos")))
+    tables = {"municipios": municipios, "cnaes": cnaes, "naturezas": naturezas, "empresas_com_estabelecimento": owners}
+    sizes = [size(kind, table) for kind, table in tables.items()]
     status = counts.filter(in_state(target_uf)).groupBy(F.coalesce("situacao_cadastral", F.lit("")).alias("situacao_cadastral"))
     return {
         "catalogo": catalog,
-        "partes": part_lists(catalog),
+        "partes": part_lists(used),
         "linhas_estabelecimentos": by_file,
-        "linhas_empresas": emp.groupBy("source").agg(F.count(F.lit(1)).alias("n")),
+        "linhas_empresas": with_empty(emp.groupBy("source").agg(F.count(F.lit(1)).alias("n")), read("empresas")),
+        "linhas_tabelas": union_parts(sizes),
         "top_ufs": top_ufs(hist),
         "ufs_estranhas": strange_ufs(hist),
         "situacao_uf": status.agg(F.sum("n").alias("n")),
@@ -237,7 +249,7 @@ def diagnose(
         "amostra_municipios": sample_rows(municipios, ("codigo_municipio_receita",), 10),
         "amostra_cnaes": sample_rows(cnaes, ("cnae",), 10),
         "codigos_municipios": sample_codes(target, "municipio"),
-        "bloqueios": blockers(facts(hist, matches, cnaes, catalog, by_file, target_uf, thresholds), thresholds),
+        "bloqueios": blockers(facts(hist, matches, cnaes, used, by_file, target_uf, thresholds), thresholds),
     }
 
 

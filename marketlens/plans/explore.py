@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.functions.display import code_label, fmt_br_money, fmt_br_number, label_code
-from marketlens.operators.aggregates import exact_money, histogram, histogram_medians, ratio, sum_money, top
+from marketlens.operators.aggregates import histogram, histogram_medians, money_parts, ratio, sum_money, top
 from marketlens.session import durable
 
 # Display names of the three tables shown to users.
@@ -101,19 +101,22 @@ def kpis(silver: DataFrame) -> DataFrame:
     cells = durable(
         silver.groupBy("municipio", "cnae_principal", age).agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(exact_money("pib_per_capita")).alias("pib"),
             F.count("pib_per_capita").alias("n_pib"),
-            F.sum(exact_money("capital_social")).alias("capital"),
+            *[part.alias(name) for c in ("pib_per_capita", "capital_social") for name, part in money_parts(c).items()],
         )
     )
     ages = cells.groupBy(F.lit("all").alias("group"), F.lit(age).alias("measure"), F.col(age).cast("double").alias("value"))
     median = histogram_medians(ages.agg(F.sum("n").alias("n")), ["group"]).select("median")
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(f"{c}_exact").cast("double"), F.lit(0.0)) + F.coalesce(F.sum(f"{c}_rest"), F.lit(0.0))
+
     return cells.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("empresas"),
         F.count_distinct("municipio").alias("municipios"),
         F.count_distinct("cnae_principal").alias("cnaes"),
-        ratio(F.sum("pib").cast("double"), F.sum("n_pib")).alias("pib_medio"),
-        F.coalesce(F.sum("capital").cast("double"), F.lit(0.0)).alias("capital_total"),
+        ratio(total("pib_per_capita"), F.sum("n_pib")).alias("pib_medio"),
+        total("capital_social").alias("capital_total"),
     ).withColumn("idade_mediana", median.scalar())
 
 
@@ -161,14 +164,15 @@ def value_counts(df: DataFrame, column: str, missing: str, name: str, n: int | N
 
 
 def facets(silver: DataFrame, columns: Sequence[str] = FACETS) -> DataFrame:
-    """The non-null values of each column, one pass over the table."""
+    """The non-null values of each column in order, one pass over the table."""
     pairs = F.array(*[F.struct(F.lit(c).alias("faceta"), F.col(c).alias("valor")) for c in columns])
-    return silver.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("valor").isNotNull()).distinct()
+    values = silver.select(F.explode(pairs).alias("p")).select("p.*").filter(F.col("valor").isNotNull()).distinct()
+    return values.orderBy("faceta", "valor")
 
 
 def cnae_labels(silver: DataFrame) -> DataFrame:
     distinct = silver.filter(F.col("cnae_principal").isNotNull()).select("cnae_principal", "descricao_cnae").distinct()
-    return distinct.select(code_label("cnae_principal", "descricao_cnae").alias("label"))
+    return distinct.select(code_label("cnae_principal", "descricao_cnae").alias("label")).orderBy("label")
 
 
 def filter_by_labels(silver: DataFrame, labels: DataFrame) -> DataFrame:
@@ -186,9 +190,8 @@ def range_bounds(silver: DataFrame) -> DataFrame:
 
 
 def pivot_counts(df: DataFrame, row: str, column: str, value: str, columns: Sequence[str] | None = None) -> DataFrame:
-    """Sum of `value` per row key, one column per key of `column` (all of them unless
-    listed, which saves the job that looks them up), 0 where there is none. Null keys are
-    left out."""
+    """Sum of `value` per row key, one column per key of `column` that occurs (or that is
+    listed, for a chosen few), 0 where there is none. Null keys are left out."""
     known = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
     table = known.groupBy(row).pivot(column, None if columns is None else list(columns)).agg(F.sum(value))
     return table.na.fill(0)

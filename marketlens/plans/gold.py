@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.operators.aggregates import GROUP_ROWS, grouped_medians, ratio, sum_money
@@ -78,11 +78,11 @@ def minmax_municipios(silver: DataFrame) -> DataFrame:
 
 
 def ranking_municipios(silver: DataFrame, weights: Mapping[str, float] = MUNICIPIO_WEIGHTS) -> DataFrame:
-    """Municipalities by opportunity score; equal scores rank by name."""
+    """Municipalities by opportunity score, best first; equal scores rank by name."""
     scored = minmax_municipios(silver).withColumn("score_oportunidade", weighted_score(weights))
     columns = [c for c in RANKING_MUNICIPIOS_SCHEMA.fieldNames() if c != "posicao_ranking"]
     order = [F.desc_nulls_last("score_oportunidade"), F.asc_nulls_last("municipio")]
-    return global_rank(scored.select(*columns), order, "posicao_ranking")
+    return global_rank(scored.select(*columns), order, "posicao_ranking").orderBy("posicao_ranking")
 
 
 def cnae_features(silver: DataFrame) -> DataFrame:
@@ -106,9 +106,12 @@ def minmax_cnaes(silver: DataFrame) -> DataFrame:
     )
 
 
+def cnae_order() -> list[Column]:
+    """Best score first, then by code."""
+    return [F.desc_nulls_last("score_relevancia"), F.asc_nulls_last("cnae_principal"), F.asc_nulls_last("descricao_cnae")]
+
+
 def ranking_cnaes(silver: DataFrame, weights: Mapping[str, float] = CNAE_WEIGHTS) -> DataFrame:
     """Industries by relevance score, best first."""
     scored = minmax_cnaes(silver).withColumn("score_relevancia", weighted_score(weights))
-    return scored.select(*RANKING_CNAES_SCHEMA.fieldNames()).orderBy(
-        F.desc_nulls_last("score_relevancia"), F.asc_nulls_last("cnae_principal"), F.asc_nulls_last("descricao_cnae")
-    )
+    return scored.select(*RANKING_CNAES_SCHEMA.fieldNames()).orderBy(*cnae_order())

@@ -9,11 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_name
-from marketlens.operators.aggregates import histogram
 from marketlens.operators.keys import distinct_keys
 from marketlens.plans import bronze, diagnosis, gold, quality, silver
 from marketlens.schemas import LAYOUTS, RAW_ENCODING, Thresholds
-from marketlens.session import tune
+from marketlens.session import _WRITTEN, release, tune
 from marketlens.sources import readers, sinks
 from marketlens.sources.catalog import catalog, find_indicator_file, list_files
 
@@ -105,7 +104,8 @@ def metrics_table(raw: dict[str, DataFrame], kept: dict[str, DataFrame], funnel:
     spark = sources.sparkSession
     parts = [rows(sources.filter("processed"), "fontes_descobertas", F.col("kind"), F.col("label"))]
     for kind, table in raw.items():
-        parts.append(rows(histogram(table, "source", "source"), f"registros_{kind}_por_arquivo", F.col("source"), F.col("n")))
+        names = sources.filter(F.col("processed") & (F.col("kind") == kind)).select(F.col("label").alias("source"))
+        parts.append(rows(bronze.rows_by_source(table, names), f"registros_{kind}_por_arquivo", F.col("source"), F.col("n")))
     for kind, table in kept.items():
         parts.append(rows(table.agg(F.count(F.lit(1)).alias("n")), f"registros_{kind}_mantidos", F.lit(""), F.col("n")))
     parts += [rows(funnel, name, F.lit(""), F.col(name)) for name in ("lidos", "na_uf", "ativos", "empresas_unicas")]
@@ -134,17 +134,43 @@ def run_pipeline(
     Raises `IngestionBlocked` when a rule of the diagnosis blocks (unless skipped) and
     `FileNotFoundError` when a mandatory kind has no source."""
     tune(spark)
-    as_of = str(as_of or date.today())
+    before = len(_WRITTEN)
+    try:
+        return _build(spark, paths, folder, target_uf, str(as_of or date.today()), skip_diagnostic, thresholds, style, encoding, multiline, spread)
+    finally:
+        release(spark, before)
+
+
+def _build(
+    spark: SparkSession,
+    paths: Sequence[str],
+    folder: str,
+    target_uf: str,
+    as_of: str,
+    skip_diagnostic: bool,
+    thresholds: Thresholds,
+    style: str,
+    encoding: str,
+    multiline: bool | None,
+    spread: int | None,
+) -> dict[str, DataFrame]:
     sources = sinks.write_table(catalog(spark, paths), f"{folder}/catalogo")
     if not skip_diagnostic:
-        diagnosis.gate(diagnosis.presence_blockers(sources.filter("processed")))
+        early = {
+            "catalogo": sources,
+            "partes": diagnosis.part_lists(sources.filter("processed")),
+            "bloqueios": diagnosis.presence_blockers(sources.filter("processed")),
+        }
+        for section, rows in early.items():
+            sinks.write_json(rows, f"{folder}/diagnostico/{section}")
+        diagnosis.gate(spark.read.json(f"{folder}/diagnostico/bloqueios"))
     for kind in MANDATORY:
         if sources.filter((F.col("kind") == kind) & F.col("processed")).isEmpty():
             raise FileNotFoundError(f"no source of kind {kind!r} under {list(paths)}")
 
     raw = land(spark, sources, folder, encoding=encoding, multiline=multiline, spread=spread)
     if not skip_diagnostic:
-        run_diagnosis(sources.filter("processed"), raw, folder, target_uf, thresholds)
+        run_diagnosis(sources, raw, folder, target_uf, thresholds)
         diagnosis.gate(spark.read.json(f"{folder}/diagnostico/bloqueios"))
 
     estab = sinks.write_table(
@@ -165,11 +191,11 @@ def run_pipeline(
         "gold_empresas_ativas": market,
         "gold_municipio_cnae": sinks.export(gold.municipio_cnae(market), f"{folder}/gold", "gold_municipio_cnae"),
         "gold_ranking_municipios": sinks.export(
-            gold.ranking_municipios(market), f"{folder}/gold", "gold_ranking_municipios"
+            gold.ranking_municipios(market), f"{folder}/gold", "gold_ranking_municipios", ["posicao_ranking"]
         ),
-        "gold_ranking_cnaes": sinks.export(gold.ranking_cnaes(market), f"{folder}/gold", "gold_ranking_cnaes"),
+        "gold_ranking_cnaes": sinks.export(gold.ranking_cnaes(market), f"{folder}/gold", "gold_ranking_cnaes", gold.cnae_order()),
         "gold_qualidade_dados": sinks.export(
-            quality.quality_checks(market, funnel, emp, status), f"{folder}/gold", "gold_qualidade_dados"
+            quality.quality_checks(market, funnel, emp, status, style), f"{folder}/gold", "gold_qualidade_dados"
         ),
     }
     kept = {"empresas": emp, "simples": simples, "municipios": municipios, "indicadores": indicators}

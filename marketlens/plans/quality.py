@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.functions.text import empty_to_null
+from marketlens.functions.text import empty_to_null, parse_br_number
 from marketlens.operators.aggregates import histogram, histogram_json
 from marketlens.operators.ranking import ratio
 from marketlens.schemas import QUALITY_SCHEMA, Thresholds
@@ -30,7 +30,7 @@ def _check(name: str, value: Column, status: Column | str = "ok") -> Column:
     )
 
 
-def quality_checks(gold: DataFrame, funnel: DataFrame, matched: DataFrame, status: DataFrame) -> DataFrame:
+def quality_checks(gold: DataFrame, funnel: DataFrame, matched: DataFrame, status: DataFrame, style: str = "br") -> DataFrame:
     """The report, one row per check.
 
     `funnel` is one row of `ingest_funnel`, `matched` the companies kept in bronze and
@@ -50,11 +50,12 @@ def quality_checks(gold: DataFrame, funnel: DataFrame, matched: DataFrame, statu
     )
     porte = histogram_json(porte_histogram(gold), "porte", "total")
     situacao = histogram_json(status, "situacao_cadastral", "n")
+    refused = empty_to_null("capital_social").isNotNull() & parse_br_number("capital_social", style).isNull()
     read = funnel.agg(F.first(F.struct("lidos", "na_uf", "ativos", "empresas_unicas")))
     facts = totals.withColumns(
         {
             "f": read.scalar(),
-            "cruzadas": matched.agg(F.count(F.lit(1))).scalar(),
+            "emp": matched.agg(F.struct(F.count(F.lit(1)).alias("n"), F.count_if(refused).alias("recusados"))).scalar(),
             "porte": porte.scalar(),
             "situacao": situacao.scalar(),
         }
@@ -70,7 +71,8 @@ def quality_checks(gold: DataFrame, funnel: DataFrame, matched: DataFrame, statu
             _check("estabelecimentos_sc", F.col("f.na_uf")),
             _check("estabelecimentos_ativos_sc", F.col("f.ativos")),
             _check("cnpj_basico_unicos_sc", F.col("f.empresas_unicas")),
-            _check("empresas_cruzadas_com_sucesso", F.col("cruzadas")),
+            _check("empresas_cruzadas_com_sucesso", F.col("emp.n")),
+            _check("capital_social_recusado", F.col("emp.recusados"), F.when(F.col("emp.recusados") > 0, "atencao").otherwise("ok")),
             _check("total_gold_empresas_ativas_sc", F.col("total")),
             percent_row("percentual_empresas_sem_cnae", "sem_cnae"),
             percent_row("percentual_empresas_sem_municipio", "sem_municipio"),

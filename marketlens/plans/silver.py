@@ -81,9 +81,10 @@ def build_silver(
 ) -> DataFrame:
     """Join active establishments with their companies (inner) and the five dimensions (left).
 
-    Tax regimes go to the companies first, and both are stored. The one large join is then
+    Tax regimes go to the companies first, which are stored. The one large join is then
     between two scans, which AQE splits where a company holds many of the establishments.
-    The code tables are broadcast after a count of their rows."""
+    The code tables are broadcast if the sizes of their files allow it; nothing is run for that.
+    Storing the companies is the only job before the plan's own."""
     mun = dedup_dim(municipios.select("codigo_municipio_receita", "nome_municipio_receita", "municipio_norm"), "codigo_municipio_receita")
     places = broadcast_if_small(
         mun.join(indicator_rollup(indicators, style), "municipio_norm", "left").select(
@@ -100,7 +101,7 @@ def build_silver(
     nat = broadcast_if_small(
         dedup_dim(naturezas.select("natureza_juridica", "descricao_natureza_juridica"), "natureza_juridica")
     )
-    regimes = durable(dedup_dim(simples.select("cnpj_basico", "opcao_simples", "opcao_mei"), "cnpj_basico"))
+    regimes = dedup_dim(simples.select("cnpj_basico", "opcao_simples", "opcao_mei"), "cnpj_basico")
     owners = durable(companies(emp, style).join(regimes, "cnpj_basico", "left").join(nat, "natureza_juridica", "left"))
     return (
         establishments(estab)

@@ -14,7 +14,7 @@ from marketlens.plans import bronze, diagnosis, explore, gold, quality, silver
 from marketlens.schemas import Thresholds
 from marketlens.session import durable
 from marketlens.sources.catalog import classify_kind
-from marketlens.tpch_views import AS_OF, DESCRIPTIONS, TARGET_UF, Views, views
+from marketlens.tpch_views import AS_OF, TARGET_UF, Views, views
 
 _ESTAB_KEY = ("cnpj_basico", "cnpj_ordem", "cnpj_dv")
 _EXPLORED = ("cnpj_completo", "municipio", "cnae_principal", "porte_empresa", "idade_empresa_anos", "capital_social")
@@ -38,14 +38,17 @@ def classify_kind_(v: Views) -> DataFrame:
 
 @query
 def union_parts_(v: Views) -> DataFrame:
-    lines = v.table("lineitem").select((F.col("l_orderkey") % 4).alias("part"), "l_linenumber")
-    whole = union_parts([lines.filter(F.col("part") == i) for i in range(4)])
-    return whole.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("l_linenumber").alias("linhas"))
+    def part(name: str, p: str) -> DataFrame:
+        key = F.concat(F.lit(p.upper()), F.col("_1").cast("string")).alias("chave")
+        rows = v.table(name).select(F.col(f"{p}_{'supp' if p == 's' else 'cust'}key").alias("_1"), f"{p}_name", f"{p}_nationkey", f"{p}_acctbal")
+        return rows.select(key, F.col(f"{p}_name").alias("nome"), F.col(f"{p}_nationkey").alias("pais"), F.col(f"{p}_acctbal").alias("saldo"))
+
+    return union_parts([part("supplier", "s"), part("customer", "c")])
 
 
 @query
 def rows_by_source(v: Views) -> DataFrame:
-    return bronze.rows_by_source(v.estab.select("source").unionByName(v.emp.select("source")))
+    return bronze.rows_by_source(v.estab.select("source").unionByName(v.emp.select("source")), v.source_names)
 
 
 @query
@@ -158,7 +161,7 @@ def duplicate_keys_(v: Views) -> DataFrame:
 @query
 def audit_layers(v: Views) -> DataFrame:
     return quality.audit_layers(
-        v.active, v.active_companies, v.silver, gold.municipio_features(v.silver), gold.cnae_features(v.silver)
+        v.active, v.active_companies, v.silver, gold.ranking_municipios(v.silver), gold.ranking_cnaes(v.silver)
     )
 
 
@@ -192,6 +195,23 @@ def diag_missing_parts(v: Views) -> DataFrame:
     return diagnosis.missing_parts(v.catalog_of(v.estab))
 
 
+@query
+def diag_presence(v: Views) -> DataFrame:
+    return diagnosis.presence_blockers(v.catalog_of(v.estab))
+
+
+@query
+def diag_part_lists(v: Views) -> DataFrame:
+    lists = diagnosis.part_lists(v.catalog_of(v.estab))
+    return lists.select("tipo", *[F.array_join(c, ",").alias(c) for c in ("esperados", "encontrados", "faltantes")])
+
+
+@query
+def audit_rules(v: Views) -> DataFrame:
+    missing = diagnosis.missing_parts(v.catalog_of(v.estab))
+    return quality.audit_blockers(durable(audit_layers(v)), missing, durable(_matches(v)), _THRESHOLDS)
+
+
 @query
 def diag_sample_codes(v: Views) -> DataFrame:
     return diagnosis.sample_codes(diagnosis.target_keys(v.dirty_estab, TARGET_UF), "municipio")
@@ -202,9 +222,9 @@ def diag_blockers(v: Views) -> DataFrame:
     counts = durable(diagnosis.ingest_counts(v.dirty_estab))
     facts = diagnosis.facts(
         diagnosis.uf_histogram(counts),
-        _matches(v),
+        durable(_matches(v)),
         v.cnaes,
-        v.catalog_of(counts),
+        durable(v.catalog_of(counts)),
         diagnosis.rows_by_source(counts),
         TARGET_UF,
         _THRESHOLDS,
@@ -255,7 +275,7 @@ def top_naturezas(v: Views) -> DataFrame:
 @query
 def pivot_municipio_cnae(v: Views) -> DataFrame:
     return explore.pivot_counts(
-        gold.municipio_cnae(v.silver), "municipio", "descricao_cnae", "total_empresas_ativas", DESCRIPTIONS
+        durable(gold.municipio_cnae(v.silver)), "municipio", "descricao_cnae", "total_empresas_ativas"
     )
 
 

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROW_LIMIT = 200_000
+#: Bytes that Spark expects of a table up to which it is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -30,6 +31,16 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession, since: int = 0) -> None:
+    """Delete the tables that `durable` wrote, but for the first `since` of them."""
+    paths, _WRITTEN[since:] = _WRITTEN[since:], []
+    for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The same rows as a table written to the checkpoint folder.
 
@@ -38,12 +49,18 @@ def durable(df: DataFrame) -> DataFrame:
     Read back as Parquet, they have a known size and prunable columns."""
     spark = df.sparkSession
     path = f"{checkpoint_folder(spark)}/marketlens-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast only after counting that `df` holds at most `limit` rows; beyond
-    that the join is left to Catalyst, which shuffles it."""
-    rows = df.limit(limit + 1).count()
-    return F.broadcast(df) if rows <= limit else df
+def expected_bytes(df: DataFrame) -> int:
+    """The size the optimizer expects, from the sizes of the files; no job is run. Without such
+    sizes it is enormous."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only if `df` is expected to have at most `limit` bytes; beyond that the
+    join is left to Catalyst, which shuffles it."""
+    return F.broadcast(df) if expected_bytes(df) <= limit else df

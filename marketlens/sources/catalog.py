@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_text
 from marketlens.schemas import LAYOUTS
-from marketlens.sources.files import HEAD_BYTES, open_file, walk
+from marketlens.sources.files import is_zip, open_file, walk
 
 # Tokens of lower-cased names per kind; the first kind with a hit wins.
 NAME_TOKENS = {
@@ -41,6 +41,7 @@ COLUMNS = ("kind", "root_path", "archive_members", "processed", "ignored_reason"
 
 
 _FILES = pa.schema([("root", pa.string()), ("path", pa.string()), ("size_bytes", pa.int64())])
+_KINDS = pa.schema([*_FILES, ("zipped", pa.bool_())])
 _MEMBERS = pa.schema(
     [
         ("root", pa.string()),
@@ -86,6 +87,20 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return roots.mapInArrow(read, "root string, path string, size_bytes long").dropDuplicates(["path"])
 
 
+def with_archives(files: DataFrame) -> DataFrame:
+    """The files with `zipped`: named .zip, or a zip archive by its first bytes."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.to_pylist()
+            yield from _batches(
+                _KINDS, ((r["root"], r["path"], r["size_bytes"], r["path"].lower().endswith(".zip") or is_zip(r["path"])) for r in rows)
+            )
+
+    schema = "root string, path string, size_bytes long, zipped boolean"
+    return files.select("root", "path", "size_bytes").repartition("path").mapInArrow(read, schema)
+
+
 def _members(path: str, nested: bool) -> Iterator[tuple[list[str], int, str]]:
     """Members, sizes and state of one archive, from its directory alone."""
     try:
@@ -124,14 +139,13 @@ def archive_members(archives: DataFrame, nested: bool = False) -> DataFrame:
 def catalog(spark: SparkSession, paths: Sequence[str], scope: str = "name") -> DataFrame:
     """One row per source under `paths`, unusable ones with the reason they are ignored.
 
-    Files ending in .zip are archives: each member is a source, an inner archive counts as
-    one. With scope "path" kinds come from the whole path below the root, one level of inner
+    Files that hold a zip archive, or are named so, are archives: each member is a source, an
+    inner archive counts as one. With scope "path" kinds come from the whole path below the root, one level of inner
     archives is opened, and unknown files are left out."""
-    files = list_files(spark, paths)
-    is_zip = F.lower("path").endswith(".zip")
+    files = with_archives(list_files(spark, paths))
     by_path = scope == "path"
-    members = archive_members(files.filter(is_zip), nested=by_path)
-    plain = files.filter(~is_zip).select(
+    members = archive_members(files.filter("zipped"), nested=by_path)
+    plain = files.filter("not zipped").select(
         "root", "path", F.array().cast("array<string>").alias("archive_members"), "size_bytes", F.lit("file").alias("state")
     )
     rows = plain.unionByName(members).withColumn("name", F.element_at(F.split("path", "/"), -1))
@@ -166,7 +180,7 @@ def catalog(spark: SparkSession, paths: Sequence[str], scope: str = "name") -> D
             .when(F.col("state") == "member", "membro nao classificado")
             .otherwise("nome nao classificado")
         )
-        label_root = F.when(F.size("archive_members") > 0, F.col("name")).otherwise(F.col("path"))
+        label_root = F.col("path")
     kept_kind = F.when(good | (F.col("state") == "empty"), F.coalesce("found", F.lit(UNKNOWN))).otherwise(UNKNOWN)
     return rows.select(
         kept_kind.alias("kind"),
@@ -184,11 +198,11 @@ def sources_of_kind(sources: DataFrame, kind: str) -> DataFrame:
 
 
 def file_heads(files: DataFrame) -> DataFrame:
-    """The first line of each file, Latin-1 decoded, from its first bytes."""
+    """The first line of each file, Latin-1 decoded, however long it is."""
 
     def first_line(path: str) -> str:
         with open_file(path) as handle:
-            lines = handle.read(HEAD_BYTES).decode("latin-1").splitlines()
+            lines = handle.readline().decode("latin-1").splitlines()
         return lines[0] if lines else ""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,8 @@ from collections.abc import Iterator
 
 from pyarrow import fs
 
-HEAD_BYTES = 4096
+# Arrow's names of schemes that Hadoop calls otherwise.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
 def resolve(uri: str) -> tuple[fs.FileSystem, str, str]:
@@ -16,8 +17,9 @@ def resolve(uri: str) -> tuple[fs.FileSystem, str, str]:
         return fs.LocalFileSystem(), "/" + uri[len("file:") :].lstrip("/"), ""
     if "://" not in uri:
         return fs.LocalFileSystem(), uri, ""
-    system, path = fs.FileSystem.from_uri(uri)
-    return system, path, uri[: uri.index("://") + 3] + uri.split("://", 1)[1].removesuffix(path)
+    scheme, rest = uri.split("://", 1)
+    system, path = fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}://{rest}")
+    return system, path, f"{scheme}://" + rest.removesuffix(path)
 
 
 class _Raw(io.RawIOBase):
@@ -59,6 +61,13 @@ def open_file(uri: str) -> io.BufferedReader:
     return io.BufferedReader(_Raw(system.open_input_file(path)), 1 << 20)
 
 
+def is_zip(uri: str) -> bool:
+    """Whether a file is a zip archive, by its content: archives start with their first record or,
+    if empty, with the end record."""
+    with open_file(uri) as handle:
+        return handle.read(4) in (b"PK\x03\x04", b"PK\x05\x06", b"PK\x07\x08")
+
+
 def walk(root: str) -> Iterator[tuple[str, int]]:
     """Path and size of a file, or of every file under a folder; nothing for a missing path."""
     system, path, prefix = resolve(root)

@@ -72,7 +72,10 @@ def _read_csv(spark: SparkSession, kind: str, paths: Sequence[str], encoding: st
         .options(multiLine=multiline)
         .csv(list(paths))
     )
-    return raw.select(*[_cell(F.col(c)).alias(c) for c in LAYOUTS[kind]], F.col("_metadata.file_path").alias("source"))
+    # The metadata column is a URL-encoded URI, sources are named as they are listed.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    source = F.regexp_replace(path, "^file:/+", "/")
+    return raw.select(*[_cell(F.col(c)).alias(c) for c in LAYOUTS[kind]], source.alias("source"))
 
 
 def read_files(
@@ -127,8 +130,12 @@ def read_receita(
 ) -> DataFrame:
     """All processed sources of one kind in a catalogue, appended. Only names reach the driver."""
     rows = sources_of_kind(sources, kind).select("root_path", "archive_members").orderBy("root_path", "archive_members").collect()
-    zipped_rows = [r for r in rows if r.archive_members or r.root_path.lower().endswith(".zip")]
-    plain = [r.root_path for r in rows if r not in zipped_rows]
+    zipped_rows, plain = [], []
+    for r in rows:
+        if r.archive_members or r.root_path.lower().endswith(".zip"):
+            zipped_rows.append(r)
+        else:
+            plain.append(r.root_path)
     members = [(r.root_path, r.archive_members[0] if r.archive_members else None) for r in zipped_rows]
     if not members:
         return read_files(spark, kind, plain, encoding, multiline)

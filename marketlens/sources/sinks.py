@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import clean_cell
@@ -32,10 +32,10 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def export(df: DataFrame, folder: str, name: str) -> DataFrame:
-    """Write a gold table as Parquet and, from the stored table, as CSV."""
+def export(df: DataFrame, folder: str, name: str, order: Sequence[Column | str] = ()) -> DataFrame:
+    """Write a gold table as Parquet and, from the stored table, as CSV, in `order` if there is one."""
     stored = write_table(df, f"{folder}/{name}")
-    write_csv(stored, f"{folder}/csv/{name}")
+    write_csv(stored.orderBy(*order) if order else stored, f"{folder}/csv/{name}")
     return stored
 
 

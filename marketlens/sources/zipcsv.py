@@ -3,7 +3,8 @@
     spark.dataSource.register(ZipCsvDataSource)
     spark.read.format("zipcsv").load("/data/raw")
 
-One partition per archive member, streamed by its task: a deflated member cannot be split."""
+One partition per plain file, also per file of an inner archive, streamed by its task: a deflated
+file cannot be split."""
 
 from __future__ import annotations
 
@@ -12,13 +13,15 @@ import io
 import json
 import zipfile
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from typing import IO
 
 import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from marketlens.schemas import RAW_ENCODING, RAW_SEPARATOR
-from marketlens.sources.files import open_file, walk
+from marketlens.sources.files import is_zip, open_file, walk
 
 SCHEMA = "source string, cells array<string>"
 _ARROW = pa.schema([("source", pa.string()), ("cells", pa.list_(pa.string()))])
@@ -33,41 +36,53 @@ def _files(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
     return [i for i in archive.infolist() if not i.is_dir()]
 
 
-def _streams(archive: zipfile.ZipFile, member: str | None) -> Iterator[io.IOBase]:
-    """Byte streams of one member; an inner archive gives all of its files, two levels deep."""
-    if member is None:
+def _leaves(handle: IO[bytes], path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
+    """The way to every plain file of an archive, through the archives in it."""
+    with zipfile.ZipFile(handle) as archive:
         for info in _files(archive):
-            if not _is_zip(info.filename):
-                with archive.open(info) as handle:
-                    yield handle
+            if _is_zip(info.filename):
+                with archive.open(info) as inner:
+                    yield from _leaves(inner, (*path, info.filename))
+            else:
+                yield (*path, info.filename)
+
+
+@contextmanager
+def _opened(handle: IO[bytes], way: tuple[str, ...]) -> Iterator[IO[bytes]]:
+    """The file at the end of a way through archives."""
+    if not way:
+        yield handle
         return
-    with archive.open(member) as handle:
-        if not _is_zip(member):
-            yield handle
-            return
-        with zipfile.ZipFile(handle) as inner:
-            for info in _files(inner):
-                with inner.open(info) as inner_handle:
-                    if not _is_zip(info.filename):
-                        yield inner_handle
-                        continue
-                    with zipfile.ZipFile(inner_handle) as nested:
-                        for nested_info in _files(nested):
-                            with nested.open(nested_info) as nested_handle:
-                                yield nested_handle
+    with zipfile.ZipFile(handle) as archive, archive.open(way[0]) as member, _opened(member, way[1:]) as last:
+        yield last
 
 
 @dataclass
 class Member(InputPartition):
-    """One member of one archive; None stands for all plain files of the archive."""
+    """One plain file, by the way to it through its archive; `member` is what the catalogue names."""
 
     uri: str
     member: str | None
+    way: tuple[str, ...]
 
     @property
     def label(self) -> str:
-        name = self.uri.rstrip("/").split("/")[-1]
-        return name if self.member is None else f"{name}::{self.member}"
+        return self.uri if self.member is None else f"{self.uri}::{self.member}"
+
+
+def _partitions(uri: str, member: str | None) -> Iterator[Member]:
+    """A partition per plain file of a member: one, or all those of an inner archive. Without a
+    member, per plain file of the archive itself."""
+    with open_file(uri) as handle:
+        if member is None:
+            with zipfile.ZipFile(handle) as archive:
+                ways = [(i.filename,) for i in _files(archive) if not _is_zip(i.filename)]
+        elif _is_zip(member):
+            with _opened(handle, (member,)) as inner:
+                ways = list(_leaves(inner, (member,)))
+        else:
+            ways = [(member,)]
+    return (Member(uri, member, way) for way in ways)
 
 
 class ZipCsvReader(DataSourceReader):
@@ -78,27 +93,27 @@ class ZipCsvReader(DataSourceReader):
         """From the option `sources` (JSON pairs of archive and member) or by looking at the
         directories of the archives under `path`."""
         if "sources" in self.options:
-            return [Member(uri, member) for uri, member in json.loads(self.options["sources"])]
+            return [p for uri, member in json.loads(self.options["sources"]) for p in _partitions(uri, member)]
         members = []
-        for uri in sorted(path for path, _ in walk(self.options["path"]) if _is_zip(path)):
+        for uri in sorted(path for path, _ in walk(self.options["path"]) if _is_zip(path) or is_zip(path)):
             with open_file(uri) as handle, zipfile.ZipFile(handle) as archive:
-                members += [Member(uri, info.filename) for info in _files(archive)]
+                names = [info.filename for info in _files(archive)]
+            members += [p for name in names for p in _partitions(uri, name)]
         return members
 
     def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(2**31 - 1)
         encoding = self.options.get("encoding", RAW_ENCODING)
         rows: list[list[str]] = []
-        with open_file(partition.uri) as handle, zipfile.ZipFile(handle) as archive:
-            for stream in _streams(archive, partition.member):
-                text = io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="")
-                for cells in csv.reader(text, delimiter=self.options.get("sep", RAW_SEPARATOR), quotechar='"'):
-                    if cells:
-                        rows.append(cells)
-                    if len(rows) == _BATCH_ROWS:
-                        yield self._batch(partition.label, rows)
-                        rows = []
-                text.detach()
+        with open_file(partition.uri) as handle, _opened(handle, partition.way) as stream:
+            text = io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="")
+            for cells in csv.reader(text, delimiter=self.options.get("sep", RAW_SEPARATOR), quotechar='"'):
+                if cells:
+                    rows.append(cells)
+                if len(rows) == _BATCH_ROWS:
+                    yield self._batch(partition.label, rows)
+                    rows = []
+            text.detach()
         if rows:
             yield self._batch(partition.label, rows)
 

@@ -12,16 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_text
-from marketlens.operators.keys import stored_keys
+from marketlens.operators.keys import distinct_keys
 from marketlens.plans.bronze import bronze_companies, bronze_simples, filter_target
 from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable, tune
 
-# The words part names are made of; they serve as industry descriptions.
-PART_ADJECTIVES = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
-PART_NOUNS = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
-DESCRIPTIONS = tuple(f"{a} {n}" for a in PART_ADJECTIVES for n in PART_NOUNS)
-
 TARGET_UF = "AS"
 AS_OF = "2024-01-01"
 
@@ -31,6 +26,11 @@ def _code(n: Column, width: int) -> Column:
     return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
+def _unmatched(key: Column, when: Column) -> Column:
+    """A key that nothing refers to where `when` holds; no row is left out for it."""
+    return F.concat(F.when(when, F.lit("X")).otherwise(F.lit("")), key)
+
+
 def _amount(x: Column) -> Column:
     return F.replace(x.cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
 
@@ -84,7 +84,15 @@ class Views:
         key = F.col("o_orderkey")
         size = F.substring("o_orderpriority", 1, 1)
         porte = F.when(size == "1", "01").when(size == "2", "03").when(size == "3", "05").when(size == "4", "00").otherwise("")
-        capital = F.when(key % 19 == 0, "").when(key % 23 == 0, "abc").otherwise(_amount(F.col("o_totalprice")))
+        # 2^80, 2^100 and more than a double holds, besides what isn't a number
+        capital = (
+            F.when(key % 19 == 0, "")
+            .when(key % 23 == 0, "abc")
+            .when(key % 997 == 1, str(1 << 80))
+            .when(key % 997 == 2, str(1 << 100))
+            .when(key % 997 == 3, "1e999")
+            .otherwise(_amount(F.col("o_totalprice")))
+        )
         return self.table("orders").select(
             _code(key, 8).alias("cnpj_basico"),
             F.concat(F.lit("Co "), key.cast("string")).alias("razao_social"),
@@ -99,22 +107,23 @@ class Views:
     @cached_property
     def municipios(self) -> DataFrame:
         name = F.replace(F.col("s_name"), F.lit("Supplier"), F.lit("São  José"))
-        return self.table("supplier").filter(F.col("s_suppkey") % 20 != 0).select(
-            F.col("s_suppkey").cast("string").alias("codigo_municipio_receita"),
+        return self.table("supplier").select(
+            _unmatched(F.col("s_suppkey").cast("string"), F.col("s_suppkey") % 20 == 0).alias("codigo_municipio_receita"),
             name.alias("nome_municipio_receita"),
             normalize_text(name).alias("municipio_norm"),
         )
 
     @cached_property
     def cnaes(self) -> DataFrame:
-        return self.table("part").filter((F.col("p_partkey") % 331) % 50 != 0).select(
-            _code(F.col("p_partkey") % 331, 7).alias("cnae"), F.col("p_name").alias("descricao_cnae")
+        code = F.col("p_partkey") % 331
+        return self.table("part").select(
+            _unmatched(_code(code, 7), code % 50 == 0).alias("cnae"), F.col("p_name").alias("descricao_cnae")
         )
 
     @cached_property
     def naturezas(self) -> DataFrame:
-        return self.table("orders").filter(F.col("o_orderstatus") != "P").select(
-            F.col("o_orderstatus").alias("natureza_juridica"),
+        return self.table("orders").select(
+            _unmatched(F.col("o_orderstatus"), F.col("o_orderstatus") == "P").alias("natureza_juridica"),
             F.concat(F.lit("Natureza "), F.col("o_orderstatus")).alias("descricao_natureza_juridica"),
         ).distinct()
 
@@ -122,8 +131,8 @@ class Views:
     def simples(self) -> DataFrame:
         key, cust = F.col("o_orderkey"), F.col("o_custkey")
         yes_no = lambda c: F.when(c, "S").otherwise("N")
-        rows = self.table("orders").filter(key % 3 != 0).select(
-            _code(key, 8).alias("cnpj_basico"),
+        rows = self.table("orders").select(
+            _unmatched(_code(key, 8), key % 3 == 0).alias("cnpj_basico"),
             yes_no(cust % 2 == 0).alias("opcao_simples"),
             F.date_format("o_orderdate", "yyyyMMdd").alias("data_opcao_simples"),
             F.lit(None).cast("string").alias("data_exclusao_simples"),
@@ -135,25 +144,28 @@ class Views:
         again = rows.filter("r = 1").withColumn("opcao_simples", yes_no(F.col("opcao_simples") == "N"))
         return rows.unionByName(again).drop("r")
 
-    def _places(self, condition: Column) -> DataFrame:
+    @property
+    def _places(self) -> DataFrame:
         norm = normalize_text(F.replace(F.col("s_name"), F.lit("Supplier"), F.lit(" sao josé")))
-        return self.table("supplier").filter(condition).withColumn("municipio_norm", norm)
+        return self.table("supplier").withColumn("municipio_norm", norm)
 
     @cached_property
     def indicators(self) -> DataFrame:
-        return self._places(F.col("s_suppkey") % 10 != 3).select(
-            "municipio_norm",
+        key = F.col("s_suppkey")
+        longer = F.when(key % 7 == 0, F.lit("3457")).otherwise(F.lit(""))  # six decimals
+        return self._places.select(
+            F.concat(F.when(key % 10 == 3, F.lit("X ")).otherwise(F.lit("")), "municipio_norm").alias("municipio_norm"),
             (F.lit(4200000) + F.col("s_suppkey")).cast("string").alias("codigo_municipio_ibge"),
             F.lit("").alias("cnae_principal"),
             (F.lit(1000) + F.col("s_suppkey") * 37).cast("string").alias("populacao"),
-            _amount(F.col("s_acctbal")).alias("pib_per_capita"),
+            F.concat(_amount(F.col("s_acctbal")), longer).alias("pib_per_capita"),
         )
 
     @cached_property
     def pib(self) -> DataFrame:
         """Two yearly rows per code; the later one counts."""
         code = F.lit(4200000) + F.floor(F.col("s_suppkey") / 2)
-        return self._places(F.lit(True)).select(
+        return self._places.select(
             code.cast("string").alias("codigo_municipio_ibge"),
             "municipio_norm",
             _amount(F.col("s_acctbal")).alias("pib_per_capita"),
@@ -163,8 +175,8 @@ class Views:
     @cached_property
     def pop(self) -> DataFrame:
         code = F.lit(4200000) + F.floor(F.col("s_suppkey") / 3) * 2
-        return self._places(F.col("s_suppkey") % 3 != 0).select(
-            code.cast("string").alias("codigo_municipio_ibge"),
+        return self._places.select(
+            _unmatched(code.cast("string"), F.col("s_suppkey") % 3 == 0).alias("codigo_municipio_ibge"),
             F.concat(F.lit("POP "), "municipio_norm").alias("municipio_norm"),
             (F.lit(1000) + F.col("s_suppkey") * 37).cast("string").alias("populacao"),
             F.col("s_suppkey").alias("seq"),
@@ -176,7 +188,7 @@ class Views:
 
     @cached_property
     def active_keys(self) -> DataFrame:
-        return stored_keys(self.active, "cnpj_basico")
+        return distinct_keys(self.active, "cnpj_basico")
 
     @cached_property
     def active_companies(self) -> DataFrame:
@@ -229,6 +241,14 @@ class Views:
             F.concat(F.replace(pattern, F.lit("%"), key.cast("string"))).alias("label")
         )
 
+    @cached_property
+    def source_names(self) -> DataFrame:
+        """All sources of a dump, also such as hold no rows."""
+        part = (F.col("o_orderkey") % 10).cast("string")
+        kinds = F.explode(F.array(F.lit("Estabelecimentos"), F.lit("Empresas"))).alias("kind")
+        names = self.table("orders").select(part.alias("part"), kinds)
+        return names.select(F.concat("kind", "part", F.lit(".zip")).alias("source")).distinct()
+
     def catalog_of(self, estab: DataFrame) -> DataFrame:
         """Sources of the two mandatory kinds, as a catalogue; `estab` is any table with the
         sources of the establishments."""
@@ -246,3 +266,8 @@ def views(spark: SparkSession, sf_dir: str) -> Views:
     if key not in _VIEWS:
         _VIEWS[key] = Views(tune(spark), sf_dir)
     return _VIEWS[key]
+
+
+def forget_views() -> None:
+    """Describe every relation anew from now on, for instance after the folder's data changed."""
+    _VIEWS.clear()

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 from conftest import FILE_NAMES, SAMPLE, raw_text
@@ -7,6 +8,8 @@ from pyspark.sql import functions as F
 
 from marketlens.plans import bronze, diagnosis, explore, gold, pipeline, quality
 from marketlens.schemas import GOLD_SCHEMAS, Thresholds
+from marketlens.session import checkpoint_folder
+from marketlens.sources import sinks
 from marketlens.sources.readers import load_table
 
 
@@ -58,7 +61,7 @@ def test_contract_of_gold_tables(spark, built):
 def test_quality_report(built):
     tables, _ = built
     rows = {r.validacao: r for r in tables["gold_qualidade_dados"].collect()}
-    assert len(rows) == 13
+    assert len(rows) == 14
     assert rows["registros_lidos_estabelecimentos"].valor == "4"
     assert rows["estabelecimentos_sc"].valor == "3" and rows["estabelecimentos_ativos_sc"].valor == "2"
     assert rows["cnpj_basico_unicos_sc"].valor == "2" and rows["empresas_cruzadas_com_sucesso"].valor == "2"
@@ -95,6 +98,22 @@ def test_audit_blocks_the_tiny_run(spark, built):
 def test_gate_blocks_without_all_parts(spark, sample_folder, tmp_path):
     with pytest.raises(diagnosis.IngestionBlocked, match="partes_estabelecimentos"):
         pipeline.run_pipeline(spark, [str(sample_folder)], str(tmp_path / "o"))
+    rules = spark.read.json(str(tmp_path / "o/diagnostico/bloqueios")).filter("bloqueado").collect()
+    assert {r.regra for r in rules} == {"partes_estabelecimentos", "partes_empresas"}
+    parts = {r.tipo: len(r.faltantes) for r in spark.read.json(str(tmp_path / "o/diagnostico/partes")).collect()}
+    assert min(parts.values()) > 0
+
+
+def test_ranking_is_in_order_over_partitions_and_in_its_export(spark, tmp_path):
+    silver = spark.range(0, 3000).select(
+        F.concat(F.lit("M"), F.col("id") % 700).alias("municipio"), (F.col("id") % 700 + 1.0).alias("populacao"),
+        F.lit(5.0).alias("pib_per_capita"), (F.col("id") % 13).cast("string").alias("cnae_principal"), (F.col("id") * 1.5).alias("capital_social"),
+    )
+    ranking = gold.ranking_municipios(silver)
+    assert [r.posicao_ranking for r in ranking.collect()] == [*range(1, 701)]
+    sinks.export(ranking, str(tmp_path), "gold_ranking_municipios", ["posicao_ranking"])
+    lines = [x.split(",")[-1] for f in sorted((tmp_path / "csv/gold_ranking_municipios").glob("part-*")) for x in f.read_text().splitlines()]
+    assert [int(x) for x in lines if x.isdigit()] == [*range(1, 701)]
 
 
 def test_mandatory_kind(spark, sample_folder, tmp_path):
@@ -117,15 +136,23 @@ def test_full_run_with_diagnosis(spark, tmp_path):
     lax = Thresholds(min_ativos=2, min_municipios=2, min_cnaes_descritos=2, min_registros_uf=1)
     with pytest.raises(diagnosis.IngestionBlocked, match="minimo_ativos"):
         pipeline.run_pipeline(spark, [str(raw)], str(tmp_path / "a"))
-    # Only one of the ten files has rows, so the rule on processed files must be lifted by more rows.
-    for i in range(1, 4):
-        (raw / f"Estabelecimentos{i}.csv").write_bytes(raw_text([["0000000" + str(i + 4), "0001", "09"] + [""] * 16 + ["PR", "1"]]).encode("latin-1"))
+    blocked = spark.read.json(str(tmp_path / "a/diagnostico/bloqueios")).filter("bloqueado")
+    assert "minimo_ativos" in {r.regra for r in blocked.collect()}
+    (raw / "leia-me.txt").write_text("x")
+    left = {*os.listdir(checkpoint_folder(spark))}
     tables = pipeline.run_pipeline(spark, [str(raw)], str(tmp_path / "b"), as_of="2024-01-01", thresholds=lax)
     rows = {r.municipio: r for r in tables["gold_ranking_municipios"].collect()}
     assert rows["FLORIANÓPOLIS"].populacao == 537211.0 and rows["FLORIANÓPOLIS"].pib_per_capita == 70000.5
     assert rows["JOINVILLE"].populacao == 616323.0 and rows["JOINVILLE"].pib_per_capita is None
     matches = {r.dimensao: r.percentual_match for r in spark.read.json(str(tmp_path / "b/diagnostico/matches")).collect()}
     assert matches == {"empresas": 100.0, "municipios": 100.0, "cnaes": 100.0, "naturezas": 0.0}
+    assert {*os.listdir(checkpoint_folder(spark))} == left
+    counts = {r.source: r.n for r in spark.read.json(str(tmp_path / "b/diagnostico/linhas_estabelecimentos")).collect()}
+    assert counts == {f"{raw}/Estabelecimentos{i}.csv": 4 if i == 0 else 0 for i in range(10)}
+    listed = spark.read.json(str(tmp_path / "b/diagnostico/catalogo")).filter("not processed").collect()
+    assert {r.ignored_reason for r in listed} == {"nome nao classificado"} and any("leia-me" in r.label for r in listed)
+    sizes = {r.tabela: r.n for r in spark.read.json(str(tmp_path / "b/diagnostico/linhas_tabelas")).collect()}
+    assert sizes == {"municipios": 3, "cnaes": 2, "naturezas": 0, "empresas_com_estabelecimento": 2}
     _, rules = pipeline.audit(spark, str(tmp_path / "b"), lax)
     assert rules.filter("bloqueado").isEmpty()
 

@@ -7,6 +7,7 @@ from conftest import SAMPLE, raw_text
 from pyspark.sql import functions as F
 
 from marketlens.schemas import LAYOUTS
+from marketlens.plans import bronze
 from marketlens.sources import readers, sinks
 from marketlens.sources.catalog import catalog, classify_kind, find_indicator_file, sources_of_kind
 from marketlens.sources.zipcsv import ZipCsvDataSource
@@ -103,7 +104,7 @@ def test_catalogue_and_nested_archives(spark, tmp_path):
     assert [r.kind for r in sources_of_kind(sources, "municipios").collect()] == ["municipios"]
 
     got = readers.read_receita(spark, "estabelecimentos", sources)
-    assert got.count() == 8 and {r.source for r in got.collect()} == {"download.zip::Estabelecimentos0.zip"}
+    assert got.count() == 8 and {r.source for r in got.collect()} == {f"{raw}/download.zip::Estabelecimentos0.zip"}
     assert readers.read_receita(spark, "empresas", sources).count() == 3
     assert readers.read_receita(spark, "simples", sources).count() == 0
 
@@ -116,7 +117,60 @@ def test_zipcsv_load_by_path(spark, tmp_path):
     (tmp_path / "a.zip").write_bytes(zip_bytes({"x.csv": b'"1";"a;b"\r\n\r\n2;"c\r\nd"\r\n'}))
     spark.dataSource.register(ZipCsvDataSource)
     rows = spark.read.format("zipcsv").load(str(tmp_path)).collect()
-    assert [(r.source, list(r.cells)) for r in rows] == [("a.zip::x.csv", ["1", "a;b"]), ("a.zip::x.csv", ["2", "c\r\nd"])]
+    label = f"{tmp_path}/a.zip::x.csv"
+    assert [(r.source, list(r.cells)) for r in rows] == [(label, ["1", "a;b"]), (label, ["2", "c\r\nd"])]
+
+
+def test_archives_are_known_by_content(spark, tmp_path):
+    (tmp_path / "K3241.ESTABELE.D1").write_bytes(zip_bytes({"K3241.ESTABELE": b'"1";"0001"\r\n'}))
+    sources = catalog(spark, [str(tmp_path)])
+    row = sources.first()
+    assert row.archive_members == ["K3241.ESTABELE"] and row.processed
+    got = readers.read_receita(spark, "estabelecimentos", sources).collect()
+    assert [(r.cnpj_basico, r.cnpj_ordem, r.source) for r in got] == [("1", "0001", row.label)]
+
+
+def test_a_partition_for_each_file_of_an_inner_archive(spark, tmp_path):
+    deepest = zip_bytes({"c.csv": b"3\r\n"})
+    inner = zip_bytes({"a.csv": b"1\r\n", "b.csv": b"2\r\n", "more.zip": deepest})
+    (tmp_path / "Estabelecimentos.zip").write_bytes(zip_bytes({"Estabelecimentos0.zip": inner}))
+    got = readers.read_receita(spark, "estabelecimentos", catalog(spark, [str(tmp_path)]))
+    assert got.rdd.getNumPartitions() == 3
+    assert sorted(r.cnpj_basico for r in got.collect()) == ["1", "2", "3"]
+
+
+def test_sources_carry_the_label_of_the_catalogue(spark, tmp_path):
+    for folder in ("a b", "c+%"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "cnaes.zip").write_bytes(zip_bytes({"cnaes.csv": b"1;x\r\n"}))
+        (tmp_path / folder / "cnaes ção.csv").write_bytes(b"2;y\r\n")
+    sources = catalog(spark, [str(tmp_path)])
+    got = readers.read_receita(spark, "cnaes", sources)
+    assert sorted(r.source for r in got.collect()) == sorted(r.label for r in sources.collect())
+    assert {r.n for r in bronze.rows_by_source(got).collect()} == {1}
+
+
+def test_headers_of_any_length(spark, tmp_path):
+    path = tmp_path / "dados.csv"
+    names = [f"coluna_{i}" for i in range(900)] + ["municipio", "populacao", "pib_per_capita"]
+    path.write_text(";".join(names) + "\n" + ";".join(["0"] * 900 + ["Joinville", "5", "6"]) + "\n")
+    found = find_indicator_file(spark, catalog(spark, [str(tmp_path)]), [str(tmp_path)])
+    assert found == str(path) and readers.detect_separator(spark, found) == ";"
+    assert readers.read_indicators(spark, found).first().populacao == "5"
+
+
+def test_object_store_roots_keep_their_scheme(monkeypatch):
+    from marketlens.sources import files
+
+    class Systems:
+        @staticmethod
+        def from_uri(uri):
+            assert uri == "s3://bucket/raw/x.csv"
+            return "store", "bucket/raw/x.csv"
+
+    monkeypatch.setattr(files.fs, "FileSystem", Systems)
+    _, path, prefix = files.resolve("s3a://bucket/raw/x.csv")
+    assert prefix + path == "s3a://bucket/raw/x.csv"
 
 
 def test_indicators(spark, tmp_path):
