@@ -12,7 +12,7 @@ from marketlens.functions.text import normalize_name
 from marketlens.operators.keys import distinct_keys
 from marketlens.plans import bronze, diagnosis, gold, quality, silver
 from marketlens.schemas import LAYOUTS, RAW_ENCODING, Thresholds
-from marketlens.session import _WRITTEN, release, tune
+from marketlens.session import release, tune, written
 from marketlens.sources import readers, sinks
 from marketlens.sources.catalog import catalog, find_indicator_file, list_files
 
@@ -134,7 +134,7 @@ def run_pipeline(
     Raises `IngestionBlocked` when a rule of the diagnosis blocks (unless skipped) and
     `FileNotFoundError` when a mandatory kind has no source."""
     tune(spark)
-    before = len(_WRITTEN)
+    before = written()
     try:
         return _build(spark, paths, folder, target_uf, str(as_of or date.today()), skip_diagnostic, thresholds, style, encoding, multiline, spread)
     finally:

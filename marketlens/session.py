@@ -34,6 +34,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
 _WRITTEN: list[str] = []
 
 
+def written() -> int:
+    """How many tables `durable` has written and not deleted."""
+    return len(_WRITTEN)
+
+
 def release(spark: SparkSession, since: int = 0) -> None:
     """Delete the tables that `durable` wrote, but for the first `since` of them."""
     paths, _WRITTEN[since:] = _WRITTEN[since:], []
