@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm import bpe, exact_dedup, mixing, simhash, toxicity
-from marketlens.session import checkpoint_folder
+from marketlens.session import checkpoint_folder, release, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -54,10 +54,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over the whole of `documents`."""
+    """The result of the last stage over the whole of `documents`. What a stage stored for itself
+    is deleted once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for k, (_, stage) in enumerate(STAGES):
+        before = written()
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        release(spark, before)
         docs = spark.read.parquet(f"{folder}/{k}")
     return docs
