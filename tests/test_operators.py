@@ -4,9 +4,11 @@ import statistics
 import pytest
 from pyspark.sql import functions as F
 
-from marketlens.operators.aggregates import grouped_medians, histogram_json, top
+from marketlens.functions.text import parse_br_number
+from marketlens.operators.aggregates import grouped_medians, histogram_json, sum_money, top, with_empty
 from marketlens.operators.keys import dedup_dim, duplicate_keys, keep_known, key_overlap, missing_keys, stored_keys
 from marketlens.operators.ranking import global_rank, minmax, share_of_parent, weighted_score
+from marketlens.plans.explore import pivot_counts
 from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable
 
@@ -92,8 +94,8 @@ def test_histogram_json_and_top(spark):
 
 def test_broadcast_only_when_small(spark):
     small, large = spark.range(5), spark.range(50)
-    assert "broadcast" in broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in broadcast_if_small(large, 10)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in broadcast_if_small(small, 100)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in broadcast_if_small(large, 100)._jdf.queryExecution().logical().toString()
 
 
 def test_durable_writes_to_the_configured_folder(spark):
@@ -161,3 +163,28 @@ def test_semi_join_splits_copies_of_a_company(spark, small_partitions):
     keys = stored_keys(spark.range(0, 60_000).select(F.col("id").cast("string").alias("cnpj_basico")), "cnpj_basico")
     kept = keep_known(emp, keys)
     assert "skew=true" in final_plan(kept) and kept.count() == 60_000
+
+
+def test_money_neither_aborts_nor_loses(spark):
+    rows = [(0.1,)] * 10 + [(1e24,), (2.0**100,), (5.123456,), (None,)]
+    df = spark.createDataFrame(rows, "x double")
+    assert df.agg(sum_money("x").alias("s")).first().s == 2.0**100 + 1e24 + 6.123456
+    assert df.filter("x < 10").agg(sum_money("x").alias("s")).first().s == 6.123456
+    assert df.filter("x is null").agg(sum_money("x").alias("s")).first().s == 0.0
+
+
+def test_amounts_beyond_a_double_are_refused(spark):
+    df = spark.createDataFrame([("1e999",), ("-1e999",), ("1,5",), ("x",)], "t string")
+    assert [r[0] for r in df.select(parse_br_number("t")).collect()] == [None, None, 1.5, None]
+
+
+def test_sources_without_rows_count_zero(spark):
+    counts = spark.createDataFrame([("a", 3), ("c", 1)], "source string, n long")
+    names = spark.createDataFrame([("a",), ("b",)], "source string")
+    assert {r.source: r.n for r in with_empty(counts, names).collect()} == {"a": 3, "b": 0, "c": 1}
+
+
+def test_pivot_has_a_column_for_every_value_that_occurs(spark):
+    df = spark.createDataFrame([("r", "never seen before", 2), ("r", "other", 1), ("s", "other", 5)], "m string, d string, n long")
+    got = {r.m: r.asDict() for r in pivot_counts(df, "m", "d", "n").collect()}
+    assert got["r"]["never seen before"] == 2 and got["s"] == {"m": "s", "never seen before": 0, "other": 5}

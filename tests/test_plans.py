@@ -1,8 +1,12 @@
 """Shapes the physical plans must keep."""
 
+import os
+
 import pytest
 
 from marketlens.registry import queries
+from marketlens.session import broadcast_if_small, durable, expected_bytes, release, written
+from marketlens.tpch_views import forget_views
 
 SF = "/root/testdata/sf0.01"
 
@@ -36,3 +40,32 @@ def test_scans_are_pruned_and_filtered(spark):
 @pytest.mark.parametrize("key", ["normalize_text", "clean_cell", "fmt_br_money", "silver_market", "search_text"])
 def test_no_python_in_queries(spark, key):
     assert "Python" not in plan_of(spark, key) and "MapInArrow" not in plan_of(spark, key)
+
+
+@pytest.mark.parametrize("key", ["silver_market", "join_dims"])
+def test_the_market_plan_is_described_with_one_write_at_most(spark, key):
+    forget_views()
+    before = written()
+    plan_of(spark, key)
+    assert written() - before <= 1
+    release(spark, before)
+    forget_views()
+
+
+def test_parts_are_scanned_once_each(spark):
+    assert plan_of(spark, "union_parts").count("FileScan parquet") == 2
+
+
+def test_stored_tables_go_with_release(spark):
+    before = written()
+    path = durable(spark.range(3)).inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(path)
+    release(spark, before)
+    assert not os.path.exists(path) and written() == before
+
+
+def test_sizes_decide_on_broadcasts_without_a_job(spark):
+    small = spark.read.parquet(f"{SF}/nation.parquet")
+    assert broadcast_if_small(small) is not small and broadcast_if_small(small, 1) is small
+    unknown = small.mapInArrow(lambda batches: batches, small.schema)
+    assert expected_bytes(small) < 10_000 and expected_bytes(unknown) >= expected_bytes(small)
