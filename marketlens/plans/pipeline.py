@@ -198,6 +198,10 @@ def _build(
             quality.quality_checks(market, funnel, emp, status, style), f"{folder}/gold", "gold_qualidade_dados"
         ),
     }
+    # SQL users find the tables by name, as long as the session lasts.
+    silver_tables = {"estabelecimentos_ativos": estab, "empresas": emp, "simples": simples, "municipios": municipios, "indicadores": indicators}
+    for name, stored in {**{f"silver_{k}": t for k, t in silver_tables.items()}, **gold_tables}.items():
+        stored.createOrReplaceTempView(name)
     kept = {"empresas": emp, "simples": simples, "municipios": municipios, "indicadores": indicators}
     sinks.write_json(metrics_table(raw, kept, funnel, sources, origin), f"{folder}/metricas/execucao")
     return gold_tables

@@ -30,6 +30,9 @@ def _check(name: str, value: Column, status: Column | str = "ok") -> Column:
     )
 
 
+# The names of the checks in `quality_checks`.
+
+
 def quality_checks(gold: DataFrame, funnel: DataFrame, matched: DataFrame, status: DataFrame, style: str = "br") -> DataFrame:
     """The report, one row per check.
 

@@ -11,8 +11,9 @@ from marketlens.functions import text as T
 from marketlens.functions.display import fmt_br_money, fmt_br_number, fmt_br_percent
 from marketlens.operators.keys import dedup_dim, duplicate_keys, union_parts
 from marketlens.plans import bronze, diagnosis, explore, gold, quality, silver
-from marketlens.schemas import Thresholds
-from marketlens.session import durable
+from marketlens.schemas import LAYOUTS, RAW_ENCODING, RAW_SEPARATOR, Thresholds
+from marketlens.session import durable, scratch_path
+from marketlens.sources import readers, sinks
 from marketlens.sources.catalog import classify_kind
 from marketlens.tpch_views import AS_OF, TARGET_UF, Views, views
 
@@ -46,6 +47,33 @@ def union_parts_(v: Views) -> DataFrame:
     return union_parts([part("supplier", "s"), part("customer", "c")])
 
 
+@query
+def headerless_files(v: Views) -> DataFrame:
+    """Companies written as a raw dump and read back: quoted cells, Latin-1, no header."""
+    path = scratch_path(v.spark)
+    rows = v.emp.select(*LAYOUTS["empresas"])
+    rows.write.options(sep=RAW_SEPARATOR, quoteAll=True, encoding=RAW_ENCODING, nullValue="", emptyValue="").csv(path)
+    return readers.read_files(v.spark, "empresas", [path]).drop("source")
+
+
+@query
+def headered_files(v: Views) -> DataFrame:
+    """Indicators written with a header and read back by the names of their columns."""
+    path = scratch_path(v.spark)
+    names = {"municipio_norm": "Nome_Municipio", "pib_per_capita": "PIB per capita", "populacao": "População", "codigo_municipio_ibge": "IBGE"}
+    table = v.indicators.select(*[F.col(c).alias(n) for c, n in names.items()])
+    sinks.write_csv(table, path)
+    return readers.read_indicators(v.spark, path, encoding="UTF-8")
+
+
+@query
+def exported_gold(v: Views) -> DataFrame:
+    """A gold table's CSV export, read where its Parquet files are missing."""
+    folder = scratch_path(v.spark)
+    sinks.write_csv(gold.ranking_cnaes(v.silver), f"{folder}/csv/gold_ranking_cnaes")
+    return readers.load_table(v.spark, folder, "gold_ranking_cnaes")
+
+
 @query
 def rows_by_source(v: Views) -> DataFrame:
     return bronze.rows_by_source(v.estab.select("source").unionByName(v.emp.select("source")), v.source_names)

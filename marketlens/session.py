@@ -46,6 +46,12 @@ def release(spark: SparkSession, since: int = 0) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the checkpoint folder; `release` deletes what is written there."""
+    _WRITTEN.append(f"{checkpoint_folder(spark)}/marketlens-{uuid.uuid4().hex}")
+    return _WRITTEN[-1]
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The same rows as a table written to the checkpoint folder.
 
@@ -53,8 +59,7 @@ def durable(df: DataFrame) -> DataFrame:
     the partitioning: they are computed once and keep their values when executors are lost.
     Read back as Parquet, they have a known size and prunable columns."""
     spark = df.sparkSession
-    path = f"{checkpoint_folder(spark)}/marketlens-{uuid.uuid4().hex}"
-    _WRITTEN.append(path)
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

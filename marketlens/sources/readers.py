@@ -159,7 +159,8 @@ def pick_column(columns: Sequence[str], options: Sequence[str]) -> str | None:
 
 def detect_separator(spark: SparkSession, path: str) -> str:
     """The candidate occurring most often in the first line; a semicolon when none does."""
-    head = file_heads(list_files(spark, [path]).orderBy("path").limit(1)).first()
+    visible = ~F.element_at(F.split("path", "/"), -1).rlike("^[._]")  # as Spark's readers see a folder
+    head = file_heads(list_files(spark, [path]).filter(visible).orderBy("path").limit(1)).first()
     counts = {sep: head.head.count(sep) if head else 0 for sep in SEPARATORS}
     return max(SEPARATORS, key=lambda sep: counts[sep])
 

@@ -142,6 +142,7 @@ def test_full_run_with_diagnosis(spark, tmp_path):
     left = {*os.listdir(checkpoint_folder(spark))}
     tables = pipeline.run_pipeline(spark, [str(raw)], str(tmp_path / "b"), as_of="2024-01-01", thresholds=lax)
     rows = {r.municipio: r for r in tables["gold_ranking_municipios"].collect()}
+    assert spark.sql("select count(*) from gold_ranking_municipios").first()[0] == len(rows) == spark.table("silver_municipios").count() - 1
     assert rows["FLORIANÓPOLIS"].populacao == 537211.0 and rows["FLORIANÓPOLIS"].pib_per_capita == 70000.5
     assert rows["JOINVILLE"].populacao == 616323.0 and rows["JOINVILLE"].pib_per_capita is None
     matches = {r.dimensao: r.percentual_match for r in spark.read.json(str(tmp_path / "b/diagnostico/matches")).collect()}
