@@ -15,8 +15,8 @@ from marketlens.session import durable
 #: Rows and bytes that Spark hands to Python at once; texts can be long, so few.
 BATCH_ROWS = 500
 BATCH_BYTES = 16 << 20
-#: Bytes of a stored table up to which it may be broadcast; beyond that the join shuffles.
-BROADCAST_BYTES = 16 << 20
+#: Bytes of a stored table (compressed) up to which it may be broadcast; beyond that the join shuffles.
+BROADCAST_BYTES = 4 << 20
 LEAST = -(2**63)
 
 

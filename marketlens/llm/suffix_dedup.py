@@ -45,8 +45,6 @@ WINDOWS = 1 << 18
 STRETCH = 1 << 12
 #: Bytes of text that are hashed at once.
 SLAB = 1 << 18
-#: Bytes of the stored lists of stretches up to which they may be broadcast to the documents.
-LISTS_BYTES = 32 << 20
 _FACTOR = 0x01000193
 
 
@@ -328,7 +326,6 @@ def dedup(
     found = found.repartition(deal).sortWithinPartitions("lead", "whole", "doc_id", "nth", "start")
     judged = durable(found.mapInArrow(_judge, _JUDGED_DDL))
     lists = judged.where("open").groupBy("doc_id", "nth").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("open"))
-    _, lists = stored(lists, LISTS_BYTES)
     parts = rows.select("doc_id", "nth", "text").join(lists, ["doc_id", "nth"]).mapInArrow(_parts(length, lead), _PART_DDL)
     parts = durable(parts.dropDuplicates(["doc_id", "nth", "start"]) if repeats else parts)
     sizes = parts.groupBy("lead").agg(F.sum("n").alias("windows"))
@@ -340,6 +337,6 @@ def dedup(
     if crowded:
         compared = compared.unionByName(_compare_hot(parts.join(few, "lead", "left_semi"), length))
     gone = judged.where("not open").select("doc_id", "nth", "start", "n").unionByName(compared)
-    _, gone = stored(gone.groupBy("doc_id", "nth").agg(F.collect_list(F.struct("start", "n")).alias("repeated")), LISTS_BYTES)
+    gone = gone.groupBy("doc_id", "nth").agg(F.collect_list(F.struct("start", "n")).alias("repeated"))
     whole = rows.join(gone, ["doc_id", "nth"], "left").select("doc_id", "no_id", "repeated", "text")
     return whole.mapInArrow(_keep(length, digest), _KEPT_DDL.replace("kept binary", "kept_sha256 string") if digest else _KEPT_DDL)
