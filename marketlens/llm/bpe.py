@@ -28,8 +28,10 @@ from pyspark.sql import functions as F
 
 from marketlens.llm.common import narrow, small_batches, texts
 
-#: Pieces and pairs of tokens that a worker remembers.
-REMEMBERED = 400_000
+#: Pieces that a worker remembers, and pairs of tokens.
+REMEMBERED = 1_000_000
+#: Bytes at the start of a piece whose entries are kept for other pieces that start alike.
+STEM = 6
 #: Longer pieces are encoded anew each time.
 LONGEST_REMEMBERED = 64
 
@@ -96,8 +98,9 @@ class Vocabulary:
 class Prefixes:
     """The valid last token of every prefix of a piece."""
 
-    def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, data, [-1]
+    def __init__(self, vocabulary: Vocabulary, data: bytes = b"", last: list[int] | None = None):
+        """`last` are entries known of the first bytes."""
+        self.vocabulary, self.data, self.last = vocabulary, data, last or [-1]
         self._fill()
 
     def _fill(self) -> None:
@@ -173,6 +176,7 @@ class Encoder:
         self.split = splitter(pattern)
         self._known: dict[str, str] = {}
         self._older: dict[str, str] = {}
+        self._stems: dict[bytes, list[int]] = {}
 
     def piece(self, piece: str) -> str:
         """The ids of a piece, joined by spaces."""
@@ -180,13 +184,24 @@ class Encoder:
         if joined is None:
             data = piece.encode()
             whole = self.vocabulary.ranks.get(data)
-            joined = str(whole) if whole is not None else " ".join(map(str, Prefixes(self.vocabulary, data).ids()))
+            joined = str(whole) if whole is not None else " ".join(map(str, self.prefixes(data).ids()))
         if len(piece) <= LONGEST_REMEMBERED:
             if len(self._known) >= REMEMBERED // 2:  # what isn't met again goes
                 self._older, self._known = self._known, {}
             self._known[piece] = joined
         return joined
 
+    def prefixes(self, data: bytes) -> Prefixes:
+        """The table of a piece, from that of its stem where another piece had it."""
+        stem = data[:STEM]
+        known = self._stems.get(stem)
+        table = Prefixes(self.vocabulary, data, known and known.copy())
+        if known is None:
+            if len(self._stems) >= REMEMBERED // 5:
+                self._stems.clear()
+            self._stems[stem] = table.last[: STEM + 1]
+        return table
+
     def joined(self, text: str) -> str:
         """The ids of a text, joined by spaces."""
         known, piece = self._known, self.piece
