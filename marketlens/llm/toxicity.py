@@ -38,7 +38,7 @@ from marketlens.llm.common import narrow, small_batches
 POSITIVES = 3000
 UNLABELLED = 6000
 CANDIDATES = 50_000
-FEATURES = 3000
+FEATURES = 2000
 THRESHOLD = 0.3
 #: Words whose weight a worker remembers.
 REMEMBERED = 200_000
@@ -62,20 +62,20 @@ class Classifier:
     weights: dict[str, float] = field(default_factory=dict)
 
     def scorer(self):
-        """Text to score. Remembers the features that count of the words it has met."""
-        known: dict[str, tuple[str, ...]] = {}
+        """Text to score. Words that begin like no feature cost one look-up."""
         weights = self.weights
+        beginnings = {f[1:5] for f in weights}
+        known: dict[str, tuple[str, ...]] = {}
 
         def score(text: str | None) -> float:
             found: set[str] = set()
-            for word in set(_WORD.findall((text or "").lower())):
+            for word in {w for w in _WORD.findall((text or "").lower()) if w[:4] in beginnings}:
                 own = known.get(word)
                 if own is None:
                     if len(known) >= REMEMBERED:
                         known.clear()
                     own = known[word] = tuple(f for f in of_word(word) if f in weights)
-                if own:
-                    found.update(own)
+                found.update(own)
             g = self.bias + sum(sorted(weights[f] for f in found))
             return float(1 / (1 + np.exp(-np.clip(g, -60, 60))))
 
@@ -89,7 +89,8 @@ def train(toxic: np.ndarray, other: np.ndarray, prior: float, steps: int = 400,
     mean, square = np.zeros(n + 1), np.zeros(n + 1)
     sigmoid = lambda x: 1 / (1 + np.exp(-np.clip(x, -60, 60)))
     for step in range(1, steps + 1):
-        gp, gu = toxic @ w + b, other @ w + b
+        own = w.astype(np.float32)  # as the rows are, or these would be copied
+        gp, gu = toxic @ own + b, other @ own + b
         up, dp = -sigmoid(-gp) / len(gp), sigmoid(gp) / len(gp)  # slopes of the loss of g and of -g
         du = sigmoid(gu) / len(gu)
         clean = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
@@ -97,7 +98,8 @@ def train(toxic: np.ndarray, other: np.ndarray, prior: float, steps: int = 400,
             rows_p, rows_u = prior * dp, -du
         else:
             rows_p, rows_u = prior * (up - dp), du
-        grad = np.append(toxic.T @ rows_p + other.T @ rows_u + (decay * w if clean >= 0 else 0), rows_p.sum() + rows_u.sum())
+        slopes = toxic.T @ rows_p.astype(np.float32) + other.T @ rows_u.astype(np.float32)
+        grad = np.append(slopes + (decay * w if clean >= 0 else 0), rows_p.sum() + rows_u.sum())
         mean, square = 0.9 * mean + 0.1 * grad, 0.999 * square + 0.001 * grad**2
         move = rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
         w, b = w - move[:-1], b - move[-1]
@@ -150,13 +152,13 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     other = docs.join(sample(docs.where("doc_id is not null").where(~held_out()), unlabelled), "doc_id").select("text")
     tally = lambda rows, wanted: rows.mapInArrow(_counts(wanted), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     top = tally(toxic, None).where("n >= 2").orderBy(F.desc("n"), "feature").limit(CANDIDATES)
-    in_toxic = {r["feature"]: r["n"] for r in top.toLocalIterator()}
-    in_other = {r["feature"]: r["n"] for r in tally(other, frozenset(in_toxic)).toLocalIterator()}
+    in_toxic = {r["feature"]: r["n"] for r in top.collect()}  # CANDIDATES rows at most
+    in_other = {r["feature"]: r["n"] for r in tally(other, frozenset(in_toxic)).collect()}
     names = select(in_toxic, in_other, min(positives, counts["toxic"]), unlabelled)
     place = {f: i for i, f in enumerate(names)}
 
     def matrix(rows: DataFrame) -> np.ndarray:
-        ids = [r["ids"] for r in rows.mapInArrow(_presence(place), "ids array<int>").toLocalIterator()]
+        ids = [r["ids"] for r in rows.mapInArrow(_presence(place), "ids array<int>").collect()]  # of the sample
         out = np.zeros((len(ids), len(names)), dtype=np.float32)
         for row, own in zip(out, ids):
             row[own] = 1
