@@ -33,7 +33,7 @@ from marketlens.session import durable
 WEIGHTS = (5, 2, 1)
 CAP = 3
 #: Documents of a shard, on average.
-SHARD_DOCS = 50_000
+SHARD_DOCS = 8_000
 #: Words of a block: a thousandth of the smallest target, within these bounds.
 BLOCK_WORDS = (1, 1024)
 SEED = 20_240
