@@ -140,7 +140,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Curve:
         picked = ids if picked is None else picked.unionByName(ids)
     rows = docs.join(F.broadcast(picked), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)))
     build_from: dict[int, list[bytes]] = {0: [], 1: []}
-    for r in rows.where("half = 0").select("doc_id", "quality", _sampled(PIECES)("text").alias("parts")).orderBy("quality", "doc_id").toLocalIterator():
+    for r in rows.where("half = 0").select("doc_id", "quality", _sampled(PIECES)("text").alias("parts")).orderBy("quality", "doc_id").collect():
         build_from[r["quality"]] += map(bytes, r["parts"])
     curve = Curve(*build(build_from[1], build_from[0]))
     rest = rows.where("half = 1").select("doc_id", "quality", _differences(curve)("text").alias("x")).orderBy("doc_id", "quality").collect()
