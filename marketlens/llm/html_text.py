@@ -51,7 +51,8 @@ COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies r
 ARTICLE_ELEMENTS = frozenset(("article", "main"))
 
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)",
+    rf"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
+    rf"|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)",
     re.S | re.I,
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)

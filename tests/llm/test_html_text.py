@@ -46,6 +46,13 @@ def test_odd_pages(page, want):
     assert H.main_text(page) == want
 
 
+@pytest.mark.parametrize("tag", ["<svg-icon name=a></svg-icon>", "<video-js></video-js>", "<audio-player>", "<object-x/>", "<title-bar></title-bar>", "<svg/>", "<svg d='a>b' />", '<math a="b"/>'])
+@pytest.mark.parametrize("outer", ["article", "div"])
+def test_custom_elements_and_closed_drawings_hide_no_text(tag, outer):
+    page = f"{tag}<{outer}><p>Before {tag} {LONG}</p>{tag}<svg><text>no</text></svg ><p>{MORE}</p></{outer}>"
+    assert H.main_text(page) == f"Before {LONG.strip()} {MORE.strip()}"
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'>", "</div>", "<", ">", "\"", "'", "<a href=\"x", "text ", "&amp;", "<!--", "-->", "</", "<article>", "</article>", "<script>"]), max_size=40))
 def test_any_markup_is_read(parts):
