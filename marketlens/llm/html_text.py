@@ -1,12 +1,13 @@
 """Main text of HTML by line-block distribution.
 
-Markup is stripped to lines, one per block. A line weighs as many characters as its text has; lines
-of menus, headers, footers, sidebars, notices, adverts, forms and reader comments weigh nothing,
-and neither do lines of little but links. The weights are summed over a sliding window of lines.
-Where the sums surge past a threshold the main text begins, where they dive to nothing it ends;
-what weighs something between the first surge and the last dive is kept, all of it. The threshold
-is SURGE characters, or half of the highest sum on a page of short lines. Where the page marks its
-article, only lines in it weigh, and any weight is a surge.
+Markup is stripped to lines, one per block that has text. A line weighs as many characters as its
+text has; lines of menus, headers, footers, sidebars, notices, adverts, forms and reader comments
+weigh nothing, and neither do lines of little but links, unless one stands alone: a heading or a line
+after text, with text after it. The weights are summed over a sliding window of lines. Where the sums
+surge past a threshold the main text begins, where they dive to nothing it ends, and at both edges
+it reaches on over text up to the next line that weighs nothing; what weighs something between the
+edges is kept, all of it. The threshold is SURGE characters, or half of the highest sum on a page of
+short lines. Where the page marks its article, only lines in it weigh, and any weight is a surge.
 
 Cases: null and empty pages, and pages without main text, give an empty text. Unclosed and stray
 tags, comments and scripts are read as far as they go. Repeated rows are all extracted. No rows
@@ -49,6 +50,7 @@ ASIDE_WORDS = frozenset(
 )
 COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
 ARTICLE_ELEMENTS = frozenset(("article", "main"))
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _TOKEN = re.compile(
     rf"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
@@ -91,8 +93,9 @@ def _opened(name: str, attributes: str, inside: bool) -> _Open:
 
 
 def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, in an article) of each line of the page."""
+    """(text, weight, in an article) of each line of the page that has text."""
     out: list[tuple[str, int, bool]] = []
+    linking: dict[int, bool] = {}  # lines of little but links, and whether of a heading
     stack: list[_Open] = []
     text: list[str] = []
     linked = links = 0
@@ -100,11 +103,14 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
     def end_line() -> None:
         nonlocal text, linked
         whole = " ".join(html.unescape("".join(text)).split())
-        article = any(e.article for e in stack)
-        if any(e.aside for e in stack) or (not article and linked > LINKS * len(whole)):
-            out.append(("", 0, article))
-        else:
-            out.append((whole, len(whole), article))
+        if whole:
+            article = any(e.article for e in stack)
+            if any(e.aside for e in stack):
+                out.append(("", 0, article))
+            else:
+                if not article and linked > LINKS * len(whole):
+                    linking[len(out)] = any(e.name in HEADINGS for e in stack)
+                out.append((whole, len(whole), article))
         text, linked = [], 0
 
     at = 0
@@ -144,6 +150,10 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                 stack.append(own)
     text.append(page[at:])
     end_line()
+    plain = [bool(weight) and i not in linking for i, (_, weight, _) in enumerate(out)]
+    for i, heading in linking.items():
+        if not ((heading or i and plain[i - 1]) and plain[i + 1 : i + 2] == [True]):
+            out[i] = ("", 0, False)
     return out
 
 
@@ -160,7 +170,7 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
     # the last high window ends where the sums go on falling to nothing
     while end + 1 < len(sums) and sums[end + 1]:
         end += 1
-    while begin and sums[begin - 1 + window - 1] and weights[begin - 1]:
+    while begin and weights[begin - 1]:
         begin -= 1
     return " ".join(text for (text, _, _), w in list(zip(found, weights))[begin : end + 1] if w)
 

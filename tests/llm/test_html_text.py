@@ -46,6 +46,24 @@ def test_odd_pages(page, want):
     assert H.main_text(page) == want
 
 
+MENU = "<ul class=menu><li><a>One</a></li><li><a>Two</a></li><li>Three</li></ul>"
+FOOT = "<div class=footer><p>(c)</p><p>Imprint</p><p>Contact</p></div>"
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [(f"<h1>{'h' * 30}</h1><p>{'a' * 30}</p><p>{'b' * 200}</p>", f"{'h' * 30} {'a' * 30} {'b' * 200}"),
+     (f"<div><div><h1>Title</h1></div></div><div><div><p>{LONG}</p></div></div><div><p>short end</p></div>", f"Title {LONG.strip()} short end"),
+     (f"<p>{LONG}</p><table><tbody><tr><td>a</td><td>1</td></tr><tr><td>b</td><td>2</td></tr></tbody></table>", f"{LONG.strip()} a 1 b 2"),
+     (f"<table><tbody><tr><td>a</td><td>1</td></tr></tbody></table><div><p>{LONG}</p></div>", f"a 1 {LONG.strip()}"),
+     (f"<div><h1><a href=/x>Linked title</a></h1></div><div><p>{LONG}</p></div><p><a>all of it linked</a></p><p>end</p>", f"Linked title {LONG.strip()} all of it linked end"),
+     (f"<p>{LONG}</p><ul><li><a>x</a></li><li><a>y</a></li><li><a>z</a></li></ul>", LONG.strip())],
+)
+def test_edges_of_pages_without_a_marked_article(body, want):
+    assert H.main_text(f"{MENU}{body}{FOOT}") == want
+    assert H.main_text(f"{MENU}\n<section>\n{body}\n</section>\n{FOOT}") == want
+
+
 @pytest.mark.parametrize("tag", ["<svg-icon name=a></svg-icon>", "<video-js></video-js>", "<audio-player>", "<object-x/>", "<title-bar></title-bar>", "<svg/>", "<svg d='a>b' />", '<math a="b"/>'])
 @pytest.mark.parametrize("outer", ["article", "div"])
 def test_custom_elements_and_closed_drawings_hide_no_text(tag, outer):
