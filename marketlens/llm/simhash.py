@@ -163,7 +163,7 @@ def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle: int, radius:
     roots = components(near_links(nodes.select("fp"), radius, limit)).withColumnRenamed("node", "fp")
     labels = durable(nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     least = durable(labels.groupBy("root").agg(F.min("least").alias("component_id")))
-    labels = durable(labels.join(least, "root").select("fp", "component_id"))
+    labels = durable(labels.join(least, "root").select("fp", "root", "component_id"))
     return table.join(labels, "fp")
 
 
@@ -177,9 +177,10 @@ def simhash(
 
 
 def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, of its smallest doc_id, in the columns of `docs`."""
+    """One row of each component, of its smallest doc_id, in the columns of `docs`. Components are told
+    apart by their root, since several can have one component_id (null, or that of different texts)."""
     first = _labelled(docs, id_col, text_col, SHINGLE, RADIUS, BUCKET_LIMIT).where("doc_id <=> component_id")
-    kept = first.groupBy(F.col("component_id").alias("__id")).agg(F.min("sig").alias("__sig"))
+    kept = first.groupBy("root").agg(F.first("component_id").alias("__id"), F.min("sig").alias("__sig")).drop("root")
     rows = docs.withColumn("__text", F.xxhash64(docs[text_col]))
     stay = rows.join(kept, rows[id_col].cast("long").eqNullSafe(kept["__id"]) & (rows["__text"] == kept["__sig"]), "left_semi")
     return stay.dropDuplicates([id_col, "__text"]).drop("__text")

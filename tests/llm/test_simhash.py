@@ -100,6 +100,15 @@ def test_one_row_of_each_component_stays(spark):
     assert Counter(r.doc_id for r in stay.collect()) == Counter(roots)
 
 
+def test_unrelated_components_with_one_id_or_none_all_stay(spark):
+    rng = random.Random(4)
+    a, b, c, d = (words(rng, 60) for _ in range(4))
+    rows = [(None, a), (None, b), (None, b), (None, c), (7, c), (3, d), (3, "short"), (3, "short"), (5, d), (9, "short")]
+    assert len({c for _, c, _ in plain_components(rows)}) == 5
+    got = Counter((r.doc_id, r.text) for r in S.keep_representatives(frame(spark, rows)).collect())
+    assert got == Counter([(None, a), (None, b), (7, c), (3, d), (3, "short")])
+
+
 def test_components_of_long_paths_stars_and_loops(spark):
     links = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(400)] + [(5, 5), (2000, 2001), (2001, 2000)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "u long, v long")).collect()}
