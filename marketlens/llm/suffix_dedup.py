@@ -98,7 +98,7 @@ def _signed(hashes: list[int]) -> pa.Array:
     return pa.array(np.array(hashes, dtype=np.uint64).view(np.int64))
 
 
-_STRETCH_DDL = "lead long, whole long, doc_id long, nth int, start int, n int, anchor int, inner boolean, known boolean"
+_STRETCH_DDL = "lead long, whole long, doc_id long, nth long, start int, n int, anchor int, inner boolean, known boolean"
 
 
 def _stretch_rows(length: int, lead: int):
@@ -124,7 +124,8 @@ def _stretch_rows(length: int, lead: int):
             doc, nth, start, n, anchor, inner = (np.concatenate(x) for x in zip(*parts))
             yield pa.RecordBatch.from_arrays(
                 [
-                    _signed(leads), _signed(wholes), pa.array(doc.astype(np.int64)), *[pa.array(x.astype(np.int32)) for x in (nth, start, n, anchor)],
+                    _signed(leads), _signed(wholes), pa.array(doc.astype(np.int64)), pa.array(nth.astype(np.int64)),
+                    *[pa.array(x.astype(np.int32)) for x in (start, n, anchor)],
                     pa.array(inner.astype(bool)), pa.array(known, pa.bool_()),
                 ],
                 names=["lead", "whole", "doc_id", "nth", "start", "n", "anchor", "inner", "known"],
@@ -134,7 +135,7 @@ def _stretch_rows(length: int, lead: int):
 
 
 _JUDGED = ["lead", "doc_id", "nth", "start", "n", "anchor"]
-_JUDGED_DDL = "lead long, doc_id long, nth int, start int, n int, anchor int, open boolean"
+_JUDGED_DDL = "lead long, doc_id long, nth long, start int, n int, anchor int, open boolean"
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,7 +190,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(opened)], names=[*_JUDGED, "open"])
 
 
-_PART_DDL = "lead binary, doc_id long, nth int, start int, n int, data binary"
+_PART_DDL = "lead binary, doc_id long, nth long, start int, n int, data binary"
 
 
 def _parts(length: int, lead: int):
@@ -203,7 +204,7 @@ def _parts(length: int, lead: int):
                 for x in opened:
                     a, n, p = x["start"], x["n"], x["start"] + x["anchor"]
                     out.append((data[p : p + lead], doc, nth, a, n, data[a : a + n + length - 1]))
-            types = [pa.binary(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            types = [pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(x, t) for x, t in zip(zip(*out) if out else [[]] * 6, types)], names=["lead", "doc_id", "nth", "start", "n", "data"]
             )
@@ -315,12 +316,11 @@ def dedup(
     again, several = stored(rows.select("doc_id", sig).groupBy("doc_id").agg(F.count("*").alias("m"), F.min("sig").alias("a"), F.max("sig").alias("b")).where("m > 1"))
     repeats = not again.isEmpty()
     if repeats:
-        texts_of = rows.select("doc_id", sig).join(several.where("a <> b").select("doc_id"), "doc_id").distinct()
-        texts_of = texts_of.groupBy("doc_id").agg(F.sort_array(F.collect_list("sig")).alias("sigs"))
-        rows = rows.join(durable(texts_of), "doc_id", "left")
-        rows = rows.withColumn("nth", F.coalesce(F.array_position("sigs", F.xxhash64("text")).cast("int"), F.lit(0))).drop("sigs")
+        # texts of one id are told apart and ordered by their hashes, a row each, however many they are
+        rows = rows.join(several.select("doc_id", (F.col("a") != F.col("b")).alias("differ")), "doc_id", "left")
+        rows = rows.withColumn("nth", F.when(F.col("differ"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("differ")
     else:
-        rows = rows.withColumn("nth", F.lit(0))
+        rows = rows.withColumn("nth", F.lit(0).cast("long"))
     deal = F.when(F.col("known"), F.xxhash64("doc_id", "start")).otherwise(F.col("lead"))
     found = rows.select("doc_id", "nth", "text").mapInArrow(_stretch_rows(length, lead), _STRETCH_DDL)
     found = found.repartition(deal).sortWithinPartitions("lead", "whole", "doc_id", "nth", "start")
@@ -333,7 +333,7 @@ def dedup(
     crowded = not hot.isEmpty()
     apart = parts.join(few, "lead", "left_anti") if crowded else parts
     apart = apart.repartitionByRange(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lead")
-    compared = apart.sortWithinPartitions("lead", "doc_id", "nth", "start").mapInArrow(_compare(length), "doc_id long, nth int, start int, n int")
+    compared = apart.sortWithinPartitions("lead", "doc_id", "nth", "start").mapInArrow(_compare(length), "doc_id long, nth long, start int, n int")
     if crowded:
         compared = compared.unionByName(_compare_hot(parts.join(few, "lead", "left_semi"), length))
     gone = judged.where("not open").select("doc_id", "nth", "start", "n").unionByName(compared)

@@ -61,6 +61,22 @@ def test_texts_of_one_id_are_documents_of_their_own(spark):
     assert sum(got.values()) == 3 and got[120, True] in (0, 2)
 
 
+@pytest.mark.parametrize("doc", [None, 1])
+def test_many_texts_of_one_id_are_never_gathered(spark, monkeypatch, doc):
+    plans = []
+    for name in ("durable", "stored"):
+        own = getattr(S, name)
+        monkeypatch.setattr(S, name, lambda df, *a, own=own: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or own(df, *a))
+    rng = random.Random(14)
+    shared = words(rng, 60)
+    rows = [(doc, f"{i} {words(rng, 5)} {shared if i % 2 else words(rng, 60)}") for i in range(300)] + [(2, shared)]
+    out = S.dedup(frame(spark, rows))
+    got = out.collect()
+    assert not any("array_position" in p or "collect_list(sig" in p for p in [*plans, out._jdf.queryExecution().optimizedPlan().toString()])
+    # all but one of the shared passages go; the null id and the smaller id come before 2
+    assert len(got) == len(rows) and sum(r.n_removed >= len(shared.encode()) for r in got) == 150
+
+
 def test_equal_windows_are_those_with_equal_bytes():
     rng = np.random.default_rng(3)
     data = bytes(rng.integers(0, 2, 3000, dtype=np.uint8))
