@@ -6,12 +6,15 @@ near a protected entity can reveal it. How much it does is estimated from all do
     PMI(term; entity) = log2(N * n(term, entity) / (n(term) * n(entity)))
 
 against the entity's information content IC = log2(N / n(entity)); n counts documents, the pair
-those in which the term stands within WINDOW words of the entity. A term that gives away at least
-SHARE of the content (PMI >= SHARE * IC), and does so in SUPPORT different surroundings at least,
-so that copies of one passage are no evidence, is disclosed next to that entity: `sanitize`
-generalises it to its shape, or removes it where it gives away all.
-
-A term's documents are counted over the whole corpus, for the terms that can matter: a bitmap of
+those in which the term stands within WINDOW words of the entity. How sure that is depends on the
+pair's different surroundings, s, of which copies of one passage are one: the estimate is lowered by
+log2((s + PRIOR) / s), as if the term had stood PRIOR times more elsewhere. A term that gives away at
+least SHARE of the content by the lowered estimate, (PMI - that) >= SHARE * IC, is disclosed next to
+that entity, also where that is mentioned once: `sanitize` generalises it to its shape, or removes it
+where PMI gives away all.
+
+A term's documents are counted over the whole corpus, for the terms that can matter, which are those
+that would be disclosed if they stood near entities only, or in a part of the documents only: a bitmap of
 fixed size tells workers which ones may, a join with the terms themselves tells which ones do.
 
 Cases: null and empty texts have no spans. A pattern's failing match is dropped, not retried.
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.llm.common import narrow, small_batches, stored
@@ -38,8 +41,13 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 #: Words on either side of an entity.
 WINDOW = 8
-SUPPORT = 3
+#: Least number of surroundings: any pair is judged.
+SUPPORT = 1
 SHARE = 0.9
+#: Of the lowered estimate: half a count, as usual for counts from 1 on.
+PRIOR = 0.5
+#: The first count of terms takes one in so many documents.
+PARTS = 8
 #: Bits of the bitmap of terms: 2 MB, at any size of the corpus.
 FILTER_BITS = 1 << 24
 REMEMBERED = 300_000
@@ -169,8 +177,14 @@ def _frequencies(bitmap: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, bool] = {}
         bits, mask = bitmap, len(bitmap) * 8 - 1
+        counts: Counter[str] = Counter()
+
+        def counted() -> pa.RecordBatch:
+            rows = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+            counts.clear()
+            return rows
+
         for batch in batches:
-            counts: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
                 for word in set(_WORD.findall((text or "").lower())):
                     may = known.get(word)
@@ -181,9 +195,9 @@ def _frequencies(bitmap: bytes):
                         may = known[word] = bool(bits[place >> 3] >> (place & 7) & 1)
                     if may:
                         counts[word] += 1
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"]
-            )
+            if len(counts) >= REMEMBERED:
+                yield counted()
+        yield counted()
 
     return run
 
@@ -209,22 +223,38 @@ def _bitmap(terms: DataFrame, bits: int) -> bytes:
 
 def disclosing(found: DataFrame, docs: DataFrame, support: int = SUPPORT, share: float = SHARE, bits: int = FILTER_BITS) -> DataFrame:
     """(entity, term, given): pairs whose term gives away at least `share` of the entity's content."""
-    near = found.select("doc_id", "sig", F.explode("near").alias("x")).select("doc_id", "sig", "x.*")
+    holding = found.where("size(near) > 0")
+    near = holding.select(F.explode("near").alias("x")).select("x.*")
     surroundings = near.select("entity", "term", "around").distinct().groupBy("entity", "term").agg(F.count("*").alias("seen"))
-    each = found.where("size(near) > 0").select(
+    each = holding.select(
         F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("x")
     )
     together = each.groupBy("x.entity", "x.term").agg(F.count("*").alias("n_both"))
-    pairs = durable(surroundings.where(F.col("seen") >= support).join(together, ["entity", "term"]))
-    holders = found.where("size(near) > 0").select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
+    holders = holding.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["entity"]))).alias("entity"))
     holders = holders.groupBy("entity").agg(F.count("*").alias("n_entity"))
-    terms = docs.select("text").mapInArrow(_frequencies(_bitmap(pairs, bits)), "term string, n long")
-    terms = terms.groupBy("term").agg(F.sum("n").alias("n_term"))
-    rows = docs.count()
-    content = F.log2(F.lit(float(max(rows, 1))) / F.col("n_entity"))
-    pmi = F.log2(F.lit(float(max(rows, 1))) * F.col("n_both") / (F.col("n_term").cast("double") * F.col("n_entity")))
-    given = pairs.join(terms, "term").join(holders, "entity").select("entity", "term", F.when(content > 0, pmi / content).alias("given"))
-    return given.where(F.col("given") >= share)
+    beside = holding.select(F.explode(F.array_distinct(F.transform("near", lambda x: x["term"]))).alias("term"))
+    _, beside = stored(beside.groupBy("term").agg(F.count("*").alias("n_near")))
+    total = F.lit(float(max(docs.count(), 1)))
+    content = F.log2(total / F.col("n_entity"))
+    unsure = F.log2((F.col("seen") + PRIOR) / F.col("seen"))
+
+    def pmi(n_term: str) -> Column:
+        return F.log2(total * F.col("n_both") / (F.col(n_term).cast("double") * F.col("n_entity")))
+
+    pairs = durable(surroundings.where(F.col("seen") >= support).join(together, ["entity", "term"]).join(holders, "entity"))
+    # a term is in as many documents as it stands near entities in, at least
+    pairs = durable(pairs.join(beside, "term").where(content > 0).where((pmi("n_near") - unsure) / content >= share))
+    def counted(some: DataFrame, pairs: DataFrame, out: str) -> DataFrame:
+        terms = some.select("text").mapInArrow(_frequencies(_bitmap(pairs.select("term").distinct(), bits)), "term string, n long")
+        # a piece of a word, cut by an entity within it, may be no word of the corpus
+        terms = terms.groupBy("term").agg(F.sum("n").alias("n_corpus"))
+        return pairs.join(terms, "term", "left").withColumn(out, F.greatest("n_corpus", "n_near")).drop("n_corpus")
+
+    # common words fail by what a part of the documents holds of them, so the whole is counted for rare ones
+    part = docs.where(F.pmod(F.xxhash64("text"), F.lit(PARTS)) == 0)
+    pairs = durable(counted(part, pairs, "n_part").where((pmi("n_part") - unsure) / content >= share).drop("n_part"))
+    judged = counted(docs, pairs, "n_term")
+    return judged.where((pmi("n_term") - unsure) / content >= share).select("entity", "term", (pmi("n_term") / content).alias("given"))
 
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, support: int = SUPPORT, share: float = SHARE) -> DataFrame:

@@ -105,6 +105,16 @@ def test_terms_that_disclose_against_brute_force(spark):
                 assert any(text[a:b] in NAMES for a, k, b in own if k == "term")
 
 
+def test_entities_mentioned_once_or_twice_are_judged(spark):
+    rng = random.Random(12)
+    rows = [(i, words(rng, 40)) for i in range(300)] + [(i, f"plain Ondrey {words(rng, 9)}") for i in range(300, 320)]
+    rows += [(400, f"{words(rng, 9)} Vexil wrote from one@mail.example.com {words(rng, 9)}")]
+    rows += [(410 + i, f"{words(rng, 9)} Tarbun and Ondrey wrote from two@mail.example.com {words(rng, 9)}") for i in (0, 1)]
+    rows += [(420, rows[-1][1])]
+    got = {r.doc_id: {t[x.start : x.end] for x in r.found if x.kind == "term"} for r, t in ((r, dict(rows)[r.doc_id]) for r in pii.spans(frame(spark, rows)).collect())}
+    assert got == {d: {"Vexil"} if d == 400 else {"Tarbun"} if d >= 410 else set() for d, _ in rows}
+
+
 def test_counts_digests_and_strings_of_odd_documents(spark):
     rows = [*odd_rows(), (60, "mail a@b.co or +49 30 1234567 now"), (60, "mail a@b.co or +49 30 1234567 now")]
     got = pii.span_strings(pii.spans(frame(spark, rows))).collect()
