@@ -186,7 +186,7 @@ def _frequencies(bitmap: bytes):
 
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for word in set(_WORD.findall((text or "").lower())):
+                for word in {w.lower() for w in set(_WORD.findall(text or ""))}:
                     may = known.get(word)
                     if may is None:
                         if len(known) >= REMEMBERED:

@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 from cases import frame, odd_rows, words
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -115,6 +116,13 @@ def test_entities_mentioned_once_or_twice_are_judged(spark):
     assert got == {d: {"Vexil"} if d == 400 else {"Tarbun"} if d >= 410 else set() for d, _ in rows}
 
 
+def test_words_are_counted_as_they_are_lower_cased_near_entities(spark):
+    texts = ["İsmail met İpek", "i smail", None, "İSMAİL İsmail"]
+    batches = pii._frequencies(b"\xff" * 1024)(iter([pa.record_batch([pa.array(texts)], names=["text"])]))
+    got = {r["term"]: r["n"] for b in batches for r in b.to_pylist()}
+    assert got == {"İsmail".lower(): 2, "İSMAİL".lower(): 1, "met": 1, "İpek".lower(): 1, "i": 1, "smail": 1}
+
+
 def test_counts_digests_and_strings_of_odd_documents(spark):
     rows = [*odd_rows(), (60, "mail a@b.co or +49 30 1234567 now"), (60, "mail a@b.co or +49 30 1234567 now")]
     got = pii.span_strings(pii.spans(frame(spark, rows))).collect()
