@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.session import durable
@@ -76,3 +76,25 @@ def starts_of_runs(table: pa.Table, keys: list[str]) -> np.ndarray:
         column = table.column(key).to_numpy()
         new[1:-1] |= column[1:] != column[:-1]
     return np.flatnonzero(new)
+
+
+def numbered(rows: DataFrame, group: str, order: list[Column]) -> DataFrame:
+    """`rows`, stored, with idx, a row's place from 0 in its `group` (a column without nulls) by `order`,
+    and n, the rows of the group. Rows that tie are numbered in any order.
+
+    One range shuffle, in which a large group and ties are split by a seeded column; the places in
+    the ranges are then shifted by the rows of the ranges before, one row per range and group."""
+    salted = rows.withColumn("__salt", F.rand(1))
+    keys = [F.col(group), *order, F.col("__salt")]
+    ranged = salted.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("__salt")
+    table = durable(ranged.withColumn("__at", F.monotonically_increasing_id()))
+    ranges = table.groupBy(F.col(group).alias("__group"), F.shiftright("__at", 33).alias("__range"))
+    ranges = ranges.agg(F.min("__at").alias("__first"), F.count("*").alias("__rows"))
+    whole = Window.partitionBy("__group")
+    before = whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = ranges.select(
+        "__group", "__range", (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"), F.sum("__rows").over(whole).alias("n")
+    )
+    _, shifts = stored(shifts)
+    on = (F.col(group) == F.col("__group")) & (F.shiftright("__at", 33) == F.col("__range"))
+    return table.join(shifts, on).withColumn("idx", F.col("__at") + F.col("__shift")).drop("__at", "__group", "__range", "__shift")

@@ -24,7 +24,7 @@ def duck():
 
 def test_a_query_per_operator_and_the_pipeline():
     names = [*registry.QUERIES]
-    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in names) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
     assert set(registry.ORACLES) <= set(names)
 
 
