@@ -7,7 +7,17 @@ after text, with text after it. The weights are summed over a sliding window of
 surge past a threshold the main text begins, where they dive to nothing it ends, and at both edges
 it reaches on over text up to the next line that weighs nothing; what weighs something between the
 edges is kept, all of it. The threshold is SURGE characters, or half of the highest sum on a page of
-short lines. Where the page marks its article, only lines in it weigh, and any weight is a surge.
+short lines. Where the page marks its article, only lines in it weigh, and each weighs PRIOR more, so
+that its short lines surge as well.
+
+Boilerplate is known by element, role, hiding, and by a class or id all of whose parts say so
+(`sidebar`, `left-sidebar`, `site-footer`, not `header-fixed` or `layout-sidebar`). What only a class,
+a role, hiding, a form, a header or a dialog sets aside stays if it holds most of the page's text,
+comments excepted.
+
+Tags and attributes are read as browsers do: a quote opens a value only behind `=`. The text of raw
+elements (scripts, styles, drawings, players) is skipped; one that is never closed ends at the next
+block.
 
 Cases: null and empty pages, and pages without main text, give an empty text. Unclosed and stray
 tags, comments and scripts are read as far as they go. Repeated rows are all extracted. No rows
@@ -31,6 +41,8 @@ from marketlens.llm.common import narrow, small_batches
 WINDOW = 3
 SURGE = 86
 LINKS = 0.5
+#: Characters that a line weighs more for standing in the article that a page marks.
+PRIOR = SURGE
 
 # Element and class names, fixed values of HTML and of common page templates.
 BLOCKS = frozenset(
@@ -39,63 +51,84 @@ BLOCKS = frozenset(
     "summary table tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed frame hr img input link meta param source track wbr".split())
-RAW = "script|style|noscript|template|textarea|iframe|object|svg|math|title|xmp|canvas|audio|video"
-ASIDE_ELEMENTS = frozenset("nav footer aside form head menu dialog button select fieldset datalist search".split())
+RAW = frozenset("script style noscript template textarea iframe object svg math title xmp canvas audio video".split())
+ASIDE_ELEMENTS = frozenset("nav footer aside head menu button select fieldset datalist".split())
+SOFT_ELEMENTS = frozenset("form dialog search".split())
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 ASIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs byline comment comments commentlist consent "
     "cookie cookies disclaimer disqus footer footnav gdpr header login masthead menu menus modal nav navbar navi navigation newsletter "
-    "notice notices notification pager pagination paywall popup promo promoted promotion related recommended respond share sharing "
-    "sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
+    "notice notices notification pager pagination paywall popup promo promoted promotion related recommended replies reply respond share "
+    "sharing sidebar signup skip social sponsor sponsored subscribe subscription tags toolbar topbar widget widgets".split()
 )
-COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
+#: What may stand beside such a word in a class or id that still says no more than it.
+BESIDE_WORDS = frozenset(
+    "area bar bottom box block buttons col column container global inner left links list main page primary right secondary section "
+    "sections site slot slots top unit wrap wrapper".split()
+)
+COMMENT_WORDS = frozenset("comment comments commentlist disqus replies reply respond".split())
 ARTICLE_ELEMENTS = frozenset(("article", "main"))
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
-_TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?:svg|math)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=/)>"
-    rf"|<({RAW})(?=[\s/>])[^>]*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+>|[^>]*(?:>|\Z))|<[!?][^>]*(?:>|\Z)",
-    re.S | re.I,
-)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""", re.I)
-_HIDDEN = re.compile(r"""\s(?:hidden(?=[\s>/=])|aria-hidden\s*=\s*["']?true|style\s*=\s*["'][^"']*display\s*:\s*none)""", re.I)
-_LETTERS = re.compile(r"[a-z]+")
+#: A comment, a tag (closing, name, attributes), or another declaration. A quote opens a value only behind `=`.
+_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:=\s*(?:"[^"]*"|'[^']*')|[^>])*+(?:>|\Z))|<[!?][^>]*(?:>|\Z)""", re.S)
+_ATTRIBUTE = re.compile(r"""([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+_CLOSE = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I) for name in RAW}
+_BLOCK = re.compile(rf"</?(?:{'|'.join(sorted(BLOCKS))})(?=[\s/>])", re.I)
+_PARTS = re.compile(r"[a-z]+|[^a-z\W_]+")
 
 
-@dataclass
+@dataclass(eq=False)
 class _Open:
-    """An element that is open: does it set its text aside, is it an article, is it of comments."""
+    """An element that is open. aside: it sets its text aside; soft: unless that is most of the page's."""
 
     name: str
     aside: bool
+    soft: bool
     article: bool
     comments: bool
+    chars: int = 0
+
+
+def says_aside(token: str, inside: bool) -> tuple[bool, bool]:
+    """Whether a class or id says that its element is boilerplate, and whether reader comments. In an
+    article a header is part of it."""
+    parts = _PARTS.findall(token)
+    words = {w for w in parts if w in ASIDE_WORDS and not (inside and w == "header")}
+    if not words or any(w not in words and w not in BESIDE_WORDS for w in parts):
+        return False, False
+    return True, bool(words & COMMENT_WORDS)
 
 
 def _opened(name: str, attributes: str, inside: bool) -> _Open:
-    aside, comments = name in ASIDE_ELEMENTS or (name == "header" and not inside), False
+    hard, soft, comments = name in ASIDE_ELEMENTS, name in SOFT_ELEMENTS or (name == "header" and not inside), False
     if attributes.strip(" />"):
+        seen: dict[str, str] = {}
         for kind, *values in _ATTRIBUTE.findall(attributes):
-            value = max(values).lower()
-            if kind.lower() == "role":
-                aside |= value.strip() in ASIDE_ROLES
-            elif name not in ("html", "body"):
-                for words in map(_LETTERS.findall, value.split()):
-                    # "sidebar" or "left-sidebar" or "ad-box", not "content-with-sidebar"
-                    if not words or len(words) > 1 and words[-2] in ("with", "has", "no", "without"):
-                        continue
-                    ends = {words[0], words[-1]}
-                    comments |= bool(ends & COMMENT_WORDS)
-                    aside |= bool(ends & (ASIDE_WORDS - {"header"} if inside else ASIDE_WORDS))
-        aside |= bool(_HIDDEN.search(attributes))
-    aside |= comments
-    return _Open(name, aside, name in ARTICLE_ELEMENTS and not aside, comments)
+            seen.setdefault(kind.lower(), max(values).lower())
+        soft |= seen.get("role", "").strip() in ASIDE_ROLES
+        soft |= "hidden" in seen or seen.get("aria-hidden") == "true" or "display:none" in seen.get("style", "").replace(" ", "")
+        if name not in ("html", "body"):
+            for token in f"{seen.get('class', '')} {seen.get('id', '')}".split():
+                beside, of_comments = says_aside(token, inside)
+                soft |= beside
+                comments |= of_comments
+    hard |= comments
+    return _Open(name, hard or soft, not hard, name in ARTICLE_ELEMENTS and not (hard or soft), comments)
 
 
-def lines(page: str) -> list[tuple[str, int, bool]]:
-    """(text, weight, in an article) of each line of the page that has text."""
-    out: list[tuple[str, int, bool]] = []
-    linking: dict[int, bool] = {}  # lines of little but links, and whether of a heading
+@dataclass
+class _Line:
+    text: str
+    article: bool
+    asides: list[_Open]
+    linking: bool
+    heading: bool
+
+
+def _lines(page: str) -> list[_Line]:
+    """The lines that have text, with what is known of each."""
+    out: list[_Line] = []
     stack: list[_Open] = []
     text: list[str] = []
     linked = links = 0
@@ -104,27 +137,39 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         nonlocal text, linked
         whole = " ".join(html.unescape("".join(text)).split())
         if whole:
+            asides = [e for e in stack if e.aside]
+            for e in asides:
+                e.chars += len(whole)
             article = any(e.article for e in stack)
-            if any(e.aside for e in stack):
-                out.append(("", 0, article))
-            else:
-                if not article and linked > LINKS * len(whole):
-                    linking[len(out)] = any(e.name in HEADINGS for e in stack)
-                out.append((whole, len(whole), article))
+            out.append(_Line(whole, article, asides, linked > LINKS * len(whole), any(e.name in HEADINGS for e in stack)))
         text, linked = [], 0
 
-    at = 0
-    for token in _TOKEN.finditer(page):
-        if token.start() > at:
-            part = page[at : token.start()]
-            text.append(part)
+    at, size = 0, len(page)
+    unclosed: set[str] = set()
+    while at < size:
+        token = _TOKEN.search(page, at)
+        start = token.start() if token else size
+        if start > at:
+            text.append(page[at:start])
             if links:
-                linked += len(part)
+                linked += start - at
+        if token is None:
+            break
         at = token.end()
-        name = token[3]
+        name = token[2]
         if name is None:
             continue
-        name, closing = name.lower(), bool(token[2])
+        name, closing = name.lower(), bool(token[1])
+        if name in RAW:
+            if not closing and not (name in ("svg", "math") and token[3].endswith("/>")):
+                end = None if name in unclosed else _CLOSE[name].search(page, at)
+                if end is None:
+                    unclosed.add(name)
+                    end = _BLOCK.search(page, at)
+                    at = end.start() if end else size
+                else:
+                    at = end.end()
+            continue
         if name in BLOCKS:
             end_line()
         if name == "a":
@@ -136,35 +181,39 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
                 if stack[i].name == name:
                     del stack[i:]
                     break
-        elif name in BLOCKS or name in ARTICLE_ELEMENTS or "=" in token[4]:
+        elif name in BLOCKS or name in ARTICLE_ELEMENTS or "=" in token[3]:
             if name in BLOCKS:  # a new block closes an open paragraph, an item the item before it
                 while stack and (stack[-1].name == "p" or stack[-1].name not in BLOCKS or stack[-1].name == name in ("li", "option", "dt", "dd", "tr", "td", "th")):
                     stack.pop()
-            own = _opened(name, token[4], any(e.article for e in stack))
+            own = _opened(name, token[3], any(e.article for e in stack))
             if name in ARTICLE_ELEMENTS and not own.aside:
                 for e in stack:  # what holds the article isn't beside it
                     if e.aside and not e.comments and e.name not in ASIDE_ELEMENTS:
                         e.aside = False
                 own.article = not any(e.aside for e in stack)
-            if not token[4].endswith("/>") or name in BLOCKS:
+            if not token[3].endswith("/>") or name in BLOCKS:
                 stack.append(own)
-    text.append(page[at:])
     end_line()
-    plain = [bool(weight) and i not in linking for i, (_, weight, _) in enumerate(out)]
-    for i, heading in linking.items():
-        if not ((heading or i and plain[i - 1]) and plain[i + 1 : i + 2] == [True]):
-            out[i] = ("", 0, False)
     return out
 
 
-def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
-    found = lines(page or "")
-    marked = any(article and weight for _, weight, article in found)
-    weights = np.array([weight if article or not marked else 0 for _, weight, article in found])
-    if not weights.any():
-        return ""
+def lines(page: str) -> list[tuple[str, int, bool]]:
+    """(text, weight, in an article) of each line of the page that has text."""
+    found = _lines(page)
+    total = sum(len(line.text) for line in found)
+    weighs = [not any(e.aside and not (e.soft and 2 * e.chars > total) for e in line.asides) for line in found]
+    linking = [w and line.linking and not line.article for w, line in zip(weighs, found)]
+    plain = [w and not k for w, k in zip(weighs, linking)]
+    out = []
+    for i, line in enumerate(found):
+        alone = linking[i] and (line.heading or i > 0 and plain[i - 1]) and plain[i + 1 : i + 2] == [True]
+        out.append((line.text, len(line.text), line.article) if plain[i] or alone else ("", 0, line.article and not linking[i]))
+    return out
+
+
+def edges(weights: np.ndarray, window: int, least: int) -> tuple[int, int]:
+    """First and last line of the main text; some window of `weights` sums up to `least`."""
     sums = np.convolve(weights, np.ones(window, dtype=int), "full")  # sums[i]: lines i - window + 1 to i
-    least = 1 if marked else min(surge, (int(sums.max()) + 1) // 2)
     high = np.flatnonzero(sums >= least)
     begin, end = max(0, int(high[0]) - window + 1), int(high[-1])
     # the last high window ends where the sums go on falling to nothing
@@ -172,6 +221,17 @@ def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str
         end += 1
     while begin and weights[begin - 1]:
         begin -= 1
+    return begin, min(end, len(weights) - 1)
+
+
+def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
+    found = lines(page or "")
+    marked = any(article and weight for _, weight, article in found)
+    weights = np.array([weight + PRIOR * marked if weight and (article or not marked) else 0 for _, weight, article in found])
+    if not weights.any():
+        return ""
+    highest = int(np.convolve(weights, np.ones(window, dtype=int)).max())
+    begin, end = edges(weights, window, min(surge, (highest + 1) // 2))
     return " ".join(text for (text, _, _), w in list(zip(found, weights))[begin : end + 1] if w)
 
 

@@ -71,6 +71,67 @@ def test_custom_elements_and_closed_drawings_hide_no_text(tag, outer):
     assert H.main_text(page) == f"Before {LONG.strip()} {MORE.strip()}"
 
 
+STATES = "header-fixed site|nav-open|sticky-header|comment-free|notification-bar-off wrapper|layout-sidebar|page-with-cookie-banner|widget-area-none".split("|")
+
+
+@pytest.mark.parametrize("outer", [f'div class="{c}"' for c in STATES] + ['form id="aspnetForm"', 'div class="modal"', 'div role="dialog"', 'div style="display: none"'])
+def test_an_element_that_holds_the_text_is_kept(outer):
+    page = f"{MENU}<{outer}><h1>Title</h1><p>{LONG}</p><p>{MORE}</p></{outer.split()[0]}>{FOOT}"
+    assert H.main_text(page) == f"Title {LONG.strip()} {MORE.strip()}"
+
+
+def test_classes_that_only_hold_a_word_of_boilerplate_stay_in_articles():
+    kept = [f'<{e}>{k}</{e.split()[0]}>' for k, e in enumerate(['div class="notice-period"', 'section id="share-prices"', 'p class="tags-explained"', "p data-x='class=ad'"])]
+    gone = ['<div class="share-buttons">s</div>', "<p class=ad>a</p>", '<p class="comment_list">c</p>', '<div id="related-box">r</div>']
+    assert H.main_text(f"<article>{''.join(kept + gone)}<p>{LONG}</p></article>") == f"0 1 2 3 {LONG.strip()}"
+
+
+def test_variants_of_the_test_pages_without_their_mark(spark):
+    """The article in a plain element with a class of state, in place of `<article>`."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").orderBy("page_id").limit(60).collect()
+    for k, r in enumerate(pages):
+        article = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        text = re.sub(r"</?(p|h1|br|b)>", lambda m: "" if m[1] == "b" else " ", article)
+        want = " ".join(html.unescape(text).split())
+        page = r.html.replace("<article>", f'<div class="{STATES[k % len(STATES)]}">').replace("</article>", "</div>")
+        assert H.main_text(page) == want, page
+
+
+@pytest.mark.parametrize(
+    "page,want",
+    [("<p>He said <a href='it's here'>link</a> and more text.</p><p>Don't lose this.</p><p>End.</p>", "He said link and more text. Don't lose this. End."),
+     ('<p>It"s <b title=5" wide>five inches</b> wide.</p><p>And "so" on.</p>', 'It"s five inches wide. And "so" on.'),
+     ('<p title="a > b">x</p><p class = "y">z</p>', "x z")],
+)
+def test_quotes_open_values_only_behind_an_equals_sign(page, want):
+    assert H.main_text(page) == want
+
+
+@pytest.mark.parametrize("raw", ["video", "object", "svg", "audio controls", "noscript", "iframe", "script", "title"])
+def test_raw_elements_that_are_never_closed_end_at_the_next_block(raw):
+    page = f"<div><p>Before</p><{raw}>hidden<p>{LONG}</p><p>After</p></div>"
+    assert H.main_text(page) == f"Before {LONG.strip()} After"
+    assert H.main_text(f"<article>{page}</article>") == f"Before {LONG.strip()} After"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.sampled_from([0, 0, 1, 5, 30, 90, 400]), min_size=1, max_size=25).filter(any), st.integers(1, 5), st.integers(1, 200))
+def test_windows_surge_and_dive_by_brute_force(weights, window, surge):
+    sums = {first: sum(weights[max(0, first) : first + window]) for first in range(1 - window, len(weights))}
+    least = min(surge, (max(sums.values()) + 1) // 2)
+    high = [first for first, total in sums.items() if total >= least]
+    begin, last = max(0, high[0]), high[-1]
+    while last + 1 in sums and sums[last + 1] > 0:  # the dive
+        last += 1
+    while begin > 0 and weights[begin - 1] > 0:
+        begin -= 1
+    got = H.edges(H.np.array(weights), window, least)
+    assert got == (begin, min(last + window - 1, len(weights) - 1))
+    page = "".join("<p>" + "x" * w + "</p>" if w else "<nav>gap</nav>" for w in weights)
+    want = [w for k, w in enumerate(weights) if begin <= k <= got[1] and w]
+    assert [len(w) for w in H.main_text(page, window, surge).split()] == want
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.sampled_from(["<p>", "</p>", "<div class='ad'>", "</div>", "<", ">", "\"", "'", "<a href=\"x", "text ", "&amp;", "<!--", "-->", "</", "<article>", "</article>", "<script>"]), max_size=40))
 def test_any_markup_is_read(parts):
