@@ -40,6 +40,14 @@ def stored(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, Data
     return table, F.broadcast(table) if size <= limit else table
 
 
+def one_row_per_id(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` (doc_id, text) that belong to `ids` (doc_id and more, few rows), stored: of
+    rows that repeat an id the one with the least hash of its text, so there are as many as ids."""
+    rows = docs.join(F.broadcast(ids), "doc_id")
+    least = F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"]
+    return durable(rows.groupBy(*ids.columns).agg(least.alias("text")))
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -5,7 +5,8 @@ piece by piece, so that its own repetitions don't hide what the dictionaries giv
 of the two sizes over its length is calibrated to a probability by a logistic curve, fitted on
 labelled documents that the dictionaries were not built from.
 
-Bounds, as parameters: SAMPLE documents of each label, those with the smallest hash of their id;
+Bounds, as parameters: SAMPLE documents of each label, those with the smallest hash of their id, one row
+of each;
 the dictionaries are built from one half of them and up to PIECES pieces of each, the curve is
 fitted on the other half. Scoring reads every whole text.
 
@@ -25,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import narrow, small_batches, texts
+from marketlens.llm.common import narrow, one_row_per_id, small_batches, texts
 from marketlens.llm.toxicity import held_out
 
 SAMPLE = 2000
@@ -138,7 +139,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Curve:
     for label in (0, 1):
         ids = known.where(F.col("quality") == label).select("doc_id", "quality").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         picked = ids if picked is None else picked.unionByName(ids)
-    rows = docs.join(F.broadcast(picked), "doc_id").withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)))
+    rows = one_row_per_id(docs, picked).withColumn("half", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)))
     build_from: dict[int, list[bytes]] = {0: [], 1: []}
     for r in rows.where("half = 0").select("doc_id", "quality", _sampled(PIECES)("text").alias("parts")).orderBy("quality", "doc_id").collect():
         build_from[r["quality"]] += map(bytes, r["parts"])

@@ -13,7 +13,7 @@ Features are the distinct words of the whole text, lower-cased, and their beginn
 characters. Those that stand out in the toxic sample against the unlabelled one are kept.
 
 Bounds, as parameters: at most POSITIVES toxic and UNLABELLED documents are fitted on, those with
-the smallest hash of their id, and at most CANDIDATES features are counted, FEATURES kept. The
+the smallest hash of their id, one row of each, and at most CANDIDATES features are counted, FEATURES kept. The
 prior is counted over all labelled rows. Scoring reads every whole text.
 
 Cases: null and empty texts have no features and get the classifier's base rate. Without a toxic
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import narrow, small_batches
+from marketlens.llm.common import narrow, one_row_per_id, small_batches
 
 POSITIVES = 3000
 UNLABELLED = 6000
@@ -147,14 +147,14 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabell
     prior = (counts["toxic"] or 0) / max(1, counts["n"])
     if not counts["toxic"]:
         return Classifier(-60.0)
-    sample = lambda ids, n: F.broadcast(ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n))
-    toxic = docs.join(sample(known.where("toxic = 1"), positives), "doc_id").select("text")
-    other = docs.join(sample(docs.where("doc_id is not null").where(~held_out()), unlabelled), "doc_id").select("text")
+    sample = lambda ids, n: ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    toxic = one_row_per_id(docs, sample(known.where("toxic = 1"), positives)).select("text")
+    other = one_row_per_id(docs, sample(docs.where("doc_id is not null").where(~held_out()), unlabelled)).select("text")
     tally = lambda rows, wanted: rows.mapInArrow(_counts(wanted), "feature string, n long").groupBy("feature").agg(F.sum("n").alias("n"))
     top = tally(toxic, None).where("n >= 2").orderBy(F.desc("n"), "feature").limit(CANDIDATES)
     in_toxic = {r["feature"]: r["n"] for r in top.collect()}  # CANDIDATES rows at most
     in_other = {r["feature"]: r["n"] for r in tally(other, frozenset(in_toxic)).collect()}
-    names = select(in_toxic, in_other, min(positives, counts["toxic"]), unlabelled)
+    names = select(in_toxic, in_other, toxic.count(), other.count())
     place = {f: i for i, f in enumerate(names)}
 
     def matrix(rows: DataFrame) -> np.ndarray:

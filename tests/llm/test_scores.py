@@ -99,3 +99,71 @@ def test_curve_and_pieces():
     x = np.linspace(-1, 1, 400)
     slope, offset = Q.calibrate(x, (np.random.default_rng(1).random(400) < 1 / (1 + np.exp(-(5 * x + 1)))).astype(float))
     assert 3 < slope < 7 and 0.3 < offset < 1.7
+
+
+@pytest.mark.parametrize("module,column", [(T, "toxic"), (Q, "quality")])
+def test_many_rows_of_one_labelled_id_change_no_model(spark, module, column):
+    """20,000 more rows of the id, all of them with texts that no sample takes first."""
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    one = labels.where(f"{column} = 1").where(~module.held_out(parts=4, part=2) & ~module.held_out(parts=5, part=0)).orderBy("doc_id").first()["doc_id"]
+    least = docs.where(F.col("doc_id") == one).select(F.xxhash64("text")).first()[0]
+    more = spark.range(40_000).select(F.lit(one).alias("doc_id"), F.concat(F.lit("quite another text "), F.col("id").cast("string")).alias("text"))
+    more = more.where(F.xxhash64("text") > least).limit(20_000)
+    model = module.fit(docs, labels)
+    again = module.fit(docs.unionByName(more), labels)
+    if module is Q:
+        assert (model.good, model.bad) == (again.good, again.bad) and model.slope == pytest.approx(again.slope)
+    else:
+        assert model.weights.keys() == again.weights.keys() and model.bias == pytest.approx(again.bias, abs=1e-3)
+
+
+def test_one_row_of_an_id_is_read(spark):
+    from marketlens.llm.common import one_row_per_id
+
+    docs = frame(spark, [(1, f"t{k}") for k in range(500)] + [(2, None), (2, "b"), (3, None), (None, "x"), (4, "y")]).select("doc_id", "text")
+    ids = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (9, 0)], "doc_id long, label int")
+    got = {(r.doc_id, r.label) for r in one_row_per_id(docs, ids).collect()}
+    assert got == {(1, 0), (2, 1), (3, 1)} and one_row_per_id(docs, ids).count() == 3
+
+
+def test_scores_are_those_of_the_curve_recomputed(spark, tables):
+    """Sizes with either dictionary from the library, one text at a time."""
+    import math
+
+    import zstandard
+
+    docs, labels = (t.limit(300) for t in tables)
+    curve = Q.fit(*tables)
+    got = Q.score(docs, labels, curve).collect()
+    whole = {r.doc_id: r.text for r in docs.collect()}
+    for r in got[:120]:
+        data = (whole[r.doc_id] or "").encode()
+        parts = Q.pieces(data)
+        sizes = []
+        for own in (curve.good, curve.bad):
+            c = zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(own), level=Q.LEVEL, write_checksum=False, write_content_size=False, write_dict_id=False)
+            sizes.append(sum(len(c.compress(p)) for p in parts))
+        difference = (sizes[1] - sizes[0]) / len(data) if data else 0.0
+        assert r.score == pytest.approx(1 / (1 + math.exp(-(curve.slope * difference + curve.offset))), abs=2e-2)
+
+
+def test_the_minimised_risk_is_the_formulas():
+    """The weights found are a minimum of the risk: a plain recomputation is no lower around them."""
+    rng = np.random.default_rng(3)
+    toxic, other = (rng.random((n, 12)) < rate for n, rate in ((80, 0.3), (300, 0.1)))
+    toxic, other = toxic.astype(np.float32), other.astype(np.float32)
+    prior, decay = 0.2, 1e-3
+    w, b = T.train(toxic, other, prior, steps=3000, rate=0.01, decay=decay)
+
+    def risk(w, b):
+        loss = lambda g: np.logaddexp(0, -g)
+        gp, gu = toxic @ w + b, other @ w + b
+        return prior * loss(gp).mean() + max(0.0, loss(-gu).mean() - prior * loss(-gp).mean()) + decay / 2 * (w @ w)
+
+    at = risk(w, b)
+    for _ in range(200):
+        step = rng.normal(size=13) * 0.05
+        assert risk(w + step[:12], b + step[12]) >= at - 1e-4

@@ -25,7 +25,8 @@ def plain_fingerprint(text, k=4):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def plain_components(rows, radius=4):
+def plain_roots(rows, radius=4):
+    """Of every row its fingerprint and the place of one row of its component."""
     prints = [plain_fingerprint(t) for _, t in rows]
     parent = list(range(len(rows)))
 
@@ -37,11 +38,27 @@ def plain_components(rows, radius=4):
     for i, j in itertools.combinations(range(len(rows)), 2):
         if (prints[i] ^ prints[j]).bit_count() <= radius:
             parent[root(i)] = root(j)
+    return prints, [root(i) for i in range(len(rows))]
+
+
+def plain_components(rows, radius=4):
+    prints, roots = plain_roots(rows, radius)
     least = {}
     for i, (doc, _) in enumerate(rows):
         if doc is not None:
-            least[root(i)] = min(doc, least.get(root(i), doc))
-    return Counter((doc, f"{prints[i]:016x}", least.get(root(i))) for i, (doc, _) in enumerate(rows))
+            least[roots[i]] = min(doc, least.get(roots[i], doc))
+    return Counter((doc, f"{prints[i]:016x}", least.get(roots[i])) for i, (doc, _) in enumerate(rows))
+
+
+def representatives(rows):
+    """One (doc_id, text) of every component; rows of one id and fingerprint are alike here."""
+    _, roots = plain_roots(rows)
+    best = {}
+    for (doc, text), root in zip(rows, roots):
+        rank = (doc is None, doc or 0, plain_fingerprint(text))
+        if root not in best or rank < best[root][0]:
+            best[root] = rank, (doc, text)
+    return Counter(one for _, one in best.values())
 
 
 def near_rows():
@@ -96,8 +113,7 @@ def test_one_row_of_each_component_stays(spark):
     docs = frame(spark, rows)
     stay = S.keep_representatives(docs)
     assert stay.columns == docs.columns
-    roots = {c for _, _, c in plain_components(rows)}
-    assert Counter(r.doc_id for r in stay.collect()) == Counter(roots)
+    assert Counter((r.doc_id, r.text) for r in stay.collect()) == representatives(rows)
 
 
 def test_unrelated_components_with_one_id_or_none_all_stay(spark):
