@@ -7,13 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketlens.session import broadcast_if_small, durable
+from marketlens.session import durable
 
-# Steps per unit of ln(1 + |v|): about 700 buckets per power of two, so that a bucket of
-# a money column spans 0.1 % of its value and a group has some ten thousand buckets.
-_BUCKETS_PER_E = 1000
-
-GROUP_ROWS = 100_000
+# Bits that a round of the radix selection settles: a task sees at most 2^16 counts of a group.
+_DIGIT = 16
 
 
 # Amounts below this are added up exactly, with twelve decimals; 10^8 rows of them fit a sum.
@@ -56,68 +53,53 @@ def value_histogram(df: DataFrame, keys: Sequence[str], measures: Sequence[str])
     )
 
 
+def ordered_bits(value: Column) -> Column:
+    """A double as the long that sorts like it: its bits, all but the sign turned over below zero."""
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + F.lit(0.0)).cast("long")  # -0.0 as 0.0
+    return F.when(bits < 0, bits.bitwiseXOR(F.lit(2**63 - 1))).otherwise(bits)
+
+
 def histogram_medians(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Exact interpolated median per group and measure from `value_histogram`, nulls left out.
 
-    First the bucket holding the middle is found from counts per bucket (a bounded number
-    per group), then the middle value among the distinct values of that bucket alone. The
-    keys travel as one struct: as join keys, structs match null fields with each other."""
+    Radix selection for all groups at once: the 64 bits that sort like the values are settled 16 at a
+    time. Counts per prefix of 48, 32 and 16 bits are added up from those per value; then the middle
+    ranks go down from the shortest prefix, each to the one among its prefix's at most 2^16
+    continuations that holds it. So no task handles more of a group than that, whatever the values
+    and the group's size. The keys travel as one struct: as join keys, structs match null fields
+    with each other."""
     group = ["key", "measure"]
     values = hist.filter(F.col("value").isNotNull()).select(
-        F.struct(*keys).alias("key"),
-        "measure",
-        F.floor(F.signum("value") * F.ln(F.lit(1.0) + F.abs("value")) * F.lit(_BUCKETS_PER_E)).alias("bucket"),
-        "value",
-        "n",
-    )
-    buckets = (
-        values.groupBy(*group, "bucket")
-        .agg(F.sum("n").alias("n"))
-        .withColumn("upto", F.sum("n").over(Window.partitionBy(*group).orderBy("bucket")))
-        .withColumn("total", F.sum("n").over(Window.partitionBy(*group)))
-        .withColumn("before", F.col("upto") - F.col("n"))
-    )
-    low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
-    middle = buckets.filter((F.col("before") <= high) & (F.col("upto") > low)).drop("n", "upto")
-
-    inside = Window.partitionBy(*group, "bucket").orderBy("value")
-    placed = (
-        values.join(middle, [*group, "bucket"])
-        .withColumn("last", F.col("before") + F.sum("n").over(inside))
-        .withColumn("first", F.col("last") - F.col("n"))
-    )
-
-    def value_at(position: Column) -> Column:
-        return F.max(F.when((F.col("first") <= position) & (F.col("last") > position), F.col("value")))
-
-    ends = placed.groupBy(*group).agg(value_at(low).alias("lo"), value_at(high).alias("hi"))
-    return ends.select("key.*", "measure", (F.col("lo") * F.lit(0.5) + F.col("hi") * F.lit(0.5)).alias("median"))
-
-
-def grouped_medians(
-    df: DataFrame, keys: Sequence[str], measures: Sequence[str], sizes: DataFrame, limit: int = GROUP_ROWS
-) -> DataFrame:
-    """Exact median of each measure per group, one column per measure.
-
-    `sizes` is a stored table of the groups and their rows `n`. Groups of up to `limit` rows
-    fit the built-in median, which keeps a group's values in one task; larger ones, at most
-    rows / limit of them, go through `histogram_medians`. `df` is read once for each kind."""
-    large = sizes.filter(F.col("n") > limit).select(F.struct(*keys).alias("_group"))
-    builtin = [F.median(m).cast("double").alias(m) for m in measures]
-    if large.isEmpty():
-        return df.groupBy(*keys).agg(*builtin)
-    large = broadcast_if_small(large)
-    grouped = df.select(*keys, *measures).withColumn("_group", F.struct(*keys))
-    small = grouped.join(large, "_group", "left_anti").groupBy(*keys).agg(*builtin)
-    hist = durable(value_histogram(grouped.join(large, "_group", "left_semi"), keys, measures))
-    # Groups without a value have no median there, but keep their row.
-    medians = hist.select(*keys, "measure").distinct().withColumn("key", F.struct(*keys)).join(
-        histogram_medians(hist, keys).select(F.struct(*keys).alias("key"), "measure", "median"), ["key", "measure"], "left"
-    )
-    wide = medians.groupBy(*keys).agg(
-        *[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(m) for m in measures]
+        F.struct(*keys).alias("key"), "measure", ordered_bits(F.col("value")).alias("prefix"), "value", "n"
     )
-    return small.unionByName(wide)
+    levels = [values]
+    for _ in range(64 // _DIGIT - 1):
+        shorter = levels[0].groupBy(*group, F.shiftright("prefix", _DIGIT).alias("prefix"))
+        levels.insert(0, shorter.agg(F.sum("n").alias("n")))
+    first, *rest = levels
+    counts = first.withColumns({"total": F.sum("n").over(Window.partitionBy(*group)), "end": F.lit(0)})
+    middle = F.array_distinct(F.array(F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)))
+    counts = counts.withColumn("rank", F.explode(middle))
+    for level in [*rest, None]:
+        inside = Window.partitionBy(*group, "end", "rank").orderBy("prefix")
+        upto = counts.withColumn("upto", F.sum("n").over(inside))
+        held = (F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("n") <= F.col("rank"))
+        chosen = upto.filter(held).withColumn("rank", F.col("rank") - (F.col("upto") - F.col("n")))
+        if level is not None:
+            longer = level.withColumn("end", F.shiftright("prefix", _DIGIT))
+            counts = longer.join(chosen.select(*group, F.col("prefix").alias("end"), "rank"), [*group, "end"])
+    ends = chosen.groupBy(*group).agg((F.min("value") * F.lit(0.5) + F.max("value") * F.lit(0.5)).alias("median"))
+    return ends.select("key.*", "measure", "median")
+
+
+def grouped_medians(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Exact median of each measure per group, one column per measure; groups without a value keep
+    their row. `df` is read once."""
+    hist = durable(value_histogram(df, keys, measures))
+    medians = histogram_medians(hist, keys).select(F.struct(*keys).alias("key"), "measure", "median")
+    wide = medians.groupBy("key").agg(*[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(m) for m in measures])
+    groups = hist.select(F.struct(*keys).alias("key")).distinct()
+    return groups.join(wide, "key", "left").select("key.*", *measures)
 
 
 def histogram(df: DataFrame, key: Column | str, name: str, n: str = "n") -> DataFrame:

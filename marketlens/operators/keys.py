@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlens.session import durable
@@ -30,6 +30,35 @@ def keep_known(df: DataFrame, keys: DataFrame, on: str = "cnpj_basico") -> DataF
     return df.join(keys.select(on), on, "left_semi")
 
 
+#: Keys of so many digits are places in a bitmap: 10^8 bits, 12.5 MB, however many rows there are.
+KEY_DIGITS = 8
+_BITS = 1 << 15  # of a row of the bitmap, as `bitmap_construct_agg` makes them
+
+
+def _is_number(column: str) -> Column:
+    return F.coalesce(F.col(column).rlike(f"^[0-9]{{{KEY_DIGITS}}}$"), F.lit(False))
+
+
+def key_bitmap(keys: DataFrame, on: str) -> DataFrame:
+    """The numeric keys as at most 10^8 / 2^15 rows of bits."""
+    number = keys.filter(_is_number(on)).select(F.col(on).try_cast("long").alias("number"))
+    rows = number.groupBy((F.col("number") / _BITS).cast("long").alias("_row"))
+    return rows.agg(F.bitmap_construct_agg(F.col("number") % _BITS).alias("_bits"))
+
+
+def keep_known_numbers(df: DataFrame, keys: DataFrame, on: str = "cnpj_basico") -> DataFrame:
+    """`keep_known` for keys of eight digits: their bitmap is broadcast, which its size allows for any
+    number of keys, and the rows stay where they are. Other keys, which are exceptions, join."""
+    number = F.col(on).try_cast("long")
+    place = (number % _BITS).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known = byte.bitwiseAND(F.element_at(F.array(*[F.lit(1 << k) for k in range(8)]), place % 8 + 1)) != 0
+    numeric = df.filter(_is_number(on)).withColumn("_row", (number / _BITS).cast("long"))
+    held = numeric.join(F.broadcast(key_bitmap(keys, on)), "_row").filter(known).select(*df.columns)
+    others = keep_known(df.filter(~_is_number(on)), keys.filter(~_is_number(on)), on).select(*df.columns)
+    return held.unionByName(others)
+
+
 def missing_keys(required: DataFrame, found: DataFrame, on: Sequence[str]) -> DataFrame:
     """Required keys that were not found."""
     return required.join(found.select(*on).distinct(), list(on), "left_anti")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import empty_to_null, normalize_text
 from marketlens.operators.aggregates import histogram, with_empty
-from marketlens.operators.keys import keep_known
+from marketlens.operators.keys import keep_known_numbers
 from marketlens.schemas import ACTIVE_CODES, LAYOUTS
 
 
@@ -89,12 +89,12 @@ def status_histogram(estab: DataFrame, target_uf: str) -> DataFrame:
 
 def bronze_companies(emp: DataFrame, keys: DataFrame) -> DataFrame:
     """Companies owning an active establishment, given the stored keys of those."""
-    return keep_known(emp, keys).select(*LAYOUTS["empresas"])
+    return keep_known_numbers(emp, keys).select(*LAYOUTS["empresas"])
 
 
 def bronze_simples(simples: DataFrame, keys: DataFrame) -> DataFrame:
     """Tax-regime rows of those companies."""
-    return keep_known(simples, keys).select(*LAYOUTS["simples"])
+    return keep_known_numbers(simples, keys).select(*LAYOUTS["simples"])
 
 
 def bronze_municipios(municipios: DataFrame) -> DataFrame:

@@ -191,11 +191,17 @@ def range_bounds(silver: DataFrame) -> DataFrame:
 
 def pivot_counts(df: DataFrame, row: str, column: str, value: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Sum of `value` per row key, one column per key of `column` that occurs (or that is
-    listed, for a chosen few), 0 where there is none. Null keys are left out."""
+    listed, for a chosen few), 0 where there is none. Null keys are left out. A table can't be wider
+    than spark.sql.pivotMaxValues (10,000) of them; beyond that it is an error."""
     known = df.filter(F.col(row).isNotNull() & F.col(column).isNotNull())
     table = known.groupBy(row).pivot(column, None if columns is None else list(columns)).agg(F.sum(value))
     return table.na.fill(0)
 
 
+def unpivot_counts(wide: DataFrame, row: str, column: str, value: str) -> DataFrame:
+    """`pivot_counts` in long form: a row per cell, also those of 0."""
+    return wide.unpivot(row, None, column, value)
+
+
 def friendly(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed({k: v for k, v in names.items() if k in df.columns})

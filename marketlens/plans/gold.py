@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.operators.aggregates import GROUP_ROWS, grouped_medians, ratio, sum_money
+from marketlens.operators.aggregates import grouped_medians, ratio, sum_money
 from marketlens.operators.ranking import global_rank, minmax, share_of_parent, weighted_score
 from marketlens.schemas import (
     CNAE_WEIGHTS,
@@ -21,23 +21,16 @@ from marketlens.session import durable
 _CELL = ("uf", "municipio", "cnae_principal", "descricao_cnae")
 
 
-def municipio_cnae(
-    silver: DataFrame, parent: Sequence[str] = ("municipio",), group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def municipio_cnae(silver: DataFrame, parent: Sequence[str] = ("municipio",)) -> DataFrame:
     """Counts, share of the municipality, density, capital and age per municipality and
-    industry.
-
-    The totals are stored first: they tell which cells are too large for one task's median."""
-    cells = durable(
-        silver.groupBy(*_CELL).agg(
-            F.count(F.lit(1)).alias("total_empresas_ativas"),
-            sum_money("capital_social").alias("capital_social_total"),
-            F.avg("idade_empresa_anos").alias("idade_media_empresas"),
-            F.max("populacao").alias("populacao"),
-        )
+    industry."""
+    cells = silver.groupBy(*_CELL).agg(
+        F.count(F.lit(1)).alias("total_empresas_ativas"),
+        sum_money("capital_social").alias("capital_social_total"),
+        F.avg("idade_empresa_anos").alias("idade_media_empresas"),
+        F.max("populacao").alias("populacao"),
     )
-    sizes = cells.select(*_CELL, F.col("total_empresas_ativas").alias("n"))
-    medians = grouped_medians(silver, _CELL, ("capital_social", "idade_empresa_anos"), sizes, group_rows).select(
+    medians = grouped_medians(silver, _CELL, ("capital_social", "idade_empresa_anos")).select(
         F.struct(*_CELL).alias("_cell"),
         F.col("capital_social").alias("capital_social_mediano"),
         F.col("idade_empresa_anos").alias("idade_mediana_empresas"),

@@ -12,9 +12,10 @@ from marketlens.functions.text import normalize_name
 from marketlens.operators.keys import distinct_keys
 from marketlens.plans import bronze, diagnosis, gold, quality, silver
 from marketlens.schemas import LAYOUTS, RAW_ENCODING, Thresholds
-from marketlens.session import release, tune, written
+from marketlens.session import durable, release, tune, written
 from marketlens.sources import readers, sinks
 from marketlens.sources.catalog import catalog, find_indicator_file, list_files
+from marketlens.sources.tables import Replacement, Tables
 
 MANDATORY = ("estabelecimentos", "empresas")
 LOADED = ("estabelecimentos", "empresas", "municipios", "cnaes", "naturezas", "simples")
@@ -173,63 +174,72 @@ def _build(
         run_diagnosis(sources, raw, folder, target_uf, thresholds)
         diagnosis.gate(spark.read.json(f"{folder}/diagnostico/bloqueios"))
 
-    estab = sinks.write_table(
-        bronze.filter_target(raw["estabelecimentos"], target_uf).select(*LAYOUTS["estabelecimentos"]),
-        f"{folder}/silver/estabelecimentos_ativos",
-    )
-    keys = sinks.write_table(distinct_keys(estab, "cnpj_basico"), f"{folder}/silver/chaves_ativas")
-    emp = sinks.write_table(bronze.bronze_companies(raw["empresas"], keys), f"{folder}/silver/empresas")
-    simples = sinks.write_table(bronze.bronze_simples(raw["simples"], keys), f"{folder}/silver/simples")
-    municipios = sinks.write_table(bronze.bronze_municipios(raw["municipios"]), f"{folder}/silver/municipios")
-    table, origin = indicators_for(spark, sources, paths, target_uf, encoding)
-    indicators = sinks.write_table(table, f"{folder}/silver/indicadores")
+    tables = Tables(spark, folder)
+    with tables.replacing() as new:  # all of them, or none if anything fails
+        gold_tables = _replace(new, sources, raw, folder, paths, target_uf, as_of, style, encoding)
+    for name, order in GOLD_ORDER.items():
+        sinks.export_csv(gold_tables[name], folder, name, order())
+    tables.register()  # SQL users find them by name, as those of any later session who register them
+    return gold_tables
+
+
+#: Gold tables and the order of their CSV exports.
+GOLD_ORDER = {
+    "gold_empresas_ativas": list,
+    "gold_municipio_cnae": list,
+    "gold_ranking_municipios": lambda: ["posicao_ranking"],
+    "gold_ranking_cnaes": gold.cnae_order,
+    "gold_qualidade_dados": list,
+}
+
 
-    market = build_market(estab, emp, municipios, raw, simples, indicators, as_of, style, folder)
+def _replace(
+    new: Replacement,
+    sources: DataFrame,
+    raw: dict[str, DataFrame],
+    folder: str,
+    paths: Sequence[str],
+    target_uf: str,
+    as_of: str,
+    style: str,
+    encoding: str,
+) -> dict[str, DataFrame]:
+    """New versions of the silver and gold tables; the gold ones."""
+    spark = sources.sparkSession
+    active = durable(bronze.filter_target(raw["estabelecimentos"], target_uf).select(*LAYOUTS["estabelecimentos"]))
+    keys = durable(distinct_keys(active, "cnpj_basico"))
+    emp = new.write(bronze.bronze_companies(raw["empresas"], keys), "silver_empresas")
+    simples = new.write(bronze.bronze_simples(raw["simples"], keys), "silver_simples")
+    municipios = new.write(bronze.bronze_municipios(raw["municipios"]), "silver_municipios")
+    table, origin = indicators_for(spark, sources, paths, target_uf, encoding)
+    indicators = new.write(table, "silver_indicadores")
+    owned = durable(silver.owners(emp, raw["naturezas"], simples, style))
+    by_key = new.write_by_key({"silver_estabelecimentos_ativos": active, "silver_proprietarios": owned}, "cnpj_basico")
+    estab, owned = by_key["silver_estabelecimentos_ativos"], by_key["silver_proprietarios"]
+    wide = silver.build_silver(estab, emp, municipios, raw["cnaes"], raw["naturezas"], simples, indicators, as_of, style, owned)
+    market = new.write(wide, "gold_empresas_ativas")
     funnel = sinks.write_table(bronze.ingest_funnel(raw["estabelecimentos"], target_uf), f"{folder}/metricas/funil")
     status = bronze.status_histogram(raw["estabelecimentos"], target_uf).filter("escopo = 'todos'")
     gold_tables = {
         "gold_empresas_ativas": market,
-        "gold_municipio_cnae": sinks.export(gold.municipio_cnae(market), f"{folder}/gold", "gold_municipio_cnae"),
-        "gold_ranking_municipios": sinks.export(
-            gold.ranking_municipios(market), f"{folder}/gold", "gold_ranking_municipios", ["posicao_ranking"]
-        ),
-        "gold_ranking_cnaes": sinks.export(gold.ranking_cnaes(market), f"{folder}/gold", "gold_ranking_cnaes", gold.cnae_order()),
-        "gold_qualidade_dados": sinks.export(
-            quality.quality_checks(market, funnel, emp, status, style), f"{folder}/gold", "gold_qualidade_dados"
-        ),
+        "gold_municipio_cnae": new.write(gold.municipio_cnae(market), "gold_municipio_cnae"),
+        "gold_ranking_municipios": new.write(gold.ranking_municipios(market), "gold_ranking_municipios"),
+        "gold_ranking_cnaes": new.write(gold.ranking_cnaes(market), "gold_ranking_cnaes"),
+        "gold_qualidade_dados": new.write(quality.quality_checks(market, funnel, emp, status, style), "gold_qualidade_dados"),
     }
-    # SQL users find the tables by name, as long as the session lasts.
-    silver_tables = {"estabelecimentos_ativos": estab, "empresas": emp, "simples": simples, "municipios": municipios, "indicadores": indicators}
-    for name, stored in {**{f"silver_{k}": t for k, t in silver_tables.items()}, **gold_tables}.items():
-        stored.createOrReplaceTempView(name)
     kept = {"empresas": emp, "simples": simples, "municipios": municipios, "indicadores": indicators}
     sinks.write_json(metrics_table(raw, kept, funnel, sources, origin), f"{folder}/metricas/execucao")
     return gold_tables
 
 
-def build_market(
-    estab: DataFrame,
-    emp: DataFrame,
-    municipios: DataFrame,
-    raw: dict[str, DataFrame],
-    simples: DataFrame,
-    indicators: DataFrame,
-    as_of: str,
-    style: str,
-    folder: str,
-) -> DataFrame:
-    """The wide table, stored once for all gold tables and questions."""
-    wide = silver.build_silver(estab, emp, municipios, raw["cnaes"], raw["naturezas"], simples, indicators, as_of, style)
-    return sinks.export(wide, f"{folder}/gold", "gold_empresas_ativas")
-
-
 def audit(spark: SparkSession, folder: str, thresholds: Thresholds = Thresholds()) -> tuple[DataFrame, DataFrame]:
     """Counts of the stored layers and the audit's rules over them. A diagnosis that was
     skipped leaves its match percentages at 100 and no missing parts."""
-    stored = {name: readers.load_table(spark, f"{folder}/gold", name) for name in ("gold_empresas_ativas", "gold_ranking_municipios", "gold_ranking_cnaes")}
+    names = ("silver_estabelecimentos_ativos", "silver_empresas", "gold_empresas_ativas", "gold_ranking_municipios", "gold_ranking_cnaes")
+    stored = {name: readers.load_table(spark, folder, name) for name in names}
     counts = quality.audit_layers(
-        spark.read.parquet(f"{folder}/silver/estabelecimentos_ativos"),
-        spark.read.parquet(f"{folder}/silver/empresas"),
+        stored["silver_estabelecimentos_ativos"],
+        stored["silver_empresas"],
         stored["gold_empresas_ativas"],
         stored["gold_ranking_municipios"],
         stored["gold_ranking_cnaes"],

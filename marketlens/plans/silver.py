@@ -68,6 +68,15 @@ def merge_indicators(pib: DataFrame, pop: DataFrame) -> DataFrame:
     ).select(*INDICATOR_COLUMNS)
 
 
+def owners(emp: DataFrame, naturezas: DataFrame, simples: DataFrame, style: str = "br") -> DataFrame:
+    """Companies with their legal form and tax regime."""
+    nat = broadcast_if_small(
+        dedup_dim(naturezas.select("natureza_juridica", "descricao_natureza_juridica"), "natureza_juridica")
+    )
+    regimes = dedup_dim(simples.select("cnpj_basico", "opcao_simples", "opcao_mei"), "cnpj_basico")
+    return companies(emp, style).join(regimes, "cnpj_basico", "left").join(nat, "natureza_juridica", "left")
+
+
 def build_silver(
     estab: DataFrame,
     emp: DataFrame,
@@ -78,13 +87,15 @@ def build_silver(
     indicators: DataFrame,
     as_of,
     style: str = "br",
+    stored_owners: DataFrame | None = None,
 ) -> DataFrame:
     """Join active establishments with their companies (inner) and the five dimensions (left).
 
     Tax regimes go to the companies first, which are stored. The one large join is then
     between two scans, which AQE splits where a company holds many of the establishments.
     The code tables are broadcast if the sizes of their files allow it; nothing is run for that.
-    Storing the companies is the only job before the plan's own."""
+    Storing the companies is the only job before the plan's own; `stored_owners` are `owners` that
+    are stored already, for instance by key as the establishments are, and then nothing is shuffled."""
     mun = dedup_dim(municipios.select("codigo_municipio_receita", "nome_municipio_receita", "municipio_norm"), "codigo_municipio_receita")
     places = broadcast_if_small(
         mun.join(indicator_rollup(indicators, style), "municipio_norm", "left").select(
@@ -98,14 +109,10 @@ def build_silver(
     cnae = broadcast_if_small(
         dedup_dim(cnaes.select(F.col("cnae").alias("cnae_principal"), "descricao_cnae"), "cnae_principal")
     )
-    nat = broadcast_if_small(
-        dedup_dim(naturezas.select("natureza_juridica", "descricao_natureza_juridica"), "natureza_juridica")
-    )
-    regimes = dedup_dim(simples.select("cnpj_basico", "opcao_simples", "opcao_mei"), "cnpj_basico")
-    owners = durable(companies(emp, style).join(regimes, "cnpj_basico", "left").join(nat, "natureza_juridica", "left"))
+    owned = durable(owners(emp, naturezas, simples, style)) if stored_owners is None else stored_owners
     return (
         establishments(estab)
-        .join(owners, "cnpj_basico", "inner")
+        .join(owned, "cnpj_basico", "inner")
         .join(places, "codigo_municipio_receita", "left")
         .join(cnae, "cnae_principal", "left")
         .withColumn("cnae_fiscal_principal", F.col("cnae_principal"))

@@ -15,6 +15,7 @@ from marketlens.schemas import LAYOUTS, RAW_ENCODING, RAW_SEPARATOR, Thresholds
 from marketlens.session import durable, scratch_path
 from marketlens.sources import readers, sinks
 from marketlens.sources.catalog import classify_kind
+from marketlens.sources.tables import Tables
 from marketlens.tpch_views import AS_OF, TARGET_UF, Views, views
 
 _ESTAB_KEY = ("cnpj_basico", "cnpj_ordem", "cnpj_dv")
@@ -136,6 +137,34 @@ def silver_market(v: Views) -> DataFrame:
     return v.silver_plan
 
 
+@query
+def silver_by_key(v: Views) -> DataFrame:
+    """The wide table from establishments and companies stored in buckets of the company's key."""
+    with Tables(v.spark, scratch_path(v.spark)).replacing() as new:
+        owned = silver.owners(v.active_companies, v.naturezas, v.active_simples)
+        parts = new.write_by_key({"estabelecimentos": durable(v.active), "proprietarios": durable(owned)}, "cnpj_basico")
+    return silver.build_silver(
+        parts["estabelecimentos"], v.active_companies, v.municipios, v.cnaes, v.naturezas, v.active_simples, v.indicators, AS_OF,
+        stored_owners=parts["proprietarios"],
+    )
+
+
+@query
+def current_tables(v: Views) -> DataFrame:
+    """A ranking replaced twice, the second time by a build that fails; found by its name."""
+    tables = Tables(v.spark, scratch_path(v.spark))
+    ranking = durable(gold.ranking_cnaes(v.silver))
+    with tables.replacing() as new:
+        new.write(ranking, "ranking_cnaes_atual")
+    try:
+        with tables.replacing() as new:
+            new.write(ranking.limit(1), "ranking_cnaes_atual")
+            raise InterruptedError
+    except InterruptedError:
+        tables.register()
+    return v.spark.table("ranking_cnaes_atual")
+
+
 @query
 def municipio_cnae(v: Views) -> DataFrame:
     return gold.municipio_cnae(v.silver)
@@ -302,9 +331,11 @@ def top_naturezas(v: Views) -> DataFrame:
 
 @query
 def pivot_municipio_cnae(v: Views) -> DataFrame:
-    return explore.pivot_counts(
+    """A row per municipality and description, those without a company included."""
+    wide = explore.pivot_counts(
         durable(gold.municipio_cnae(v.silver)), "municipio", "descricao_cnae", "total_empresas_ativas"
     )
+    return explore.unpivot_counts(wide, "municipio", "descricao_cnae", "total_empresas_ativas")
 
 
 @query

@@ -20,6 +20,7 @@ from marketlens.schemas import (
     string_schema,
 )
 from marketlens.sources.catalog import file_heads, list_files, sources_of_kind
+from marketlens.sources.tables import Tables
 from marketlens.sources.zipcsv import ZipCsvDataSource
 
 SEPARATORS = (";", ",", "|", "\t")
@@ -208,8 +209,11 @@ def indicator_side(df: DataFrame, roles: dict[str, tuple[str, ...]], out: str, t
 
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A stored gold table: Parquet if there, else its CSV export read with its own schema, so
-    that codes keep their leading zeros."""
+    """A stored gold table: its current version, or Parquet under its name, if there, else its CSV
+    export read with its own schema, so that codes keep their leading zeros."""
+    current = Tables(spark, folder).entries().get(name)
+    if current is not None:
+        return Tables(spark, folder).open(current)
     try:
         return spark.read.parquet(f"{folder}/{name}")
     except AnalysisException as error:

@@ -35,10 +35,15 @@ def write_json(df: DataFrame, path: str) -> None:
 def export(df: DataFrame, folder: str, name: str, order: Sequence[Column | str] = ()) -> DataFrame:
     """Write a gold table as Parquet and, from the stored table, as CSV, in `order` if there is one."""
     stored = write_table(df, f"{folder}/{name}")
-    write_csv(stored.orderBy(*order) if order else stored, f"{folder}/csv/{name}")
+    export_csv(stored, folder, name, order)
     return stored
 
 
+def export_csv(stored: DataFrame, folder: str, name: str, order: Sequence[Column | str] = ()) -> None:
+    """The CSV export of a stored gold table, in `order` if there is one."""
+    write_csv(stored.orderBy(*order) if order else stored, f"{folder}/csv/{name}")
+
+
 def write_selection(df: DataFrame, path: str) -> None:
     """Export a user's selection as UTF-8 CSV."""
     write_csv(df, path)

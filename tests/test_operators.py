@@ -1,31 +1,26 @@
 import random
 import statistics
+import struct
 
 import pytest
 from pyspark.sql import functions as F
 
 from marketlens.functions.text import parse_br_number
-from marketlens.operators.aggregates import grouped_medians, histogram_json, sum_money, top, with_empty
-from marketlens.operators.keys import dedup_dim, duplicate_keys, keep_known, key_overlap, missing_keys, stored_keys
+from marketlens.operators.aggregates import grouped_medians, histogram_json, ordered_bits, sum_money, top, with_empty
+from marketlens.operators.keys import dedup_dim, duplicate_keys, keep_known, keep_known_numbers, key_bitmap, key_overlap, missing_keys, stored_keys
 from marketlens.operators.ranking import global_rank, minmax, share_of_parent, weighted_score
 from marketlens.plans.explore import pivot_counts
 from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable
 
 
-def medians_of(df, keys, measures, limit):
-    """Groups above `limit` rows take the histogram, the others the built-in median."""
-    return grouped_medians(df, keys, measures, df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), limit)
-
-
-@pytest.mark.parametrize("limit", [0, 1000, 100_000])
-def test_median_matches_statistics(spark, limit):
+def test_median_matches_statistics(spark):
     rng = random.Random(7)
     rows = [(rng.choice(["a", "b", None]), rng.choice([None, *(round(rng.uniform(-1e6, 1e9), 2) for _ in range(3))]), rng.randint(0, 90)) for _ in range(4000)]
     # One group holds most of the rows, many of them copies of one value.
     rows += [("hot", 1000.0, 5)] * 5000 + [("hot", float(i), i % 7) for i in range(3000)] + [("solo", None, 3)]
     df = spark.createDataFrame(rows, "k string, x double, y long").repartition(8)
-    got = {r.k: (r.x, r.y) for r in medians_of(df, ["k"], ["x", "y"], limit).collect()}
+    got = {r.k: (r.x, r.y) for r in grouped_medians(df, ["k"], ["x", "y"]).collect()}
     assert len(got) == len({r[0] for r in rows})
     for key in {r[0] for r in rows}:
         xs = [x for k, x, _ in rows if k == key and x is not None]
@@ -38,12 +33,60 @@ def test_median_agrees_with_builtin_and_splits_a_hot_group(spark):
         F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500).alias("g"),
         (F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 100).alias("v"),
     )
-    ours = medians_of(df, ["g"], ["v"], 1000)
+    ours = grouped_medians(df, ["g"], ["v"])
     builtin = df.groupBy("g").agg(F.median("v").alias("b"))
     assert ours.join(builtin, "g").filter(F.abs(F.col("v") - F.col("b")) > 1e-9).isEmpty()
     assert ours.count() == builtin.count()
 
 
+def test_bits_sort_like_their_doubles(spark):
+    rng = random.Random(3)
+    values = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 1.7e308, -1.7e308, float("inf"), float("-inf")]
+    values += [struct.unpack("d", struct.pack("q", rng.randrange(-(2**63), 2**63)))[0] for _ in range(3000)]
+    values = [v for v in values if v == v]
+    rows = spark.createDataFrame([(v,) for v in values], "v double").select("v", ordered_bits(F.col("v")).alias("b")).collect()
+    assert [r.v for r in sorted(rows, key=lambda r: r.b)] == sorted(values)
+    assert len({r.b for r in rows}) == len(set(values))
+
+
+def test_median_of_arbitrary_doubles(spark):
+    """Values of all magnitudes, many of a group within one prefix, and groups of one and two rows."""
+    rng = random.Random(5)
+    any_double = lambda: struct.unpack("d", struct.pack("q", rng.randrange(-(2**63), 2**63)))[0]
+    rows = [("any", v) for v in (any_double() for _ in range(3001)) if abs(v) < 1e300]
+    rows += [("near", 1.0 + rng.random() * 1e-9) for _ in range(2000)] + [("one", -3.5)] + [("two", 1.0), ("two", 4.0)] + [("none", None)]
+    rows += [("zero", 0.0), ("zero", -0.0), ("zero", -1.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(8)
+    got = {r.k: r.v for r in grouped_medians(df, ["k"], ["v"]).collect()}
+    for key in {k for k, _ in rows}:
+        own = [v for k, v in rows if k == key and v is not None]
+        assert got[key] == (statistics.median(own) if own else None)
+
+
+def test_keys_of_eight_digits_are_looked_up_in_a_bitmap(spark):
+    names = ["00000000", "00000001", "00032767", "00032768", "99999999", "12345678", "123456789", "1234567", "A2345678", "", " 1234567"]
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([*names, *names, None])], "k string, v int")
+    for chosen in (names[::2], names[1::2], [], ["00032767", "A2345678"]):
+        keys = spark.createDataFrame([(k,) for k in chosen], "k string")
+        kept = keep_known_numbers(rows, keys, "k")
+        assert kept.columns == rows.columns
+        assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, keep_known(rows, keys, "k").collect()))
+    bits = key_bitmap(spark.range(100_000).select(F.lpad(F.col("id").cast("string"), 8, "0").alias("k")), "k")
+    assert bits.count() == 4
+    assert bits.agg(F.sum(F.octet_length("_bits"))).first()[0] == 4 * 4096
+
+
+def test_the_bitmap_moves_no_rows(spark, tmp_path):
+    """The large table is read where it lies, also with as many copies of one key as here."""
+    spark.range(200_000).select(F.lpad((F.col("id") % 3000).cast("string"), 8, "0").alias("k"), "id").write.parquet(str(tmp_path / "t"))
+    large = spark.read.parquet(str(tmp_path / "t"))
+    keys = spark.range(0, 3000, 7).select(F.lpad(F.col("id").cast("string"), 8, "0").alias("k"))
+    kept = keep_known_numbers(large, keys, "k")
+    numeric = kept._jdf.queryExecution().optimizedPlan().toString().split("Union")[1]
+    assert "rightHint=(strategy=broadcast)" in numeric
+    assert kept.count() == large.join(keys, "k", "left_semi").count()
+
+
 def test_global_rank_equals_plain_window(spark):
     df = spark.range(0, 5000, numPartitions=7).select(F.col("id").alias("k"), (F.col("id") * 7919 % 97 / 3).alias("s"))
     ranked = global_rank(df, [F.desc_nulls_last("s"), F.asc("k")], "r")
