@@ -167,9 +167,10 @@ def detect_separator(spark: SparkSession, path: str) -> str:
 
 
 def read_headered(spark: SparkSession, path: str, sep: str = "auto", encoding: str = RAW_ENCODING) -> DataFrame:
-    """An all-string table with a header line."""
+    """An all-string table with a header line; cells may span lines."""
     sep = detect_separator(spark, path) if sep == "auto" else sep
-    raw = spark.read.options(header=True, sep=sep, encoding=encoding, quote='"', escape='"', inferSchema=False).csv(path)
+    spanning = bool(files_with_open_quotes(spark, [path]))
+    raw = spark.read.options(header=True, sep=sep, encoding=encoding, quote='"', escape='"', inferSchema=False, multiLine=spanning).csv(path)
     return raw.toDF(*[c.replace("ï»¿", "").replace("\ufeff", "").strip() for c in raw.columns])
 
 

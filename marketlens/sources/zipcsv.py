@@ -3,14 +3,18 @@
     spark.dataSource.register(ZipCsvDataSource)
     spark.read.format("zipcsv").load("/data/raw")
 
-One partition per plain file, also per file of an inner archive, streamed by its task: a deflated
-file cannot be split."""
+One partition per source, as the catalogue names it: a plain file of an archive, or an inner archive
+with all its files. Partitions are found from the directories of the outer archives alone; an inner
+archive is inflated by the task that reads it, once, into a file of the task's own, and its files are
+streamed from there. A deflated file cannot be split."""
 
 from __future__ import annotations
 
 import csv
 import io
 import json
+import shutil
+import tempfile
 import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -26,6 +30,8 @@ from marketlens.sources.files import is_zip, open_file, walk
 SCHEMA = "source string, cells array<string>"
 _ARROW = pa.schema([("source", pa.string()), ("cells", pa.list_(pa.string()))])
 _BATCH_ROWS = 10_000
+#: Bytes of an inflated inner archive that a task keeps in memory.
+SPOOL = 64 << 20
 
 
 def _is_zip(name: str) -> bool:
@@ -36,55 +42,39 @@ def _files(archive: zipfile.ZipFile) -> list[zipfile.ZipInfo]:
     return [i for i in archive.infolist() if not i.is_dir()]
 
 
-def _leaves(handle: IO[bytes], path: tuple[str, ...] = ()) -> Iterator[tuple[str, ...]]:
-    """The way to every plain file of an archive, through the archives in it."""
-    with zipfile.ZipFile(handle) as archive:
-        for info in _files(archive):
-            if _is_zip(info.filename):
-                with archive.open(info) as inner:
-                    yield from _leaves(inner, (*path, info.filename))
-            else:
-                yield (*path, info.filename)
-
-
 @contextmanager
-def _opened(handle: IO[bytes], way: tuple[str, ...]) -> Iterator[IO[bytes]]:
-    """The file at the end of a way through archives."""
-    if not way:
-        yield handle
-        return
-    with zipfile.ZipFile(handle) as archive, archive.open(way[0]) as member, _opened(member, way[1:]) as last:
-        yield last
+def _spooled(stream: IO[bytes]) -> Iterator[IO[bytes]]:
+    """What a stream holds, read through once, to seek in: in memory, or in a temporary file of this
+    task beyond SPOOL bytes."""
+    with tempfile.SpooledTemporaryFile(SPOOL) as copy:
+        shutil.copyfileobj(stream, copy, 1 << 20)
+        copy.seek(0)
+        yield copy
+
+
+def _plain(archive: zipfile.ZipFile, infos: list[zipfile.ZipInfo]) -> Iterator[IO[bytes]]:
+    """The plain files among the members of an archive, also in the archives in it, one after the other."""
+    for info in infos:
+        with archive.open(info) as stream:
+            if not _is_zip(info.filename):
+                yield stream
+                continue
+            with _spooled(stream) as copy, zipfile.ZipFile(copy) as inner:
+                yield from _plain(inner, _files(inner))
 
 
 @dataclass
-class Member(InputPartition):
-    """One plain file, by the way to it through its archive; `member` is what the catalogue names."""
+class Source(InputPartition):
+    """A member of an archive; all its plain files where there is no member."""
 
     uri: str
     member: str | None
-    way: tuple[str, ...]
 
     @property
     def label(self) -> str:
         return self.uri if self.member is None else f"{self.uri}::{self.member}"
 
 
-def _partitions(uri: str, member: str | None) -> Iterator[Member]:
-    """A partition per plain file of a member: one, or all those of an inner archive. Without a
-    member, per plain file of the archive itself."""
-    with open_file(uri) as handle:
-        if member is None:
-            with zipfile.ZipFile(handle) as archive:
-                ways = [(i.filename,) for i in _files(archive) if not _is_zip(i.filename)]
-        elif _is_zip(member):
-            with _opened(handle, (member,)) as inner:
-                ways = list(_leaves(inner, (member,)))
-        else:
-            ways = [(member,)]
-    return (Member(uri, member, way) for way in ways)
-
-
 class ZipCsvReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.options = options
@@ -93,30 +83,35 @@ class ZipCsvReader(DataSourceReader):
         """From the option `sources` (JSON pairs of archive and member) or by looking at the
         directories of the archives under `path`."""
         if "sources" in self.options:
-            return [p for uri, member in json.loads(self.options["sources"]) for p in _partitions(uri, member)]
-        members = []
+            return [Source(uri, member) for uri, member in json.loads(self.options["sources"])]
+        found = []
         for uri in sorted(path for path, _ in walk(self.options["path"]) if _is_zip(path) or is_zip(path)):
             with open_file(uri) as handle, zipfile.ZipFile(handle) as archive:
-                names = [info.filename for info in _files(archive)]
-            members += [p for name in names for p in _partitions(uri, name)]
-        return members
+                found += [Source(uri, info.filename) for info in _files(archive)]
+        return found
 
-    def read(self, partition: Member) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Source) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(2**31 - 1)
-        encoding = self.options.get("encoding", RAW_ENCODING)
         rows: list[list[str]] = []
-        with open_file(partition.uri) as handle, _opened(handle, partition.way) as stream:
-            text = io.TextIOWrapper(stream, encoding=encoding, errors="replace", newline="")
-            for cells in csv.reader(text, delimiter=self.options.get("sep", RAW_SEPARATOR), quotechar='"'):
-                if cells:
+        with open_file(partition.uri) as handle, zipfile.ZipFile(handle) as archive:
+            if partition.member is None:
+                infos = [i for i in _files(archive) if not _is_zip(i.filename)]
+            else:
+                infos = [archive.getinfo(partition.member)]
+            for stream in _plain(archive, infos):
+                for cells in self._records(stream):
                     rows.append(cells)
-                if len(rows) == _BATCH_ROWS:
-                    yield self._batch(partition.label, rows)
-                    rows = []
-            text.detach()
+                    if len(rows) == _BATCH_ROWS:
+                        yield self._batch(partition.label, rows)
+                        rows = []
         if rows:
             yield self._batch(partition.label, rows)
 
+    def _records(self, stream: IO[bytes]) -> Iterator[list[str]]:
+        text = io.TextIOWrapper(stream, encoding=self.options.get("encoding", RAW_ENCODING), errors="replace", newline="")
+        yield from filter(None, csv.reader(text, delimiter=self.options.get("sep", RAW_SEPARATOR), quotechar='"'))
+        text.detach()
+
     @staticmethod
     def _batch(source: str, rows: list[list[str]]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(

@@ -1,5 +1,6 @@
 import csv
 import io
+import json
 import zipfile
 
 import pytest
@@ -10,7 +11,8 @@ from marketlens.schemas import LAYOUTS
 from marketlens.plans import bronze
 from marketlens.sources import readers, sinks
 from marketlens.sources.catalog import catalog, classify_kind, find_indicator_file, sources_of_kind
-from marketlens.sources.zipcsv import ZipCsvDataSource
+from marketlens.sources import zipcsv
+from marketlens.sources.zipcsv import ZipCsvDataSource, ZipCsvReader
 
 
 def zip_bytes(members):
@@ -130,13 +132,48 @@ def test_archives_are_known_by_content(spark, tmp_path):
     assert [(r.cnpj_basico, r.cnpj_ordem, r.source) for r in got] == [("1", "0001", row.label)]
 
 
-def test_a_partition_for_each_file_of_an_inner_archive(spark, tmp_path):
+def test_an_inner_archive_is_inflated_once_by_its_task(spark, tmp_path, monkeypatch):
     deepest = zip_bytes({"c.csv": b"3\r\n"})
     inner = zip_bytes({"a.csv": b"1\r\n", "b.csv": b"2\r\n", "more.zip": deepest})
-    (tmp_path / "Estabelecimentos.zip").write_bytes(zip_bytes({"Estabelecimentos0.zip": inner}))
-    got = readers.read_receita(spark, "estabelecimentos", catalog(spark, [str(tmp_path)]))
-    assert got.rdd.getNumPartitions() == 3
-    assert sorted(r.cnpj_basico for r in got.collect()) == ["1", "2", "3"]
+    (tmp_path / "Estabelecimentos.zip").write_bytes(zip_bytes({"Estabelecimentos0.zip": inner, "Estabelecimentos1.csv": b"4\r\n"}))
+    sources = catalog(spark, [str(tmp_path)])
+    got = readers.read_receita(spark, "estabelecimentos", sources)
+    assert got.rdd.getNumPartitions() == 2
+    assert sorted(r.cnpj_basico for r in got.collect()) == ["1", "2", "3", "4"]
+    # in this process: partitions read directories alone, a task every byte of the inner archive once
+    opened, taken = [], []
+    plain_open, plain_read = zipfile.ZipFile.open, zipfile.ZipExtFile.read
+    monkeypatch.setattr(zipfile.ZipFile, "open", lambda self, name, *a, **k: opened.append(getattr(name, "filename", name)) or plain_open(self, name, *a, **k))
+
+    def read(self, n=-1):
+        data = plain_read(self, n)
+        taken.append((self.name, len(data)))
+        return data
+
+    monkeypatch.setattr(zipfile.ZipExtFile, "read", read)
+    members = [(r.root_path, r.archive_members[0]) for r in sources.filter("processed").orderBy("label").collect()]
+    reader = ZipCsvReader({"sources": json.dumps(members)})
+    parts = reader.partitions()
+    assert len(parts) == 2 and not opened
+    assert sum(batch.num_rows for batch in reader.read(parts[0])) == 3
+    assert opened == ["Estabelecimentos0.zip", "a.csv", "b.csv", "more.zip", "c.csv"]
+    assert sum(n for name, n in taken if name == "Estabelecimentos0.zip") == len(inner)
+
+
+def test_a_large_inner_archive_is_spooled_to_a_file(tmp_path, monkeypatch):
+    monkeypatch.setattr(zipcsv, "SPOOL", 100)
+    (tmp_path / "o.zip").write_bytes(zip_bytes({"i.zip": zip_bytes({f"{k}.csv": b"x;y\r\n" * 500 for k in range(3)})}))
+    reader = ZipCsvReader({"path": str(tmp_path)})
+    assert [(p.label, sum(b.num_rows for b in reader.read(p))) for p in reader.partitions()] == [(f"{tmp_path}/o.zip::i.zip", 1500)]
+
+
+def test_headered_cells_over_two_lines(spark, tmp_path):
+    (tmp_path / "pib.csv").write_bytes('Município;PIB;População\r\n"A\nB";10;20\r\nC;11;"2""1"\r\n'.encode("latin-1"))
+    rows = readers.read_headered(spark, str(tmp_path / "pib.csv"), ";").collect()
+    assert sorted(map(tuple, rows)) == [("A\nB", "10", "20"), ("C", "11", '2"1')]
+    (tmp_path / "one.csv").write_bytes(b'"x\ny",z\n1,2\n')  # in the header
+    table = readers.read_headered(spark, str(tmp_path / "one.csv"), ",")
+    assert len(table.columns) == 2 and [tuple(r) for r in table.collect()] == [("1", "2")]
 
 
 def test_sources_carry_the_label_of_the_catalogue(spark, tmp_path):
