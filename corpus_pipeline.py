@@ -1,18 +1,24 @@
 """Documents to token counts: toxic ones out, copies out, sources mixed, texts encoded.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read again
-for the next one. All but the last return the columns of `documents`."""
+for the next one. All but the last return the columns of `documents`.
+
+Cases: null texts count as empty. An empty text is scored like any other; all empty ones are copies of
+one another, so one of them (the largest id, one of a null id if there is no other) reaches the end,
+where it has no tokens. Rows that repeat an id are documents of their own. Of ties the stages keep what
+their modules say: of copies the largest id, of near copies the smallest. A null source is a source. The
+mix repeats documents, or leaves them out, in whole; columns beyond those of `documents` are kept up
+to the last stage. No rows give none."""
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from marketlens.llm import bpe, exact_dedup, mixing, simhash, toxicity
-from marketlens.session import checkpoint_folder, release, written
+from marketlens.session import discard, release, scratch_path, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -54,13 +60,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The result of the last stage over the whole of `documents`. What a stage stored for itself
-    is deleted once its result is written."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{checkpoint_folder(spark)}/pipeline-{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
+    """The result of the last stage over the whole of `documents`. What a stage stored for itself,
+    and the result of the one before, are deleted once its result is written; `release` deletes the
+    last one."""
+    docs, last = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for _, stage in STAGES:
+        path = scratch_path(spark)
         before = written()
-        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{k}")
+        result = stage(spark, docs, sf_dir)
+        result.write.parquet(path)
         release(spark, before)
-        docs = spark.read.parquet(f"{folder}/{k}")
+        docs = spark.read.schema(result.schema).parquet(path)
+        if last is not None:
+            discard(spark, last)
+        last = path
     return docs

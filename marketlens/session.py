@@ -52,6 +52,13 @@ def scratch_path(spark: SparkSession) -> str:
     return _WRITTEN[-1]
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one table written to a `scratch_path` that is read no more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    _WRITTEN.remove(path)
+
+
 def durable(df: DataFrame) -> DataFrame:
     """The same rows as a table written to the checkpoint folder.
 
