@@ -4,7 +4,8 @@ A sequence of tokens is what the merges make of its bytes if and only if every t
 what the merges make of theirs. So each prefix of a piece has exactly one valid last token: the
 one that fits the last token of the prefix before it. `Prefixes` stores that token for every
 prefix. Following them from the end gives the encoding; appending bytes only adds entries, and
-an edit only renews the entries behind it.
+an edit only renews the entries behind it up to where as many of them in a row as the longest token
+has bytes are the old ones: from there on all are.
 
 A text is split by the vocabulary's pattern and every piece is encoded on its own. Workers
 remember the pieces they have met, up to a bound, so most pieces cost a look-up.
@@ -41,6 +42,7 @@ class Vocabulary:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self.longest = max(map(len, ranks), default=1)
         self.tokens = {i: token for token, i in ranks.items()}
         #: Of three last bytes, the length of the longest token that ends in them.
         self.reach: dict[bytes, int] = {}
@@ -103,10 +105,10 @@ class Prefixes:
         self.vocabulary, self.data, self.last = vocabulary, data, last or [-1]
         self._fill()
 
-    def _fill(self) -> None:
+    def _fill(self, upto: int | None = None) -> None:
         ranks, apart, known = self.vocabulary.ranks, self.vocabulary.apart, self.vocabulary._apart
         data, last, reach = self.data, self.last, self.vocabulary.reach.get
-        for end in range(len(last), len(data) + 1):
+        for end in range(len(last), (len(data) if upto is None else upto) + 1):
             for start in range(max(0, end - reach(data[end - 3 : end], 2)) if end > 2 else 0, end):
                 part = data[start:end]
                 if part in ranks:
@@ -127,10 +129,19 @@ class Prefixes:
         return self
 
     def edit(self, start: int, end: int, new: bytes) -> Prefixes:
-        """Replace the bytes from start to end; only entries behind start are renewed."""
+        """Replace the bytes from start to end; entries are renewed behind start, up to where they
+        agree with the old ones over the bytes of the longest token."""
+        old = self.last[end + 1 :]
         self.data = self.data[:start] + new + self.data[end:]
         del self.last[start + 1 :]
-        self._fill()
+        behind, agree = start + len(new), 0
+        self._fill(behind)
+        for k, token in enumerate(old, 1):
+            self._fill(behind + k)
+            agree = agree + 1 if self.last[-1] == token else 0
+            if agree == self.vocabulary.longest:
+                self.last += old[k:]
+                break
         return self
 
     def ids(self) -> list[int]:

@@ -7,7 +7,7 @@ and what is over goes to the others by weight.
 The mix is cut into blocks of equally many words. Sources get blocks by the highest quotients
 target / (2 * blocks + 1), then the shards of a source by the quotients of their sizes, which gives
 every shard an integer quota. A shard holds a bounded number of documents on average, picked by a
-seeded hash of the id, so a source of any size is dealt over many. In a shard the documents stand
+seeded hash of id and text, so a source of any size, whatever its ids, is dealt over many. In a shard the documents stand
 in seeded order on a circle; the quota's blocks are taken from a seeded place on, lap after lap. A
 lap takes each word once, so no document is taken more than `cap` times.
 
@@ -15,7 +15,8 @@ The highest quotients are found among candidates: the number of blocks of a sour
 exact share by less than the share times the number of sources, and one.
 
 Cases: null and empty texts have no words and none are taken. A null source is a source. Null ids
-are ids; rows that repeat an id are documents of their own. Equal quotients go by name or shard.
+are ids; rows that repeat an id are documents of their own; rows that agree in id and text share a
+shard. Equal quotients go by name or shard.
 No rows, or no words, give targets of 0.
 """
 
@@ -100,6 +101,11 @@ def _apportion(rows: DataFrame, group: list[str], name: list[Column], claim: Col
     )
 
 
+def shard_of(shards: Column, seed: int) -> Column:
+    """The shard of a row (doc_id, text_hash): rows without an id, or with one id, are dealt as well."""
+    return F.pmod(F.xxhash64("doc_id", "text_hash", F.lit(seed)), shards)
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     weights: tuple[int, ...] = WEIGHTS, cap: int = CAP, shard_docs: int = SHARD_DOCS, seed: int = SEED, also: tuple[Column, ...] = (),
@@ -107,7 +113,9 @@ def mix(
     """A row per document: doc_id, size in words, source_size, target of its source, words taken.
     `also` are further columns of `docs` to keep."""
     small_batches(docs.sparkSession)
-    rows = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), _words(docs[text_col]).alias("size"), *also)
+    rows = docs.select(
+        docs[id_col].alias("doc_id"), docs[source_col].alias("source"), _words(docs[text_col]).alias("size"), F.xxhash64(docs[text_col]).alias("text_hash"), *also
+    )
     sizes = durable(rows)
     extra = sizes.columns[3:]
     sources = durable(targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")), weights, cap))
@@ -117,17 +125,16 @@ def mix(
     sources = sources.withColumn("shards", F.ceil(F.col("docs") / shard_docs))
     sources = _apportion(sources, [], [F.col("source").asc_nulls_last()], F.col("target"), blocks, "source_blocks")
     _, sources = stored(sources.select("source", "source_size", "target", "shards", "source_blocks"))
-    mixed = F.xxhash64("doc_id", F.lit(seed))
     sources = sources.withColumnRenamed("source", "__source_name")
     dealt = sizes.join(sources, F.col("source").eqNullSafe(F.col("__source_name"))).select(
-        "doc_id", "source", "size", *extra, "source_size", "target", "source_blocks", F.pmod(mixed, F.col("shards")).alias("shard")
+        "doc_id", "source", "size", *extra, "source_size", "target", "source_blocks", shard_of(F.col("shards"), seed).alias("shard")
     )
     shards = dealt.groupBy("source", "shard", "source_blocks").agg(F.sum("size").alias("shard_size"))
     shards = _apportion(durable(shards), ["source"], [F.col("shard")], F.col("shard_size"), F.col("source_blocks"), "blocks")
     quota = F.least(F.col("blocks") * block, F.col("shard_size") * cap)
     start = F.when(F.col("shard_size") > 0, F.pmod(F.xxhash64(F.lit(seed + 1), "source", "shard"), F.col("shard_size"))).otherwise(0)
     _, shards = stored(shards.select(F.col("source").alias("s"), F.col("shard").alias("h"), "shard_size", quota.alias("quota"), start.alias("start")))
-    seeded = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(seed + 2)), "doc_id", "size", *extra)
+    seeded = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", "text_hash", F.lit(seed + 2)), "doc_id", "size", *extra)
     placed = dealt.withColumn("end", F.sum("size").over(seeded.rowsBetween(Window.unboundedPreceding, 0)))
     placed = placed.join(shards, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")))
     laps = F.when(F.col("shard_size") > 0, F.expr("quota div shard_size")).otherwise(F.lit(0).cast("long"))
@@ -138,7 +145,7 @@ def mix(
 
     stop = F.col("start") + rest
     part = overlap(F.col("start"), stop) + overlap(F.lit(0).cast("long"), stop - F.col("shard_size"))
-    return placed.select("doc_id", "size", "source_size", "target", (laps * F.col("size") + part).alias("taken"), *extra)
+    return placed.select("doc_id", "size", "source_size", "target", (laps * F.col("size") + part).alias("taken"), *extra[1:])
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:

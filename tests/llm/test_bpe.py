@@ -89,3 +89,30 @@ def test_memory_of_pieces_is_bounded(monkeypatch, known):
     monkeypatch.setattr(bpe, "REMEMBERED", 50)
     own, text = bpe.Encoder(PATH, P.PATTERN), words(random.Random(3), 500) + " ".join(f"w{i}" for i in range(500))
     assert own.encode(text) == known.encode_ordinary(text) and len(own._known) <= 50
+
+
+def test_an_edit_renews_only_what_is_near_it():
+    """A long piece: entries behind the edit are kept once they agree, and are those of a fresh table."""
+    rng = random.Random(11)
+    ranks = {bytes([b]): i for i, b in enumerate(b"abc")}
+    for i, token in enumerate([b"ab", b"abc", b"ca", b"bb", b"bbab", b"caca"]):
+        ranks[token] = 3 + i
+    small = bpe.Vocabulary(ranks)
+    filled = []
+
+    class Counted(bpe.Prefixes):
+        def _fill(self, upto=None):
+            before = len(self.last)
+            super()._fill(upto)
+            filled.append(len(self.last) - before)
+
+    for _ in range(200):
+        data = bytes(rng.choice(b"abc") for _ in range(400))
+        table = Counted(small, data)
+        start = rng.randrange(400)
+        end = min(400, start + rng.randrange(4))
+        new = bytes(rng.choice(b"abc") for _ in range(rng.randrange(4)))
+        filled.clear()
+        table.edit(start, end, new)
+        assert table.last == bpe.Prefixes(small, data[:start] + new + data[end:]).last
+        assert sum(filled) < 100

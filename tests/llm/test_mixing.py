@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 import pyarrow as pa
 import pytest
 from cases import frame, odd_rows, words
+from pyspark.sql import functions as F
 
 from marketlens.llm import mixing as M
 import random
@@ -104,3 +105,11 @@ def test_no_rows_and_no_words(spark):
     docs = frame(spark, [(1, None), (2, " ")])
     assert [(r["size"], r.target, r.taken) for r in M.mix(docs).collect()] == [(0, 0.0, 0)] * 2
     assert M.mix(docs.limit(0)).collect() == [] and M.mixed(docs.limit(0)).collect() == []
+
+
+def test_rows_without_ids_are_dealt_over_all_shards(spark):
+    """Half of the ids are null, a sixth are one id: no shard gets over twice the mean."""
+    ids = F.when(F.col("id") % 2 == 0, F.lit(None)).when(F.col("id") % 6 == 1, F.lit(7)).otherwise(F.col("id"))
+    rows = spark.range(24_000).select(ids.cast("long").alias("doc_id"), F.xxhash64(F.col("id").cast("string")).alias("text_hash"))
+    counts = rows.groupBy(M.shard_of(F.lit(8), M.SEED).alias("shard")).count().collect()
+    assert len(counts) == 8 and max(r["count"] for r in counts) < 2 * 24_000 / 8

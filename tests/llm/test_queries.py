@@ -86,3 +86,26 @@ def test_stages_one_by_one_and_in_a_row(spark, tmp_path):
             assert sorted(r.doc_id for r in kept) == sorted(r.doc_id for r in rows)
         before = after
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).collect())) == sorted(map(tuple, before.collect()))
+
+
+@pytest.mark.parametrize("some", [True, False])
+def test_the_pipeline_on_odd_rows_and_on_none(spark, tmp_path, some):
+    """Clashing columns, nulls, repeats, very long texts; nothing stays behind but the result."""
+    import os
+
+    from cases import frame, odd_rows
+
+    from marketlens.session import checkpoint_folder, release, written
+
+    rows = odd_rows() if some else []
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(4, 0, 1), *[(k, 1, 0) for k in range(20, 36)]]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    left, before = {*os.listdir(checkpoint_folder(spark))}, written()
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len({*os.listdir(checkpoint_folder(spark))} - left) == 1 and written() == before + 1
+    release(spark, before)
+    assert {*os.listdir(checkpoint_folder(spark))} == left
+    assert bool(got) == some and {r.doc_id for r in got} <= {d for d, _ in rows}
+    if some:
+        assert {r.n_tokens for r in got if r.doc_id == 3} <= {0} and len({r.ids_sha256 for r in got}) > 5
