@@ -31,6 +31,17 @@ def narrow(docs: DataFrame, **columns: str) -> DataFrame:
     return docs.select(*[docs[c].alias(name) for name, c in columns.items()])
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores added until `docs` has no such column."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def stored(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[DataFrame, DataFrame]:
     """`df` as a table in the checkpoint folder, and the same with a broadcast hint if the
     stored bytes are at most `limit`. Either way a join gives the same rows."""

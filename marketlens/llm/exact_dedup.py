@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from marketlens.llm.common import narrow, small_batches, texts
+from marketlens.llm.common import free_names, narrow, small_batches, texts
 from marketlens.session import durable
 
 WINDOW = 16
@@ -124,7 +124,8 @@ def text_digest(column: pa.Array) -> pa.Array:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that stay, in the columns of `docs`."""
+    (digest,) = free_names(docs, "__digest")
     kept = dedup(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha")).distinct()
-    rows = docs.withColumn("__digest", text_digest(docs[text_col]))
-    stay = rows.join(kept, rows[id_col].cast("long").eqNullSafe(kept["__id"]) & (rows["__digest"] == kept["__sha"]), "left_semi")
-    return stay.dropDuplicates([id_col, "__digest"]).drop("__digest")
+    rows = docs.withColumn(digest, text_digest(docs[text_col]))
+    stay = rows.join(kept, rows[id_col].cast("long").eqNullSafe(kept["__id"]) & (rows[digest] == kept["__sha"]), "left_semi")
+    return stay.dropDuplicates([id_col, digest]).drop(digest)

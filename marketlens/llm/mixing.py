@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from marketlens.llm.common import narrow, small_batches, stored
+from marketlens.llm.common import free_names, narrow, small_batches, stored
 from marketlens.session import durable
 
 WEIGHTS = (5, 2, 1)
@@ -156,8 +156,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     # rows that agree in id, source and text share what the mix takes of them
     shares = shares.groupBy("doc_id", "__source", "__key").agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
     shares = shares.withColumnRenamed("doc_id", "__id")
-    rows = docs.withColumn("__text", key)
-    on = rows[id_col].eqNullSafe(shares["__id"]) & rows[source_col].eqNullSafe(shares["__source"]) & (rows["__text"] == shares["__key"])
-    times = F.when(F.col("__size") > 0, F.floor(F.col("__taken") / F.col("__size") + 0.5).cast("int")).otherwise(1)
-    repeated = rows.join(shares, on).withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times)))
+    text, copy = free_names(docs, "__text", "__copy")
+    rows = docs.withColumn(text, key)
+    on = rows[id_col].eqNullSafe(shares["__id"]) & rows[source_col].eqNullSafe(shares["__source"]) & (rows[text] == shares["__key"])
+    times = F.when(shares["__size"] > 0, F.floor(shares["__taken"] / shares["__size"] + 0.5).cast("int")).otherwise(1)
+    repeated = rows.join(shares, on).withColumn(copy, F.explode(F.array_repeat(F.lit(0), times)))
     return repeated.select(*[rows[c] for c in docs.columns])

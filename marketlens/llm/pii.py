@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import narrow, small_batches, stored
+from marketlens.llm.common import free_names, narrow, small_batches, stored
 from marketlens.session import durable
 
 KINDS = ("email", "ip", "card", "phone")
@@ -305,13 +305,14 @@ def redact(text: str, spans_of: list[tuple[int, str, int, float | None]]) -> str
 
 def sanitize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """`docs` with the text sanitised."""
-    found = spans(docs, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("sig").alias("__sig"), F.col("found").alias("__found")).dropDuplicates(["__id", "__sig"])
+    own_id, sig, own_spans, key = free_names(docs, "__id", "__sig", "__found", "__text")
+    found = spans(docs, id_col, text_col).select(F.col("doc_id").alias(own_id), F.col("sig").alias(sig), F.col("found").alias(own_spans)).dropDuplicates([own_id, sig])
 
     @F.arrow_udf("string")
     def clean(text: pa.Array, found_in: pa.Array) -> pa.Array:
         rows = zip(text.to_pylist(), found_in.to_pylist())
         return pa.array([t if t is None else redact(t, [(x["start"], x["kind"], x["end"], x["given"]) for x in own]) for t, own in rows], pa.string())
 
-    keyed = docs.withColumn("__text", F.xxhash64(docs[text_col]))
-    both = keyed.join(found, keyed[id_col].cast("long").eqNullSafe(found["__id"]) & (keyed["__text"] == found["__sig"]))
-    return both.withColumn(text_col, clean(keyed[text_col], F.col("__found"))).select(*docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(docs[text_col]))
+    both = keyed.join(found, keyed[id_col].cast("long").eqNullSafe(found[own_id]) & (keyed[key] == found[sig]))
+    return both.withColumn(text_col, clean(keyed[text_col], F.col(own_spans))).select(*docs.columns)

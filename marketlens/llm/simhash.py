@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketlens.llm.common import narrow, runs, small_batches, starts_of_runs, stored, texts
+from marketlens.llm.common import free_names, narrow, runs, small_batches, starts_of_runs, stored, texts
 from marketlens.llm.components import components
 from marketlens.session import durable
 
@@ -181,6 +181,7 @@ def keep_representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str
     apart by their root, since several can have one component_id (null, or that of different texts)."""
     first = _labelled(docs, id_col, text_col, SHINGLE, RADIUS, BUCKET_LIMIT).where("doc_id <=> component_id")
     kept = first.groupBy("root").agg(F.first("component_id").alias("__id"), F.min("sig").alias("__sig")).drop("root")
-    rows = docs.withColumn("__text", F.xxhash64(docs[text_col]))
-    stay = rows.join(kept, rows[id_col].cast("long").eqNullSafe(kept["__id"]) & (rows["__text"] == kept["__sig"]), "left_semi")
-    return stay.dropDuplicates([id_col, "__text"]).drop("__text")
+    (text,) = free_names(docs, "__text")
+    rows = docs.withColumn(text, F.xxhash64(docs[text_col]))
+    stay = rows.join(kept, rows[id_col].cast("long").eqNullSafe(kept["__id"]) & (rows[text] == kept["__sig"]), "left_semi")
+    return stay.dropDuplicates([id_col, text]).drop(text)
