@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -20,6 +21,7 @@ from marketlens.schemas import (
     string_schema,
 )
 from marketlens.sources.catalog import file_heads, list_files, sources_of_kind
+from marketlens.sources.splitcsv import SPLIT_BYTES, read_records, splittable
 from marketlens.sources.tables import Tables
 from marketlens.sources.zipcsv import ZipCsvDataSource
 
@@ -57,13 +59,24 @@ def empty_table(spark: SparkSession, kind: str) -> DataFrame:
     return spark.createDataFrame([], string_schema([*LAYOUTS[kind], "source"]))
 
 
-def files_with_open_quotes(spark: SparkSession, paths: Sequence[str]) -> list[str]:
-    """Files with a line holding an odd number of quotes, so that a quoted cell may run over
-    a line break. One pass over the text; the result has one name per such file."""
+def irregular_files(spark: SparkSession, paths: Sequence[str]) -> dict[str, bool]:
+    """Files that Spark's line-wise parser would read wrongly, and whether a quoted cell may run over
+    a line break in them (a line holds an odd number of quotes); the others have lines of nothing but
+    blanks, which are records. One pass over the text; the result has one name per such file."""
     quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    lines = spark.read.text(list(paths)).select("value", F.col("_metadata.file_path").alias("path"))
+    lines = spark.read.text(list(paths)).select((quotes % 2 == 1).alias("odd"), "value", F.col("_metadata.file_path").alias("path"))
+    found = lines.filter(F.col("odd") | F.col("value").rlike("^[\\x00-\\x20]+$")).groupBy("path").agg(F.bool_or("odd").alias("odd"))
     # The metadata column is URL-encoded, listed paths are not.
-    return [unquote(r.path) for r in lines.filter(quotes % 2 == 1).select("path").distinct().collect()]
+    return {unquote(r.path): r.odd for r in found.collect()}
+
+
+def _sizes(spark: SparkSession, paths: Sequence[str]) -> dict[str, int]:
+    """Size of each file by its URI, as Spark's readers list it."""
+    return {r.path: r.length for r in spark.read.format("binaryFile").load(list(paths)).select("path", "length").collect()}
+
+
+def _named(path: Column) -> Column:
+    return F.regexp_replace(path, "^file:/+", "/")
 
 
 def _read_csv(spark: SparkSession, kind: str, paths: Sequence[str], encoding: str, multiline: bool) -> DataFrame:
@@ -75,29 +88,43 @@ def _read_csv(spark: SparkSession, kind: str, paths: Sequence[str], encoding: st
     )
     # The metadata column is a URL-encoded URI, sources are named as they are listed.
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    source = F.regexp_replace(path, "^file:/+", "/")
-    return raw.select(*[_cell(F.col(c)).alias(c) for c in LAYOUTS[kind]], source.alias("source"))
+    return raw.select(*[_cell(F.col(c)).alias(c) for c in LAYOUTS[kind]], _named(path).alias("source"))
+
+
+def _read_split(spark: SparkSession, kind: str, sizes: dict[str, int], encoding: str, split_bytes: int) -> DataFrame:
+    files = spark.createDataFrame(list(sizes.items()), "path string, size long")
+    raw = read_records(files, RAW_SEPARATOR, encoding, split_bytes)
+    cells = [_cell(F.try_element_at("cells", F.lit(i + 1))).alias(c) for i, c in enumerate(LAYOUTS[kind])]
+    return raw.select(*cells, _named(F.col("path")).alias("source"))
 
 
 def read_files(
-    spark: SparkSession, kind: str, paths: Sequence[str], encoding: str = RAW_ENCODING, multiline: bool | None = None
+    spark: SparkSession,
+    kind: str,
+    paths: Sequence[str],
+    encoding: str = RAW_ENCODING,
+    multiline: bool | None = None,
+    split_bytes: int = SPLIT_BYTES,
 ) -> DataFrame:
     """Headerless files of one kind as all-string rows with a `source` column.
 
-    Files are split among tasks unless a quoted cell may span lines. By default that is
-    looked up in one extra pass; `multiline=False` skips it for dumps known to be free of
-    such cells."""
+    Lines are records unless a quoted cell may span them or blanks fill them; by default such files
+    are looked up in one extra pass and read in splits of their own (`read_records`).
+    `multiline=True` reads every file so; `multiline=False` skips the pass for dumps known to be free
+    of such cells, and then leaves lines of blanks out. Compressed files and encodings wider than a
+    byte can't be split: there a file with open quotes is one task, and lines of blanks are left out."""
     if not paths:
         return empty_table(spark, kind)
-    spanning = set(files_with_open_quotes(spark, paths)) if multiline is None else set(paths) if multiline else set()
-    if not spanning:
+    odd = irregular_files(spark, paths) if multiline is None else {}
+    if not odd and not multiline:
         return _read_csv(spark, kind, paths, encoding, False)
-    if multiline:
-        return _read_csv(spark, kind, paths, encoding, True)
-    listed = [r.path for r in spark.read.format("binaryFile").load(list(paths)).select("path").collect()]
-    wide, whole = [p for p in listed if p not in spanning], [p for p in listed if p in spanning]
-    table = _read_csv(spark, kind, whole, encoding, True)
-    return table.unionByName(_read_csv(spark, kind, wide, encoding, False)) if wide else table
+    sizes = _sizes(spark, paths)
+    split = {p: n for p, n in sizes.items() if (multiline or p in odd) and splittable(p, encoding)}
+    whole = [p for p in sizes if p not in split and (multiline or odd.get(p))]
+    plain = [p for p in sizes if p not in split and p not in whole]
+    tables = [_read_split(spark, kind, split, encoding, split_bytes)] if split else []
+    tables += [_read_csv(spark, kind, some, encoding, wide) for some, wide in ((whole, True), (plain, False)) if some]
+    return reduce(DataFrame.unionByName, tables)
 
 
 def read_archives(
@@ -166,12 +193,23 @@ def detect_separator(spark: SparkSession, path: str) -> str:
     return max(SEPARATORS, key=lambda sep: counts[sep])
 
 
-def read_headered(spark: SparkSession, path: str, sep: str = "auto", encoding: str = RAW_ENCODING) -> DataFrame:
-    """An all-string table with a header line; cells may span lines."""
+def read_headered(
+    spark: SparkSession, path: str, sep: str = "auto", encoding: str = RAW_ENCODING, split_bytes: int = SPLIT_BYTES
+) -> DataFrame:
+    """An all-string table with a header line, in the order of the file; cells may span lines.
+
+    Files with such cells, or with lines of nothing but blanks (records without further cells), are
+    read in splits, where an empty quoted cell is null as an unquoted one."""
     sep = detect_separator(spark, path) if sep == "auto" else sep
-    spanning = bool(files_with_open_quotes(spark, [path]))
-    raw = spark.read.options(header=True, sep=sep, encoding=encoding, quote='"', escape='"', inferSchema=False, multiLine=spanning).csv(path)
-    return raw.toDF(*[c.replace("ï»¿", "").replace("\ufeff", "").strip() for c in raw.columns])
+    odd = irregular_files(spark, [path])
+    options = {"header": True, "sep": sep, "encoding": encoding, "quote": '"', "escape": '"', "inferSchema": False}
+    raw = spark.read.options(**options, multiLine=any(odd.values())).csv(path)
+    names = [c.replace("ï»¿", "").replace("\ufeff", "").strip() for c in raw.columns]
+    if not odd or not all(splittable(p, encoding) for p in odd):
+        return raw.toDF(*names)
+    files = spark.createDataFrame(list(_sizes(spark, [path]).items()), "path string, size long")
+    records = read_records(files, sep, encoding, split_bytes, header=True)
+    return records.select(*[empty_to_null(F.try_element_at("cells", F.lit(i + 1))).alias(f"c{i}") for i in range(len(names))]).toDF(*names)
 
 
 def _role(df: DataFrame, options: Sequence[str]) -> Column:
