@@ -37,8 +37,8 @@ def ratio(a: Column, b: Column) -> Column:
     return a / F.nullif(b, F.lit(0))
 
 
-def value_histogram(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
-    """One row per group, measure and distinct value, with `n` copies.
+def value_histogram(df: DataFrame, keys: Sequence[str], measures: Sequence[str], count: Column | None = None) -> DataFrame:
+    """One row per group, measure and distinct value, with `n` copies: rows, or `count` of them.
 
     Rows are counted before the shuffle and a group spreads over its values, so a group
     holding most of the rows is no heavier for a task than any other."""
@@ -49,7 +49,7 @@ def value_histogram(df: DataFrame, keys: Sequence[str], measures: Sequence[str])
         ),
     )
     return melted.groupBy(*keys, F.col("_m.measure").alias("measure"), F.col("_m.value").alias("value")).agg(
-        F.count(F.lit(1)).alias("n")
+        (F.count(F.lit(1)) if count is None else count).alias("n")
     )
 
 
@@ -92,10 +92,10 @@ def histogram_medians(hist: DataFrame, keys: Sequence[str]) -> DataFrame:
     return ends.select("key.*", "measure", "median")
 
 
-def grouped_medians(df: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+def grouped_medians(df: DataFrame, keys: Sequence[str], measures: Sequence[str], count: Column | None = None) -> DataFrame:
     """Exact median of each measure per group, one column per measure; groups without a value keep
-    their row. `df` is read once."""
-    hist = durable(value_histogram(df, keys, measures))
+    their row. `df` is read once; `count` is as in `value_histogram`."""
+    hist = durable(value_histogram(df, keys, measures, count))
     medians = histogram_medians(hist, keys).select(F.struct(*keys).alias("key"), "measure", "median")
     wide = medians.groupBy("key").agg(*[F.max(F.when(F.col("measure") == m, F.col("median"))).alias(m) for m in measures])
     groups = hist.select(F.struct(*keys).alias("key")).distinct()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_name
 from marketlens.operators.keys import distinct_keys
+from marketlens.operators.states import STATES
 from marketlens.plans import bronze, diagnosis, gold, quality, silver
 from marketlens.schemas import LAYOUTS, RAW_ENCODING, Thresholds
 from marketlens.session import durable, release, tune, written
@@ -220,11 +221,12 @@ def _replace(
     market = new.write(wide, "gold_empresas_ativas")
     funnel = sinks.write_table(bronze.ingest_funnel(raw["estabelecimentos"], target_uf), f"{folder}/metricas/funil")
     status = bronze.status_histogram(raw["estabelecimentos"], target_uf).filter("escopo = 'todos'")
+    states = gold.market_states(market)
     gold_tables = {
         "gold_empresas_ativas": market,
-        "gold_municipio_cnae": new.write(gold.municipio_cnae(market), "gold_municipio_cnae"),
-        "gold_ranking_municipios": new.write(gold.ranking_municipios(market), "gold_ranking_municipios"),
-        "gold_ranking_cnaes": new.write(gold.ranking_cnaes(market), "gold_ranking_cnaes"),
+        "gold_municipio_cnae": new.write(gold.municipio_cnae(states, of=STATES), "gold_municipio_cnae"),
+        "gold_ranking_municipios": new.write(gold.ranking_municipios(states, of=STATES), "gold_ranking_municipios"),
+        "gold_ranking_cnaes": new.write(gold.ranking_cnaes(states, of=STATES), "gold_ranking_cnaes"),
         "gold_qualidade_dados": new.write(quality.quality_checks(market, funnel, emp, status, style), "gold_qualidade_dados"),
     }
     kept = {"empresas": emp, "simples": simples, "municipios": municipios, "indicadores": indicators}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from marketlens.functions import text as T
 from marketlens.functions.display import fmt_br_money, fmt_br_number, fmt_br_percent
 from marketlens.operators.keys import dedup_dim, duplicate_keys, union_parts
+from marketlens.operators.states import STATES
 from marketlens.plans import bronze, diagnosis, explore, gold, quality, silver
 from marketlens.schemas import LAYOUTS, RAW_ENCODING, RAW_SEPARATOR, Thresholds
 from marketlens.session import durable, scratch_path
@@ -57,6 +58,16 @@ def headerless_files(v: Views) -> DataFrame:
     return readers.read_files(v.spark, "empresas", [path]).drop("source")
 
 
+@query
+def quoted_line_breaks(v: Views) -> DataFrame:
+    """Documents written with their line breaks in quoted cells and read back in small splits."""
+    path = scratch_path(v.spark)
+    text = F.concat(F.replace(F.col("text"), F.lit(" "), F.lit("\n")), F.lit('\r\n"end";'))
+    rows = v.table("documents").select(F.col("doc_id").cast("string").alias("cnae"), text.alias("descricao_cnae"))
+    rows.write.options(sep=RAW_SEPARATOR, quoteAll=True, escape='"', encoding="UTF-8", ignoreLeadingWhiteSpace=False).csv(path)
+    return readers.read_files(v.spark, "cnaes", [path], "UTF-8", split_bytes=1 << 20).drop("source")
+
+
 @query
 def headered_files(v: Views) -> DataFrame:
     """Indicators written with a header and read back by the names of their columns."""
@@ -180,6 +191,22 @@ def ranking_cnaes(v: Views) -> DataFrame:
     return gold.ranking_cnaes(v.silver)
 
 
+@query
+def municipio_cnae_rollup(v: Views) -> DataFrame:
+    """The profile from partial states, which the rankings below share."""
+    return gold.municipio_cnae(v.market_states, of=STATES)
+
+
+@query
+def ranking_municipios_rollup(v: Views) -> DataFrame:
+    return gold.ranking_municipios(v.market_states, of=STATES)
+
+
+@query
+def ranking_cnaes_rollup(v: Views) -> DataFrame:
+    return gold.ranking_cnaes(v.market_states, of=STATES)
+
+
 @query
 def minmax_municipios(v: Views) -> DataFrame:
     return gold.minmax_municipios(v.silver).select(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_text
 from marketlens.operators.keys import distinct_keys
+from marketlens.plans import gold
 from marketlens.plans.bronze import bronze_companies, bronze_simples, filter_target
 from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable, tune
@@ -217,6 +218,11 @@ class Views:
         read a stored table, as in the batch build."""
         return durable(self.silver_plan)
 
+    @cached_property
+    def market_states(self) -> DataFrame:
+        """Partial states of the wide table, as the batch build stores them."""
+        return gold.market_states(self.silver)
+
     @cached_property
     def file_names(self) -> DataFrame:
         """A name for each part, most of them of a known kind."""
