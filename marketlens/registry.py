@@ -336,6 +336,24 @@ def search_text(v: Views) -> DataFrame:
     return explore.search(v.silver, "sé#00000002").select("cnpj_completo", "razao_social", "municipio", "descricao_cnae")
 
 
+@query
+def indexed_filter(v: Views) -> DataFrame:
+    """A selection through the bitmaps of the stored index."""
+    chosen = explore.Filters(porte=("Microempresa", "Demais"), simples=("S",), natureza=("Natureza O", "Natureza F"), idade=(0, 30))
+    return v.market_index.filtered(chosen).select(*_EXPLORED)
+
+
+@query
+def facet_counts(v: Views) -> DataFrame:
+    """Counts of all facet values under a selection, from bitmaps alone."""
+    return v.market_index.facet_counts({"porte_empresa": ["Microempresa", "Demais"], "opcao_simples": ["S"]})
+
+
+@query
+def indexed_search(v: Views) -> DataFrame:
+    return v.market_index.search("sé#00000002").select("cnpj_completo", "razao_social", "municipio", "descricao_cnae")
+
+
 @query
 def kpi_cards(v: Views) -> DataFrame:
     return explore.kpis(v.silver)

@@ -15,8 +15,9 @@ from marketlens.functions.text import normalize_text
 from marketlens.operators.keys import distinct_keys
 from marketlens.plans import gold
 from marketlens.plans.bronze import bronze_companies, bronze_simples, filter_target
+from marketlens.plans.market_index import MarketIndex
 from marketlens.plans.silver import build_silver
-from marketlens.session import broadcast_if_small, durable, tune
+from marketlens.session import broadcast_if_small, durable, scratch_path, tune
 
 TARGET_UF = "AS"
 AS_OF = "2024-01-01"
@@ -223,6 +224,10 @@ class Views:
         """Partial states of the wide table, as the batch build stores them."""
         return gold.market_states(self.silver)
 
+    @cached_property
+    def market_index(self) -> MarketIndex:
+        return MarketIndex.build(self.silver, scratch_path(self.spark))
+
     @cached_property
     def file_names(self) -> DataFrame:
         """A name for each part, most of them of a known kind."""

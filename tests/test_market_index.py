@@ -1,0 +1,92 @@
+"""Answers of the stored index, against those of a scan."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from marketlens.plans import explore, market_index
+from marketlens.plans.explore import Filters
+from marketlens.plans.market_index import MarketIndex
+
+ROWS = 70_000  # three runs of bitmaps
+
+
+@pytest.fixture(scope="module")
+def market(spark, tmp_path_factory):
+    n = F.col("id")
+    some = lambda k, m, p: F.when(n % k != 0, F.concat(F.lit(p), (F.xxhash64("id", F.lit(p)) % m).cast("string")))
+    table = spark.range(ROWS).select(
+        F.when(n % 20 != 0, F.lpad(n.cast("string"), 8, "0")).alias("cnpj_completo"),
+        some(9, 2000, "Razão ß").alias("razao_social"),
+        some(4, 50, "loja 😀 ").alias("nome_fantasia"),
+        F.when(n % 3 == 0, F.lit("HOT")).otherwise(some(17, 12, "Mun")).alias("municipio"),
+        some(31, 9, "620").alias("cnae_principal"),
+        some(30, 9, "descrição ").alias("descricao_cnae"),
+        some(5, 4, "p").alias("porte_empresa"),
+        some(7, 20, "nat").alias("descricao_natureza_juridica"),
+        F.when(n % 2 == 0, "S").otherwise("N").alias("opcao_simples"),
+        F.when(n % 11 == 0, "S").when(n % 11 < 8, "N").alias("opcao_mei"),
+        (n % 40).cast("int").alias("idade_empresa_anos"),
+        (n % 1000).cast("double").alias("capital_social"),
+    )
+    path = str(tmp_path_factory.mktemp("market") / "rows")
+    table.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.fixture(scope="module")
+def index(spark, market, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("index") / "i")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(market_index, "_ROWS_OF_A_PART", 16)  # two folders of rows
+        MarketIndex.build(market, folder)
+        yield MarketIndex(spark, folder)  # opened as a later session would
+
+
+def same(a, b):
+    names = sorted(a.columns)
+    assert names == sorted(b.columns)
+    return a.select(names).exceptAll(b.select(names)).isEmpty() and b.select(names).exceptAll(a.select(names)).isEmpty()
+
+
+@pytest.mark.parametrize(
+    "chosen",
+    [
+        Filters(),
+        Filters(municipio=("HOT",)),
+        Filters(municipio=("HOT", "Mun3", "nowhere"), porte=("p1", "p-2"), simples=("S",)),
+        Filters(natureza=("nat5",), mei=("S", "N"), cnae=("6203 - x", "6201"), idade=(0, 25), capital=(0.0, 700.0)),
+        Filters(porte=("absent",), simples=("S",)),
+    ],
+)
+def test_selections_are_those_of_a_scan(index, market, chosen):
+    expected = explore.apply_filters(market, chosen)
+    assert same(index.filtered(chosen), expected)
+
+
+@pytest.mark.parametrize("choices", [{}, {"porte_empresa": ["p1", "p3"]}, {"municipio": ["HOT"], "opcao_mei": ["S"], "opcao_simples": []}, {"opcao_mei": ["?"]}])
+def test_facet_counts_under_a_selection(index, market, choices):
+    rows = market
+    for column, values in choices.items():
+        rows = rows.filter(F.col(column).isin(*values)) if values else rows
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("faceta"), F.col(c).alias("valor")) for c in explore.FACETS])).alias("p")
+    expected = rows.select(pairs).select("p.*").filter("valor is not null").groupBy("faceta", "valor").count().collect()
+    counts = index.facet_counts(choices)
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, expected))
+    assert not any("/rows/" in f for f in counts.inputFiles()), "bit counts alone"
+
+
+@pytest.mark.parametrize("term", ["", "ß1", "s", "razão SS19", "loja 😀 4", "😀", "620-3", "HOT", "ção 7", "nothing of it", "a%b_", "oo"])
+def test_searches_find_what_a_scan_does(index, market, term):
+    assert same(index.search(term), explore.search(market, term))
+
+
+def test_a_search_reads_candidates(index):
+    plan = index.search("razão ss199")._jdf.queryExecution().executedPlan().toString()
+    assert "postings" in plan and "gram" in plan
+    grams = index.postings.filter("gram = 'HOT'").count()
+    assert grams == ROWS // 3 + 1
+
+
+def test_an_index_of_no_rows(spark, market, tmp_path):
+    index = MarketIndex.build(market.limit(0), str(tmp_path / "empty"))
+    assert index.facet_counts().isEmpty() and index.search("abc").isEmpty() and index.filtered(Filters(mei=("S",))).isEmpty()
