@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from marketlens.functions.text import normalize_text
 from marketlens.schemas import LAYOUTS
-from marketlens.sources.files import is_zip, open_file, walk
+from marketlens.session import durable
+from marketlens.sources.files import children, is_zip, open_file
 
 # Tokens of lower-cased names per kind; the first kind with a hit wins.
 NAME_TOKENS = {
@@ -41,6 +42,7 @@ COLUMNS = ("kind", "root_path", "archive_members", "processed", "ignored_reason"
 
 
 _FILES = pa.schema([("root", pa.string()), ("path", pa.string()), ("size_bytes", pa.int64())])
+_LEVEL = pa.schema([*_FILES, ("folder", pa.bool_())])
 _KINDS = pa.schema([*_FILES, ("zipped", pa.bool_())])
 _MEMBERS = pa.schema(
     [
@@ -53,6 +55,7 @@ _MEMBERS = pa.schema(
 )
 _HEADS = pa.schema([("path", pa.string()), ("head", pa.string())])
 _BATCH_ROWS = 10_000
+_MOST_TASKS = 10_000  # of a round of listing
 
 
 def _batches(schema: pa.Schema, rows: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
@@ -76,15 +79,34 @@ def classify_kind(c: Column | str, scope: str = "name") -> Column:
 
 def list_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Every file under the given folders or files: root, path, size. A path that does not
-    exist adds nothing. Folders are listed by the executors, contents are not read."""
+    exist adds nothing; a file below several roots is listed under one of them.
+
+    Folders are listed by the executors, level by level: what is found in the folders of a level is
+    stored, and the folders among it are the next level, spread over tasks again. A task holds the
+    listing of one folder at a time. Contents are not read."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for root in batch.column("root").to_pylist():
-                yield from _batches(_FILES, ((root, path, size) for path, size in walk(root)))
+            for row in batch.to_pylist():
+                yield from _batches(_LEVEL, ((row["root"], *child) for child in children(row["path"])))
+
+    schema = "root string, path string, size_bytes long, folder boolean"
+    level = spark.createDataFrame([(p, p) for p in paths], "root string, path string")
+    files = spark.createDataFrame([], "root string, path string, size_bytes long")
+    folders = len(paths)
+    while folders:
+        spread = level.repartitionByRange(min(folders, _MOST_TASKS), "path")
+        found = durable(spread.mapInArrow(read, schema))
+        files = files.unionByName(found.filter("not folder").drop("folder"))
+        level = found.filter("folder").groupBy("path").agg(F.min("root").alias("root")).select("root", "path")
+        folders = level.count()
+    return files.dropDuplicates(["path"])
+
 
-    roots = spark.createDataFrame([(p,) for p in paths], "root string").repartition("root")
-    return roots.mapInArrow(read, "root string, path string, size_bytes long").dropDuplicates(["path"])
+def _by_path(files: DataFrame) -> DataFrame:
+    """Files spread over tasks to be opened there, by ranges of a stated number: adaptive execution
+    would put rows as small as these into one task."""
+    return files.repartitionByRange(int(files.sparkSession.conf.get("spark.sql.shuffle.partitions")), "path")
 
 
 def with_archives(files: DataFrame) -> DataFrame:
@@ -98,7 +120,7 @@ def with_archives(files: DataFrame) -> DataFrame:
             )
 
     schema = "root string, path string, size_bytes long, zipped boolean"
-    return files.select("root", "path", "size_bytes").repartition("path").mapInArrow(read, schema)
+    return _by_path(files.select("root", "path", "size_bytes")).mapInArrow(read, schema)
 
 
 def _members(path: str, nested: bool) -> Iterator[tuple[list[str], int, str]]:
@@ -133,7 +155,7 @@ def archive_members(archives: DataFrame, nested: bool = False) -> DataFrame:
                 yield from _batches(_MEMBERS, rows)
 
     schema = "root string, path string, archive_members array<string>, size_bytes long, state string"
-    return archives.select("root", "path", "size_bytes").repartition("path").mapInArrow(read, schema)
+    return _by_path(archives.select("root", "path", "size_bytes")).mapInArrow(read, schema)
 
 
 def catalog(spark: SparkSession, paths: Sequence[str], scope: str = "name") -> DataFrame:

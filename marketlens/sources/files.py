@@ -78,3 +78,14 @@ def walk(root: str) -> Iterator[tuple[str, int]]:
         for found in system.get_file_info(fs.FileSelector(path, recursive=True)):
             if found.type == fs.FileType.File:
                 yield prefix + found.path, found.size
+
+
+def children(path: str) -> Iterator[tuple[str, int, bool]]:
+    """Path, size and whether it is a folder, of a file itself or of what lies right in a folder;
+    nothing for a missing path."""
+    system, place, prefix = resolve(path)
+    info = system.get_file_info(place)
+    found = system.get_file_info(fs.FileSelector(place)) if info.type == fs.FileType.Directory else [info]
+    for entry in found:
+        if entry.type in (fs.FileType.File, fs.FileType.Directory):
+            yield prefix + entry.path, entry.size or 0, entry.type == fs.FileType.Directory
