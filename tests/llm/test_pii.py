@@ -106,6 +106,60 @@ def test_terms_that_disclose_against_brute_force(spark):
                 assert any(text[a:b] in NAMES for a, k, b in own if k == "term")
 
 
+def plain_found(rows, window, support, share):
+    """Every row's id with all its spans, terms included, each pair judged by the stated formula."""
+    judged = []
+    term, beside, both, entity, around = Counter(), Counter(), Counter(), Counter(), defaultdict(set)
+    for doc, text in rows:
+        text = text or ""
+        spans = plain_spans(text)
+        inside = {i for a, _, b in spans for i in range(a, b)}
+        near = []
+        for a, kind, b in spans:
+            left = [(m[0].lower(), *m.span()) for m in re.finditer(r"\w+", text[:a])][-window:]
+            right = [(m[0].lower(), m.start() + b, m.end() + b) for m in re.finditer(r"\w+", text[b:])][:window]
+            own = [x for x in left + right if not inside & set(range(*x[1:]))]
+            name = f"{kind}:{text[a:b].lower()}"
+            near += [(name, *x) for x in own]
+            for w, _, _ in own:
+                around[name, w].add(" ".join(x[0] for x in own))
+        term.update({w.lower() for w in re.findall(r"\w+", text)})
+        beside.update({w for _, w, _, _ in near})
+        both.update({(e, w) for e, w, _, _ in near})
+        entity.update({e for e, _, _, _ in near})
+        judged.append((doc, spans, near))
+
+    def discloses(e, w):
+        content = math.log2(len(rows) / entity[e])
+        seen = len(around[e, w])
+        if seen < support or content <= 0:
+            return False
+        pmi = math.log2(len(rows) * both[e, w] / (max(term[w], beside[w]) * entity[e]))
+        return (pmi - math.log2((seen + pii.PRIOR) / seen)) / content >= share
+
+    kinds = (*pii.KINDS, "term")
+    out = Counter()
+    for doc, spans, near in judged:
+        terms = {(a, "term", b) for e, w, a, b in near if discloses(e, w)}
+        out[doc, tuple(sorted([*spans, *terms], key=lambda s: (s[0], kinds.index(s[1]))))] += 1
+    return out
+
+
+def test_all_spans_are_exactly_those_of_brute_force(spark):
+    rng = random.Random(13)
+    rows = secret_rows()
+    for i in range(60):  # entities of one to four mentions, neighbours in common, two side by side
+        pair = f"p{i % 25}@x{i % 3}.org and +49 30 {1234500 + i % 20}"
+        rows.append((500 + i, f"{words(rng, i % 9)} Dr Nam{i % 30} of Town{i % 7}, {pair} {words(rng, 3 + i % 5)}"))
+    rows += [rows[-1], (None, rows[-2][1]), (None, None)]
+    found_terms = []
+    for share in (0.3, 0.5, 0.7, 0.9):
+        got = Counter((r.doc_id, tuple((x.start, x.kind, x.end) for x in r.found)) for r in pii.spans(frame(spark, rows), share=share).collect())
+        assert got == plain_found(rows, pii.WINDOW, pii.SUPPORT, share)
+        found_terms.append(sum(n for (_, spans), n in got.items() for s in spans if s[1] == "term"))
+    assert found_terms == sorted(found_terms, reverse=True) and found_terms[0] > found_terms[-1] > 0
+
+
 def test_entities_mentioned_once_or_twice_are_judged(spark):
     rng = random.Random(12)
     rows = [(i, words(rng, 40)) for i in range(300)] + [(i, f"plain Ondrey {words(rng, 9)}") for i in range(300, 320)]
