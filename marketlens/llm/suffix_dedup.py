@@ -10,7 +10,9 @@ anchor hash form a stretch; a text has about one for every 35 bytes.
 
 1. Stretches are grouped by their anchor's bytes. A stretch whose whole text occurs earlier is
    repeated, all of it; each task settles its own copies before the shuffle. A stretch that is
-   alone in its group, and can't repeat itself, is new. What is left is a small part.
+   alone in its group, and can't repeat itself, is new. What is left is a small part. Anchors that
+   a sample of SAMPLE documents finds common are dealt by the stretch's whole text besides, and
+   every different text of such a group is compared; the sample decides on the dealing alone.
 2. The texts of these are range-partitioned by their lead with sampled splitters; equal leads never
    straddle a border, and groups whose windows exceed WINDOWS are compared across all buckets
    instead: there the whole window is the key, aggregated before it is shuffled.
@@ -43,6 +45,8 @@ LEAD = 32
 WINDOWS = 1 << 18
 #: Windows of a stretch; longer ones are cut.
 STRETCH = 1 << 12
+#: Documents, on average, of the sample that finds common anchors, and their least number of stretches.
+SAMPLE, COMMON = 4_096, 16
 #: Bytes of text that are hashed at once.
 SLAB = 1 << 18
 _FACTOR = 0x01000193
@@ -98,10 +102,13 @@ def _signed(hashes: list[int]) -> pa.Array:
     return pa.array(np.array(hashes, dtype=np.uint64).view(np.int64))
 
 
-_STRETCH_DDL = "lead long, whole long, doc_id long, nth long, start int, n int, anchor int, inner boolean, known boolean"
+_STRETCH_DDL = "lead long, whole long, doc_id long, nth long, start int, n int, anchor int, inner boolean, known boolean, common boolean"
 
 
-def _stretch_rows(length: int, lead: int):
+def _stretch_rows(length: int, lead: int, common: frozenset[int] = frozenset()):
+    """The stretches of every text; `common` are the signed hashes of anchors to be dealt by whole text."""
+    crowded = np.array(sorted(common), dtype=np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_64_intdigest
         for batch in batches:
@@ -122,13 +129,15 @@ def _stretch_rows(length: int, lead: int):
             if not leads:
                 continue
             doc, nth, start, n, anchor, inner = (np.concatenate(x) for x in zip(*parts))
+            signed = np.array(leads, dtype=np.uint64).view(np.int64)
+            hot = np.isin(signed, crowded)
             yield pa.RecordBatch.from_arrays(
                 [
-                    _signed(leads), _signed(wholes), pa.array(doc.astype(np.int64)), pa.array(nth.astype(np.int64)),
+                    pa.array(signed), _signed(wholes), pa.array(doc.astype(np.int64)), pa.array(nth.astype(np.int64)),
                     *[pa.array(x.astype(np.int32)) for x in (start, n, anchor)],
-                    pa.array(inner.astype(bool)), pa.array(known, pa.bool_()),
+                    pa.array(inner.astype(bool) | hot), pa.array(known, pa.bool_()), pa.array(hot),
                 ],
-                names=["lead", "whole", "doc_id", "nth", "start", "n", "anchor", "inner", "known"],
+                names=["lead", "whole", "doc_id", "nth", "start", "n", "anchor", "inner", "known", "common"],
             )
 
     return run
@@ -271,6 +280,18 @@ def _compare_hot(parts: DataFrame, length: int) -> DataFrame:
     return windows.join(firsts, "window").where(place > F.col("first")).select("doc_id", "nth", "start", F.lit(1).alias("n"))
 
 
+def common_anchors(rows: DataFrame, length: int, lead: int, sample: int = SAMPLE) -> frozenset[int]:
+    """Hashes of anchors with over a quarter of a task's even share of the stretches, judged by a sample
+    of about `sample` documents: at most four a shuffle partition."""
+    total = rows.count()
+    part = rows.select("doc_id", "nth", "text")
+    part = part.sample(sample / total, seed=3) if total > sample else part
+    found = part.mapInArrow(_stretch_rows(length, lead), _STRETCH_DDL).where("not known")
+    counts = durable(found.groupBy("lead").agg(F.count("*").alias("m")))
+    share = (counts.agg(F.sum("m")).first()[0] or 0) / (4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return frozenset(r["lead"] for r in counts.where(F.col("m") > max(COMMON, share)).select("lead").collect())
+
+
 def _cut(data: bytes, repeated: list[dict], length: int) -> tuple[int, int, bytes]:
     """Bytes removed, spans removed and what is left."""
     out, done, removed, spans, reach = [], 0, 0, 0, -1
@@ -321,8 +342,9 @@ def dedup(
         rows = rows.withColumn("nth", F.when(F.col("differ"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))).drop("differ")
     else:
         rows = rows.withColumn("nth", F.lit(0).cast("long"))
-    deal = F.when(F.col("known"), F.xxhash64("doc_id", "start")).otherwise(F.col("lead"))
-    found = rows.select("doc_id", "nth", "text").mapInArrow(_stretch_rows(length, lead), _STRETCH_DDL)
+    common = common_anchors(rows, length, lead)
+    deal = F.when(F.col("known"), F.xxhash64("doc_id", "start")).when(F.col("common"), F.xxhash64("lead", "whole")).otherwise(F.col("lead"))
+    found = rows.select("doc_id", "nth", "text").mapInArrow(_stretch_rows(length, lead, common), _STRETCH_DDL)
     found = found.repartition(deal).sortWithinPartitions("lead", "whole", "doc_id", "nth", "start")
     judged = durable(found.mapInArrow(_judge, _JUDGED_DDL))
     lists = judged.where("open").groupBy("doc_id", "nth").agg(F.collect_list(F.struct("start", "n", "anchor")).alias("open"))

@@ -94,3 +94,36 @@ def test_kept_bytes_and_no_rows(spark):
     rows = S.dedup(frame(spark, [(1, text), (2, "new " + text)]), digest=False).collect()
     assert {r.doc_id: bytes(r.kept) for r in rows} == {1: text.encode(), 2: b"new "}
     assert S.dedup(frame(spark, [(1, "x")]).limit(0)).collect() == []
+
+
+def dealt(spark, rows, common):
+    """Rows of each pair of anchor and key that the stretches are dealt by."""
+    found = rows.mapInArrow(S._stretch_rows(S.LENGTH, S.LEAD, common), S._STRETCH_DDL).where("not known")
+    return Counter((r.lead, r.whole if r.common else None) for r in found.collect())
+
+
+def test_a_line_that_all_documents_share_is_dealt_by_whole_text(spark):
+    rng = random.Random(31)
+    line = words(rng, 12)[:62]
+    docs = frame(spark, [(i, f"{words(rng, 30)} {line} {words(rng, 30)}") for i in range(600)])
+    rows = docs.selectExpr("doc_id", "0L as nth", "text")
+    common = S.common_anchors(rows, S.LENGTH, S.LEAD)
+    before, after = (dealt(spark, rows, x) for x in (frozenset(), common))
+    even = sum(before.values()) / int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert max(before.values()) > even / 4 >= max(after.values()) and 1 <= len(common) <= 32
+    got = S.dedup(docs).collect()
+    assert Counter(map(tuple, got)) == expected([(r.doc_id, r.text) for r in docs.collect()], S.LENGTH)
+
+
+@pytest.mark.parametrize("most", [S.WINDOWS, 0])
+def test_brute_force_with_every_anchor_common(spark, monkeypatch, most):
+    monkeypatch.setattr(S, "COMMON", 0)
+    monkeypatch.setattr(S, "common_anchors", lambda rows, *a, own=S.common_anchors: own(rows, *a) | every(rows, *a))
+
+    def every(rows, length, lead):
+        found = rows.select("doc_id", "nth", "text").mapInArrow(S._stretch_rows(length, lead), S._STRETCH_DDL)
+        return frozenset(r.lead for r in found.select("lead").distinct().collect())
+
+    rows = passages(7)
+    got = S.dedup(frame(spark, rows), length=40, lead=8, most=most).collect()
+    assert Counter(map(tuple, got)) == expected(rows, 40)
