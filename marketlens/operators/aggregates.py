@@ -118,9 +118,18 @@ def top(df: DataFrame, count: str, keys: Sequence[str], n: int) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(count), *[F.asc_nulls_last(k) for k in keys]).limit(n)
 
 
-def histogram_json(df: DataFrame, key: str, n: str) -> DataFrame:
-    """A histogram with a bounded number of keys as one JSON object, largest count first."""
-    name = F.coalesce(F.col(key), F.lit("")).alias("key")
-    ordered = F.array_sort(F.collect_list(F.struct((-F.col(n)).alias("rank"), name, F.col(n).alias("value"))))
-    pairs = F.transform(ordered, lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value")))
-    return df.agg(F.to_json(F.map_from_entries(pairs)).alias("json"))
+def histogram_json(df: DataFrame, key: str, n: str, most: int = 1_000, others: str = "outros") -> DataFrame:
+    """A histogram as one JSON object, largest count first. Beyond the `most` largest keys the counts are
+    added up under `others`, last, so the object and the task that writes it stay small for any keys.
+    Null and empty keys are one."""
+    counts = durable(df.groupBy(F.coalesce(F.col(key), F.lit("")).alias("key")).agg(F.sum(n).alias("value")))
+    largest = top(counts, "value", ["key"], most)
+    kept = largest.agg(F.collect_list(F.struct((-F.col("value")).alias("rank"), "key", "value")).alias("kept"), F.sum("value").alias("sum"))
+    rest = F.coalesce(F.col("whole") - F.col("sum"), F.lit(0))
+    pair = lambda x: F.struct(x["key"].alias("key"), x["value"].alias("value"))
+    same = F.filter("kept", lambda x: x["key"] == others)
+    own = F.aggregate(same, F.lit(0).cast("long"), lambda total, x: total + x["value"])
+    split = F.transform(F.array_sort(F.filter("kept", lambda x: x["key"] != others)), pair)
+    last = F.array(F.struct(F.lit(others).alias("key"), (rest + own).alias("value")))
+    pairs = F.when(rest > 0, F.concat(split, last)).otherwise(F.transform(F.array_sort("kept"), pair))
+    return kept.withColumn("whole", counts.agg(F.sum("value")).scalar()).select(F.to_json(F.map_from_entries(pairs)).alias("json"))

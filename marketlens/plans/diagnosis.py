@@ -101,7 +101,14 @@ def sample_codes(df: DataFrame, column: str, n: int = 20) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """The first rows in a given order."""
+    """The first `n` rows (a few) in a given order.
+
+    The first key is read alone, for the largest value that can be among them; whole rows are then
+    read up to that value, which the scan's statistics rule out in most of the table."""
+    first = F.col(order[0])
+    least = [r[0] for r in df.select(first).orderBy(first).limit(n).collect()]
+    if len(least) == n:
+        df = df.filter(first.isNull() if least[-1] is None else first.isNull() | (first <= least[-1]))
     return df.orderBy(*order).limit(n)
 
 
@@ -253,8 +260,13 @@ def diagnose(
     }
 
 
+def blocked(rules: DataFrame) -> DataFrame:
+    """The rules of the table that block."""
+    return rules.filter("bloqueado")
+
+
 def gate(rules: DataFrame) -> None:
     """Raise when a rule of the table (ten rows at most) blocks."""
-    blocked = rules.filter("bloqueado").collect()
-    if blocked:
-        raise IngestionBlocked("; ".join(f"{r.regra}: {r.valor} (limite {r.limite})" for r in blocked))
+    found = blocked(rules).collect()
+    if found:
+        raise IngestionBlocked("; ".join(f"{r.regra}: {r.valor} (limite {r.limite})" for r in found))

@@ -255,6 +255,11 @@ def scan_invisible(df: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
+def marked(metrics: DataFrame, marker: str = "sintetico") -> DataFrame:
+    """The metrics (a row each) whose value mentions sample data."""
+    return metrics.filter(F.lower("value").contains(marker))
+
+
 def has_marker(metrics: DataFrame, marker: str = "sintetico") -> bool:
-    """Whether any value of the metrics table (one row per metric) mentions sample data."""
-    return not metrics.filter(F.lower("value").contains(marker)).isEmpty()
+    """Whether any value of the metrics table mentions sample data."""
+    return not marked(metrics, marker).isEmpty()

@@ -12,10 +12,11 @@ from marketlens.functions.display import fmt_br_money, fmt_br_number, fmt_br_per
 from marketlens.operators.keys import dedup_dim, duplicate_keys, union_parts
 from marketlens.operators.states import STATES
 from marketlens.plans import bronze, diagnosis, explore, gold, quality, silver
-from marketlens.schemas import LAYOUTS, RAW_ENCODING, RAW_SEPARATOR, Thresholds
+from marketlens.plans.pipeline import metrics_table
+from marketlens.schemas import LAYOUTS, QUALITY_SCHEMA, RAW_ENCODING, RAW_SEPARATOR, Thresholds
 from marketlens.session import durable, scratch_path
 from marketlens.sources import readers, sinks
-from marketlens.sources.catalog import classify_kind
+from marketlens.sources.catalog import catalog, classify_kind, find_indicator_file, sources_of_kind
 from marketlens.sources.tables import Tables
 from marketlens.tpch_views import AS_OF, TARGET_UF, Views, views
 
@@ -86,6 +87,106 @@ def exported_gold(v: Views) -> DataFrame:
     return readers.load_table(v.spark, folder, "gold_ranking_cnaes")
 
 
+@query
+def found_sources(v: Views) -> DataFrame:
+    """Dumps written into a folder per source, listed, known by their paths and chosen by kind."""
+    path = scratch_path(v.spark)
+    keys = v.estab.select("source", "cnpj_basico").unionByName(v.emp.select("source", "cnpj_basico"))
+    keys.write.partitionBy("source").csv(path)
+    known = durable(catalog(v.spark, [path], scope="path"))
+    kinds = [sources_of_kind(known, kind) for kind in ("estabelecimentos", "empresas")]
+    folder = F.regexp_extract("root_path", "/source=([^/]+)/", 1)
+    return union_parts(kinds).select("kind", folder.alias("source"), F.element_at(F.split("label", "::"), -1).endswith(".csv").alias("csv")).filter("csv").drop("csv").distinct()
+
+
+@query
+def found_indicators(v: Views) -> DataFrame:
+    """The indicator file, found among others by its header and read."""
+    path = scratch_path(v.spark)
+    names = {"municipio_norm": "Municipio", "pib_per_capita": "PIB per capita", "populacao": "Populacao", "codigo_municipio_ibge": "IBGE"}
+    sinks.write_csv(v.indicators.select(*[F.col(c).alias(n) for c, n in names.items()]).coalesce(1), f"{path}/b")
+    sinks.write_csv(v.cnaes, f"{path}/a")
+    found = find_indicator_file(v.spark, catalog(v.spark, [path]), [path])
+    return readers.read_indicators(v.spark, found, encoding="UTF-8")
+
+
+@query
+def repaired_records(v: Views) -> DataFrame:
+    """Records that are short or long by some cells, read in the layout of their kind."""
+    path = scratch_path(v.spark)
+    key, code = F.col("p_partkey") % 4, F.col("p_partkey").cast("string")
+    longer = F.concat_ws(";", code, "p_name", F.lit("mais"), F.lit(""))
+    line = F.when(key == 0, code).when(key == 1, longer).when(key == 2, F.concat(code, F.lit(";"))).otherwise(F.concat_ws(";", code, "p_name"))
+    v.table("part").select(line).write.text(path)
+    return readers.read_files(v.spark, "cnaes", [path]).drop("source")
+
+
+@query
+def clean_export(v: Views) -> DataFrame:
+    """Cells cleaned on their way to a CSV with the columns asked for, one of which is missing."""
+    path = scratch_path(v.spark)
+    rows = v.municipios.withColumn("nome_municipio_receita", F.concat(F.lit("\ufeff \t"), "nome_municipio_receita", F.lit("\u00a0")))
+    sinks.write_clean_csv(rows, path, ["codigo_municipio_receita", "nome_municipio_receita", "uf"])
+    return readers.read_headered(v.spark, path, encoding="UTF-8")
+
+
+@query
+def exported_both(v: Views) -> DataFrame:
+    """A table's two exports, from the same rows."""
+    folder = scratch_path(v.spark)
+    table = sinks.export(quality.porte_histogram(v.silver), folder, "porte", ["porte"])
+    again = v.spark.read.schema(table.schema).options(header=True, escape='"').csv(f"{folder}/csv/porte")
+    return table.withColumn("formato", F.lit("parquet")).unionByName(again.withColumn("formato", F.lit("csv")))
+
+
+@query
+def exported_quality(v: Views) -> DataFrame:
+    path = scratch_path(v.spark)
+    sinks.write_csv(quality_checks(v), path)
+    return v.spark.read.schema(QUALITY_SCHEMA).options(header=True, escape='"').csv(path)
+
+
+@query
+def exported_selection(v: Views) -> DataFrame:
+    """What a user chose, under its display names, as they find it in the file."""
+    path = scratch_path(v.spark)
+    chosen = explore.apply_filters(v.silver, explore.Filters(porte=("Microempresa",), simples=("S",)))
+    sinks.write_selection(explore.friendly(chosen.select(*explore.FRIENDLY_EMPRESAS), explore.FRIENDLY_EMPRESAS), path)
+    return readers.read_headered(v.spark, path, encoding="UTF-8").drop("Capital social")
+
+
+@query
+def stored_companies(v: Views) -> DataFrame:
+    """The bronze companies as the next layer reads them."""
+    return sinks.write_table(v.active_companies, scratch_path(v.spark))
+
+
+def _metrics(v: Views) -> DataFrame:
+    sources = v.catalog_of(v.estab).withColumn("processed", F.lit(True))
+    read = {"estabelecimentos": v.estab, "empresas": v.emp}
+    return metrics_table(read, {"empresas": v.active_companies}, bronze.ingest_funnel(v.estab, TARGET_UF), sources, "tabelas")
+
+
+@query
+def run_metrics(v: Views) -> DataFrame:
+    path = scratch_path(v.spark)
+    sinks.write_json(_metrics(v), path)
+    return v.spark.read.schema("metric string, key string, value string").json(path)
+
+
+@query
+def marked_metrics(v: Views) -> DataFrame:
+    return quality.marked(_metrics(v), "empresas3")
+
+
+@query
+def without_indicators(v: Views) -> DataFrame:
+    """The wide table where no indicator file is there: a table without rows stands in."""
+    none = readers.empty_indicators(v.spark)
+    wide = silver.build_silver(v.active, v.active_companies, v.municipios, v.cnaes, v.naturezas, v.active_simples, none, AS_OF)
+    return wide.select("cnpj_completo", "municipio", "populacao", "pib_per_capita")
+
+
 @query
 def rows_by_source(v: Views) -> DataFrame:
     return bronze.rows_by_source(v.estab.select("source").unionByName(v.emp.select("source")), v.source_names)
@@ -296,6 +397,22 @@ def audit_rules(v: Views) -> DataFrame:
     return quality.audit_blockers(durable(audit_layers(v)), missing, durable(_matches(v)), _THRESHOLDS)
 
 
+@query
+def blocked_rules(v: Views) -> DataFrame:
+    """What the gate finds in the stored rules, with limits that no table here meets."""
+    path = scratch_path(v.spark)
+    strict = Thresholds(min_ativos=10**9, min_municipios=10**6)
+    missing = diagnosis.missing_parts(v.catalog_of(v.estab))
+    sinks.write_json(quality.audit_blockers(durable(audit_layers(v)), missing, durable(_matches(v)), strict), path)
+    return diagnosis.blocked(v.spark.read.schema("regra string, valor double, limite double, bloqueado boolean").json(path))
+
+
+@query
+def diag_sample_rows(v: Views) -> DataFrame:
+    """The first companies by legal form and key, which no file is ordered by."""
+    return diagnosis.sample_rows(v.emp, ("natureza_juridica", "cnpj_basico"), 10).select("natureza_juridica", "cnpj_basico", "razao_social")
+
+
 @query
 def diag_sample_codes(v: Views) -> DataFrame:
     return diagnosis.sample_codes(diagnosis.target_keys(v.dirty_estab, TARGET_UF), "municipio")

@@ -9,6 +9,7 @@ from marketlens.functions.text import parse_br_number
 from marketlens.operators.aggregates import grouped_medians, histogram_json, ordered_bits, sum_money, top, with_empty
 from marketlens.operators.keys import dedup_dim, duplicate_keys, keep_known, keep_known_numbers, key_bitmap, key_overlap, missing_keys, stored_keys
 from marketlens.operators.ranking import global_rank, minmax, share_of_parent, weighted_score
+from marketlens.plans.diagnosis import sample_rows
 from marketlens.plans.explore import pivot_counts
 from marketlens.plans.silver import build_silver
 from marketlens.session import broadcast_if_small, durable
@@ -231,3 +232,24 @@ def test_pivot_has_a_column_for_every_value_that_occurs(spark):
     df = spark.createDataFrame([("r", "never seen before", 2), ("r", "other", 1), ("s", "other", 5)], "m string, d string, n long")
     got = {r.m: r.asDict() for r in pivot_counts(df, "m", "d", "n").collect()}
     assert got["r"]["never seen before"] == 2 and got["s"] == {"m": "s", "never seen before": 0, "other": 5}
+
+
+def test_histogram_beyond_its_bound_adds_the_others_up(spark):
+    import json
+
+    rows = [("a", 5), ("b", 9), (None, 2), ("", 4), ("outros", 7), ("c", 1), ("d", 1)]
+    df = spark.createDataFrame(rows, "k string, n long")
+    whole = histogram_json(df, "k", "n").first().json
+    assert list(json.loads(whole).items()) == [("b", 9), ("outros", 7), ("", 6), ("a", 5), ("c", 1), ("d", 1)]
+    assert json.loads(histogram_json(df, "k", "n", most=3).first().json) == {"b": 9, "": 6, "outros": 14}
+    assert list(json.loads(histogram_json(df, "k", "n", most=2).first().json).items()) == [("b", 9), ("outros", 20)]
+    assert histogram_json(df.limit(0), "k", "n").first().json == "{}"
+
+
+@pytest.mark.parametrize("n", [1, 3, 4, 9])
+def test_first_rows_are_those_of_a_sort(spark, n):
+    rows = [("b", 2), ("a", 1), (None, 5), ("b", 1), ("c", 0), ("a", 1), (None, 4), ("b", 3)]
+    df = spark.createDataFrame(rows, "k string, m int")
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or "", r[1]))[:n]
+    assert [tuple(r) for r in sample_rows(df, ("k", "m"), n).collect()] == want
+    assert sample_rows(df.limit(0), ("k", "m"), n).collect() == []
