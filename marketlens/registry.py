@@ -134,7 +134,7 @@ def clean_export(v: Views) -> DataFrame:
 def exported_both(v: Views) -> DataFrame:
     """A table's two exports, from the same rows."""
     folder = scratch_path(v.spark)
-    table = sinks.export(quality.porte_histogram(v.silver), folder, "porte", ["porte"])
+    table = sinks.export(quality.porte_histogram(v.market), folder, "porte", ["porte"])
     again = v.spark.read.schema(table.schema).options(header=True, escape='"').csv(f"{folder}/csv/porte")
     return table.withColumn("formato", F.lit("parquet")).unionByName(again.withColumn("formato", F.lit("csv")))
 
@@ -150,7 +150,7 @@ def exported_quality(v: Views) -> DataFrame:
 def exported_selection(v: Views) -> DataFrame:
     """What a user chose, under its display names, as they find it in the file."""
     path = scratch_path(v.spark)
-    chosen = explore.apply_filters(v.silver, explore.Filters(porte=("Microempresa",), simples=("S",)))
+    chosen = explore.apply_filters(v.market, explore.Filters(porte=("Microempresa",), simples=("S",)))
     sinks.write_selection(explore.friendly(chosen.select(*explore.FRIENDLY_EMPRESAS), explore.FRIENDLY_EMPRESAS), path)
     return readers.read_headered(v.spark, path, encoding="UTF-8").drop("Capital social")
 
@@ -335,12 +335,12 @@ def validate_summary(v: Views) -> DataFrame:
 
 @query
 def porte_hist(v: Views) -> DataFrame:
-    return quality.porte_histogram(v.silver)
+    return quality.porte_histogram(v.market)
 
 
 @query
 def duplicate_keys_(v: Views) -> DataFrame:
-    return duplicate_keys(v.silver, ["cnpj_completo"])
+    return duplicate_keys(v.market, ["cnpj_completo"])
 
 
 @query
@@ -445,12 +445,12 @@ def explore_filter(v: Views) -> DataFrame:
 @query
 def explore_range(v: Views) -> DataFrame:
     chosen = explore.Filters(idade=(0, 25), capital=(0.0, 250_000.0))
-    return explore.apply_filters(v.silver, chosen).select(*_EXPLORED)
+    return explore.apply_filters(v.market, chosen).select(*_EXPLORED)
 
 
 @query
 def search_text(v: Views) -> DataFrame:
-    return explore.search(v.silver, "sé#00000002").select("cnpj_completo", "razao_social", "municipio", "descricao_cnae")
+    return explore.search(v.market, "sé#00000002").select("cnpj_completo", "razao_social", "municipio", "descricao_cnae")
 
 
 @query
@@ -473,22 +473,22 @@ def indexed_search(v: Views) -> DataFrame:
 
 @query
 def kpi_cards(v: Views) -> DataFrame:
-    return explore.kpis(v.silver)
+    return explore.kpis(v.market)
 
 
 @query
 def top_municipios(v: Views) -> DataFrame:
-    return explore.top_municipios(v.silver)
+    return explore.top_municipios(v.market)
 
 
 @query
 def top_cnaes(v: Views) -> DataFrame:
-    return explore.top_cnaes(v.silver)
+    return explore.top_cnaes(v.market)
 
 
 @query
 def top_naturezas(v: Views) -> DataFrame:
-    return explore.value_counts(v.silver, "descricao_natureza_juridica", "Sem descricao", "natureza_juridica", 20)
+    return explore.value_counts(v.market, "descricao_natureza_juridica", "Sem descricao", "natureza_juridica", 20)
 
 
 @query
@@ -502,22 +502,22 @@ def pivot_municipio_cnae(v: Views) -> DataFrame:
 
 @query
 def facet_values(v: Views) -> DataFrame:
-    return explore.facets(v.silver)
+    return explore.facets(v.market)
 
 
 @query
 def cnae_facets(v: Views) -> DataFrame:
-    return explore.cnae_labels(v.silver)
+    return explore.cnae_labels(v.market)
 
 
 @query
 def range_bounds(v: Views) -> DataFrame:
-    return explore.range_bounds(v.silver)
+    return explore.range_bounds(v.market)
 
 
 @query
 def friendly_export(v: Views) -> DataFrame:
-    return explore.friendly(v.silver.select(*explore.FRIENDLY_EMPRESAS), explore.FRIENDLY_EMPRESAS)
+    return explore.friendly(v.market.select(*explore.FRIENDLY_EMPRESAS), explore.FRIENDLY_EMPRESAS)
 
 
 @query

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,32 +32,39 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return folder
 
 
-_WRITTEN: list[str] = []
+class _Written(threading.local):
+    """Paths that a thread has stored: builds that run at a time don't delete each other's."""
+
+    def __init__(self) -> None:
+        self.paths: list[str] = []
+
+
+_WRITTEN = _Written()
 
 
 def written() -> int:
-    """How many tables `durable` has written and not deleted."""
-    return len(_WRITTEN)
+    """How many tables `durable` has written in this thread and not deleted."""
+    return len(_WRITTEN.paths)
 
 
 def release(spark: SparkSession, since: int = 0) -> None:
-    """Delete the tables that `durable` wrote, but for the first `since` of them."""
-    paths, _WRITTEN[since:] = _WRITTEN[since:], []
+    """Delete the tables that `durable` wrote in this thread, but for the first `since` of them."""
+    paths, _WRITTEN.paths[since:] = _WRITTEN.paths[since:], []
     for path in map(spark._jvm.org.apache.hadoop.fs.Path, paths):
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_path(spark: SparkSession) -> str:
     """A new path in the checkpoint folder; `release` deletes what is written there."""
-    _WRITTEN.append(f"{checkpoint_folder(spark)}/marketlens-{uuid.uuid4().hex}")
-    return _WRITTEN[-1]
+    _WRITTEN.paths.append(f"{checkpoint_folder(spark)}/marketlens-{uuid.uuid4().hex}")
+    return _WRITTEN.paths[-1]
 
 
 def discard(spark: SparkSession, path: str) -> None:
     """Delete one table written to a `scratch_path` that is read no more."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-    _WRITTEN.remove(path)
+    _WRITTEN.paths.remove(path)
 
 
 def durable(df: DataFrame) -> DataFrame:

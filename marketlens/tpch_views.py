@@ -219,6 +219,12 @@ class Views:
         read a stored table, as in the batch build."""
         return durable(self.silver_plan)
 
+    @property
+    def market(self) -> DataFrame:
+        """The wide table for a question that reads it once: the stored one if a query has stored it, else
+        its plan, of which only the columns asked for are computed."""
+        return self.__dict__.get("silver", self.silver_plan)
+
     @cached_property
     def market_states(self) -> DataFrame:
         """Partial states of the wide table, as the batch build stores them."""

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlens.registry import queries
+from marketlens.session import durable, release, written
 from marketlens.sources import tables as T
 from marketlens.sources.tables import Superseded, Tables
 
@@ -117,3 +118,16 @@ def test_the_market_joins_companies_without_a_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     assert "hashpartitioning(cnpj_basico" not in plan and "SortMergeJoin [cnpj_basico" in plan
+
+
+def test_a_thread_deletes_only_what_it_stored(spark):
+    from threading import Thread
+
+    before = written()
+    mine = durable(spark.range(3))
+    other = Thread(target=lambda: (durable(spark.range(4)), release(spark)))
+    other.start()
+    other.join()
+    assert mine.count() == 3 and written() == before + 1
+    release(spark, before)
+    assert written() == before
