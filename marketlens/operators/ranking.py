@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketlens.operators.aggregates import ratio
@@ -49,16 +49,20 @@ def share_of_parent(df: DataFrame, value: str, parent: Sequence[str], out: str)
     return df.withColumn(out, F.when(known, ratio(F.col(value), total)))
 
 
-def global_rank(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+def global_rank(
+    df: DataFrame, order: Sequence[Column], out: str, reader: SparkSession | None = None, rows_of_a_file: int = 0
+) -> DataFrame:
     """Rank 1..n in `order`, which must be unique for the result to be repeatable.
 
     Rows are range-partitioned and sorted, their places are fixed by storing them, and each
     partition adds the number of rows in front of it. Only the counts per partition, one
-    row each, meet in one task."""
+    row each, meet in one task. `reader` and `rows_of_a_file` are those of `durable`."""
     placed = durable(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_place", F.monotonically_increasing_id()),
+        reader,
+        rows_of_a_file,
     ).withColumn("_part", F.shiftright("_place", _ROW_BITS))
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

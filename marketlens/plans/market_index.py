@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from marketlens.operators.ranking import global_rank
 from marketlens.plans.explore import FACETS, SEARCHED, Filters, apply_filters, search
-from marketlens.session import broadcast_if_small
+from marketlens.session import broadcast_if_small, file_by_file
 
 GRAM = 3
 # Facets of a selection by their field in `Filters`.
@@ -28,6 +28,9 @@ _CHOICES = {
     "mei": "opcao_mei",
 }
 _ROWS_OF_A_PART = 20  # bits: a folder of the stored rows holds a million numbers
+# Bounds of a building task, so that its memory doesn't grow with the table.
+_ROWS_OF_A_FILE = 1 << 16
+_POSTINGS_OF_A_TASK = 1 << 21
 
 
 def _bucket(row: str = "row_id") -> Column:
@@ -44,10 +47,20 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % GRAM), F.lit(1)))
 
 
+def _texts() -> list[Column]:
+    """The texts that `search` looks at, as it looks at them."""
+    return [F.coalesce("cnae_principal", F.lit("")), *[F.upper(F.coalesce(c, F.lit(""))) for c in SEARCHED]]
+
+
 def _searched() -> Column:
-    """Trigrams of the texts that `search` looks at, as it looks at them."""
-    texts = [F.coalesce("cnae_principal", F.lit("")), *[F.upper(F.coalesce(c, F.lit(""))) for c in SEARCHED]]
-    return F.array_distinct(F.flatten(F.array(*[trigrams(t) for t in texts])))
+    """Trigrams of the texts that `search` looks at."""
+    return F.array_distinct(F.flatten(F.array(*[trigrams(t) for t in _texts()])))
+
+
+def _posting_tasks(rows: DataFrame) -> int:
+    """Tasks to sort the postings in: a text has no more trigrams than characters."""
+    most = rows.agg(F.sum(sum(F.char_length(t) for t in _texts()))).first()[0] or 0
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-most // _POSTINGS_OF_A_TASK))
 
 
 class MarketIndex:
@@ -59,13 +72,17 @@ class MarketIndex:
 
     @classmethod
     def build(cls, silver: DataFrame, folder: str, facets: Sequence[str] = FACETS) -> MarketIndex:
-        """Write the numbered rows, the bitmaps and the postings of a market table."""
+        """Write the numbered rows, the bitmaps and the postings of a market table.
+
+        A task numbers, or takes values and trigrams of, at most the rows of a file, and sorts about
+        `_POSTINGS_OF_A_TASK` postings: larger tables have more tasks, not larger ones."""
         index = cls(silver.sparkSession, folder)
+        reader = file_by_file(silver.sparkSession)
         order = [F.asc_nulls_last("municipio"), F.asc_nulls_last("cnpj_completo")]
-        numbered = global_rank(silver, order, "row_id").withColumn("row_id", F.col("row_id").cast("long"))
+        numbered = global_rank(silver, order, "row_id", reader, _ROWS_OF_A_FILE).withColumn("row_id", F.col("row_id").cast("long"))
         silver.limit(0).write.parquet(f"{folder}/columns")
         numbered.withColumn("part", _part(F.col("row_id"))).write.partitionBy("part").parquet(f"{folder}/rows")
-        rows = index.numbered
+        rows = cls(reader, folder).numbered
         pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("faceta"), F.col(c).alias("valor")) for c in facets])).alias("p")
         values = rows.select("row_id", pairs).select("row_id", "p.*").filter(F.col("valor").isNotNull())
         bitmaps = values.groupBy("faceta", "valor", _bucket().alias("bucket")).agg(
@@ -75,7 +92,8 @@ class MarketIndex:
             f"{folder}/bitmaps"
         )
         postings = rows.select(F.explode(_searched()).alias("gram"), "row_id")
-        postings.repartitionByRange("gram", "row_id").sortWithinPartitions("gram", "row_id").write.parquet(f"{folder}/postings")
+        dealt = postings.repartitionByRange(_posting_tasks(rows), "gram", "row_id")
+        dealt.sortWithinPartitions("gram", "row_id").write.parquet(f"{folder}/postings")
         return index
 
     @property

@@ -67,16 +67,31 @@ def discard(spark: SparkSession, path: str) -> None:
     _WRITTEN.paths.remove(path)
 
 
-def durable(df: DataFrame) -> DataFrame:
+def durable(df: DataFrame, reader: SparkSession | None = None, rows_of_a_file: int = 0) -> DataFrame:
     """The same rows as a table written to the checkpoint folder.
 
     Cuts the lineage for results that are read more than once or whose columns depend on
     the partitioning: they are computed once and keep their values when executors are lost.
-    Read back as Parquet, they have a known size and prunable columns."""
+    Read back as Parquet, they have a known size and prunable columns. `reader` is the session that
+    reads them, `rows_of_a_file` the most rows of a file."""
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.option("maxRecordsPerFile", rows_of_a_file) if rows_of_a_file else df.write
+    writer.parquet(path)
+    return (reader or spark).read.schema(df.schema).parquet(path)
+
+
+def file_by_file(spark: SparkSession) -> SparkSession:
+    """A session with the same settings whose scans put no two files in a task. Where files hold a
+    bounded number of rows, so do its tasks, however well the rows compress."""
+    reader = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            reader.conf.set(key, value)
+    # A file counts as its bytes and this cost, so two never fit a task.
+    for key in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"):
+        reader.conf.set(key, "32m")
+    return reader
 
 
 def expected_bytes(df: DataFrame) -> int:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from marketlens.plans import explore, market_index
 from marketlens.plans.explore import Filters
 from marketlens.plans.market_index import MarketIndex
+from marketlens.session import file_by_file
 
 ROWS = 70_000  # three runs of bitmaps
 
@@ -87,6 +88,28 @@ def test_a_search_reads_candidates(index):
     assert grams == ROWS // 3 + 1
 
 
+def test_larger_tables_have_more_building_tasks(spark, market, tmp_path, monkeypatch):
+    monkeypatch.setattr(market_index, "_ROWS_OF_A_FILE", 3000, raising=False)
+    monkeypatch.setattr(market_index, "_POSTINGS_OF_A_TASK", 30_000, raising=False)
+    index = MarketIndex.build(market, str(tmp_path / "small"))
+
+    def of_files(table, *columns):
+        return table.groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"), *columns).collect()
+
+    assert max(f.n for f in of_files(index.numbered)) <= 3000
+    held = sorted(of_files(index.postings, F.min("gram").alias("low"), F.max("gram").alias("high")), key=lambda f: (f.low, f.high))
+    assert max(f.n for f in held) <= 60_000, "ranges are drawn by a sample"
+    assert all(a.high <= b.low for a, b in zip(held, held[1:])), "still one order over all files"
+    assert same(index.search("razão SS19"), explore.search(market, "razão SS19"))
+
+
+def test_no_two_files_share_a_task(spark, market, tmp_path):
+    market.limit(4000).repartition(7).write.option("maxRecordsPerFile", 200).parquet(str(tmp_path / "files"))
+    table = file_by_file(spark).read.parquet(str(tmp_path / "files"))
+    tasks = table.select(F.spark_partition_id().alias("task"), F.input_file_name().alias("file")).distinct()
+    assert tasks.count() == tasks.select("task").distinct().count() == len(table.inputFiles()) >= 20
+
+
 def test_an_index_of_no_rows(spark, market, tmp_path):
     index = MarketIndex.build(market.limit(0), str(tmp_path / "empty"))
     assert index.facet_counts().isEmpty() and index.search("abc").isEmpty() and index.filtered(Filters(mei=("S",))).isEmpty()
