@@ -103,6 +103,14 @@ def test_larger_tables_have_more_building_tasks(spark, market, tmp_path, monkeyp
     assert same(index.search("razão SS19"), explore.search(market, "razão SS19"))
 
 
+def test_a_selection_over_many_small_files(spark, market, tmp_path, monkeypatch):
+    monkeypatch.setattr(market_index, "_ROWS_OF_A_FILE", 2000, raising=False)
+    index = MarketIndex.build(market, str(tmp_path / "small"))
+    assert len(index.numbered.inputFiles()) >= ROWS // 2000, "a task reads one of many files"
+    chosen = Filters(municipio=("HOT", "Mun3"), porte=("p1", "p-2"), simples=("S",), idade=(0, 30))
+    assert same(index.filtered(chosen), explore.apply_filters(market, chosen))
+
+
 def test_no_two_files_share_a_task(spark, market, tmp_path):
     market.limit(4000).repartition(7).write.option("maxRecordsPerFile", 200).parquet(str(tmp_path / "files"))
     table = file_by_file(spark).read.parquet(str(tmp_path / "files"))
